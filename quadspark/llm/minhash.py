@@ -16,13 +16,14 @@ from quadspark.llm.recent import Recent
 
 #: A shingle has so many words; documents link from this similarity in hundredths.
 SHINGLE_WORDS, SIMILARITY = 5, 75
-#: Each band holds the minimum and the maximum under two permutations. A pair at similarity 0.75 misses one
-#: band with probability 1 - 0.75^4, and all forty with probability 2e-7.
-BANDS, PERMUTATIONS_PER_BAND = 40, 2
-#: Rounds that compare a bucket's members with one random member before the pairs left over are compared.
-LEADER_ROUNDS = 4
+#: Each permutation gives two values, the minimum and the maximum. A band holds ROWS of them from different
+#: permutations: a pair at similarity 0.75 shares one with probability 0.1 and misses all with about 3e-5, at 0.8
+#: with less than 1e-7; a pair that has a passage in common, at 0.25, shares any with probability 0.002.
+PERMUTATIONS, BANDS, ROWS = 128, 128, 8
+#: Rounds that compare the members of a bucket with one of them; then members of one block of a larger bucket.
+LEADER_ROUNDS, BLOCK = 2, 256
 
-_STEP = 4096
+_STEP = 2048
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -41,9 +42,11 @@ class _Words(Recent):
 
 _WORDS = _Words()
 _RNG = np.random.default_rng(20_240_501)
-_MULTIPLY = _RNG.integers(0, 2**63, BANDS * PERMUTATIONS_PER_BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FLIP = _RNG.integers(0, 2**63, BANDS * PERMUTATIONS_PER_BAND, dtype=np.uint64)
+_MULTIPLY = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _RNG.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _PLACE = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: For every band, which values of the signature it holds: 2 k is the minimum and 2 k + 1 the maximum of the k-th.
+_HELD = np.array([2 * _RNG.permutation(PERMUTATIONS)[:ROWS] + _RNG.integers(0, 2, ROWS) for _ in range(BANDS)])
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -75,7 +78,7 @@ def signature(hashes: np.ndarray) -> np.ndarray:
 
 def bands(hashes: np.ndarray) -> np.ndarray:
     """One signed 64-bit bucket key per band."""
-    rows = signature(hashes).reshape(BANDS, PERMUTATIONS_PER_BAND * 2)
+    rows = signature(hashes).ravel()[_HELD]
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(rows.shape[1]):
         key = _mix(key + rows[:, k] * _PLACE[k + 8])
@@ -131,6 +134,75 @@ def _close(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {SIMILARITY} * greatest({a}, {b})"
 
 
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Intersection size of every two sets."""
+    terms, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    seen = np.bincount(at)
+    at, owner = at[keep := seen[at] > 1], owner[keep]  # terms of one set meet no other
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    column = np.cumsum(np.concatenate([[0], at[1:] != at[:-1]])) if len(at) else at
+    for first in range(0, int(column[-1]) + 1 if len(at) else 0, 4096):
+        here = slice(*np.searchsorted(column, (first, first + 4096)))
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[here], column[here] - first] = 1
+        total += part @ part.T
+    return total
+
+
+_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _celled(table: pa.Table) -> pa.Table:
+    """Compare members of one bucket, or of two blocks of it, that are in different components; emit star edges.
+
+    A pair that shares several buckets is compared in the one of smallest key alone.
+    """
+    key, low, high = (table.column(c)[0].as_py() for c in ("key", "low", "high"))
+    table = table.sort_by("rep")
+    rep, part, block = (table.column(c).to_numpy() for c in ("rep", "component", "block"))
+    n = table.column("n").to_numpy()
+    todo = part[:, None] != part[None, :]
+    todo &= 100 * np.minimum.outer(n, n) >= SIMILARITY * np.maximum.outer(n, n)
+    if low != high:
+        todo &= block[:, None] != block[None, :]
+    earlier = [np.array([k for k in own if k < key], np.int64) for own in table.column("keys").to_pylist()]
+    known = np.unique(np.concatenate(earlier))
+    if len(known) and todo.any():
+        member = np.zeros((len(rep), len(known)), np.float32)
+        for i, own in enumerate(earlier):
+            member[i, np.searchsorted(known, own)] = 1
+        todo &= member @ member.T == 0
+    used = np.flatnonzero(todo.any(axis=1))
+    if not len(used):
+        return _LINK.empty_table()
+    todo, rep, n = todo[np.ix_(used, used)], rep[used], n[used]
+    both = _overlaps([shingles(t) for t in table.column("text").take(pa.array(used)).to_pylist()])
+    close = todo & (100 * both >= SIMILARITY * (n[:, None] + n[None, :] - both))
+    top = np.arange(len(rep))
+    while True:
+        least = np.minimum(top, np.where(close, top[None, :], len(rep)).min(axis=1))
+        least = least[least]
+        if (least == top).all():
+            break
+        top = least
+    moved = top != np.arange(len(rep))
+    return pa.Table.from_arrays([pa.array(rep[top][moved], pa.int64()), pa.array(rep[moved], pa.int64())], schema=_LINK)
+
+
+def confirm_cells(left: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that join components within the buckets of ``left`` (key, rep, n, component); no pair is emitted."""
+    sizes = left.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    keys = left.groupBy("rep").agg(F.collect_list("key").alias("keys"))  # one key per band at most
+    cells = left.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    own = keys.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    cells = cells.join(own, "rep").select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "n", "component", "keys", "text")
+    return cells.groupBy("key", "low", "high").applyInArrow(_celled, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Link documents of similar shingle sets and name each one's group.
 
@@ -139,9 +211,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``docs`` don't matter. An empty table gives an empty result.
 
     Equal sets are one class first. Band buckets of classes then give pairs: every member with the smallest id of
-    its bucket, then, in buckets whose members are not yet one component, with a random member, and at last every
-    pair of members that are still in different components. Each pair is confirmed on the full sets, so no
-    bucket has a cap and no pair inside a group that is known to be connected is made.
+    its bucket, then, in buckets whose members are not yet one component, with a random member. At last members of
+    a bucket that are still in different components are compared block by block inside tasks, which emit star
+    edges only. Every link is confirmed on the full sets, and no bucket has a cap.
     """
     signed = scratch.write(signatures(docs, id_col, text_col), "signed")
     classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
@@ -161,25 +233,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = scratch.write(confirm(tested, texts), "links")
     groups = scratch.write(components(links), "groups")
 
-    for turn in range(LEADER_ROUNDS + 1):
+    for turn in range(1, LEADER_ROUNDS + 1):
         named = buckets.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
         mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min_by(F.struct("rep", "n", "component"), F.xxhash64("rep", "key", F.lit(turn))).alias("lead")).where("low != high")
         left = scratch.write(named.join(mixed.select("key", "lead"), "key"), "mixed")
         if turn < LEADER_ROUNDS:
             pairs = left.where("component != lead.component").where(_close("n", "lead.n")).select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"))
+            found = confirm(pairs.distinct().join(tested, ["a", "b"], "left_anti"), texts)
         else:
-            one, two = left.alias("one"), left.alias("two")
-            pairs = one.join(two, "key").where("one.component != two.component and one.rep < two.rep").where(_close("one.n", "two.n")).select(F.col("one.rep").alias("a"), F.col("two.rep").alias("b"))
-        fresh = scratch.write(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
-            if turn < LEADER_ROUNDS and not left.isEmpty():
-                continue
-            break
-        more = scratch.write(confirm(fresh, texts), "links")
-        tested = tested.union(fresh)
+            found = confirm_cells(left.drop("lead"), texts)
+        more = scratch.write(found, "links")
         if not more.isEmpty():
-            links = links.union(more)
-            groups = scratch.write(components(links.union(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))), "groups")
+            groups = scratch.write(components(more.union(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))), "groups")
 
     named = classes.select("digest", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("digest", F.coalesce("component", "rep").alias("component_id"))
