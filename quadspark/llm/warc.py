@@ -175,8 +175,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         if fresh.isEmpty():
             break
         reached = reached.union(fresh)
-        second = jump.withColumnRenamed("at", "mid").withColumnRenamed("to", "end")
-        jump = scratch.write(jump.join(second, (jump["file"] == second["file"]) & (jump["to"] == second["mid"])).select(jump["file"], "at", F.col("end").alias("to")), "jump")
+        second = jump.select("file", F.col("at").alias("to"), F.col("to").alias("end"))
+        jump = scratch.write(jump.join(second, ["file", "to"]).select("file", "at", F.col("end").alias("to")), "jump")
     entries = hops.join(reached, ["file", "at"], "left_semi").select("file", "size", "first", "at")
     return entries.repartition(count, "file", "at").mapInArrow(_records, ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'binary' if f.type == pa.binary() else 'string'}" for f in _RECORD))
 
