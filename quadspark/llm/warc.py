@@ -14,6 +14,8 @@ from quadspark.llm import scratch
 
 #: Payloads from this size on are stored once; what one task row of the reader scans.
 LEAST_SHARED, RANGE_BYTES = 100, 4 << 20
+#: Shared payloads, of about a hundred bytes here, up to which their table is broadcast; beyond it payloads are shuffled.
+BROADCAST_SHARED = 200_000
 
 _MAGIC, _HEAD_END, _TAIL = b"WARC/1.0\r\n", b"\r\n\r\n", b"\r\n\r\n"
 _MOST_HEAD = 1 << 20
@@ -38,6 +40,9 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
     own = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     own = own.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload").cast("long")})
     shared = own.where(F.col("size") >= LEAST_SHARED).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("digest", "first")
+    shared = scratch.write(shared, "shared")
+    if shared.count() <= BROADCAST_SHARED:
+        shared = F.broadcast(shared)
     rows = own.join(shared, "digest", "left").withColumn("again", F.coalesce(F.col("first") != F.col("id"), F.lit(False)) & F.col("id").isNotNull())
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
     urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
