@@ -1,0 +1,233 @@
+import base64
+import hashlib
+import itertools
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from quadspark.llm import bpe, components, extract, fingerprints, minhash, mixing, pii, tokenfile, toxicity, vectors, warc
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, digest string"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), 0.5, "x") for i, t, s in rows], DOCS)
+
+
+EDGES = [(1, None, "a"), (2, "", "a"), (3, "word", None), (3, "word", None), (None, "no id at all", "b"), (4, "long " * 30_000, "b"), (5, " \n\t ", "b"), (6, "été 漢字 🙂 it's  fine\n\nend ", "c")]
+
+
+
+
+def test_components_against_union_find(spark):
+    rng = random.Random(1)
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
+    top = {x: x for e in links for x in e}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        top[b] = a
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in top if any(x in e and e[0] != e[1] for e in links)}
+
+
+def test_near_duplicates_against_all_pairs(spark):
+    rng, rows = random.Random(2), list(EDGES)
+    for g in range(12):
+        base = [f"w{rng.randrange(500)}" for _ in range(rng.choice([3, 5, 8, 40, 120]))]
+        for k in range(8):
+            words = [w if rng.random() > 0.03 else f"v{rng.randrange(99)}" for w in base]
+            rows.append((100 + g * 10 + k, " ".join(words), "s"))
+    df = docs(spark, rows)
+    got = minhash.near_duplicates(df).collect()
+    sets = {i: set(minhash.shingles(t).tolist()) for i, t, _ in rows if i is not None}
+    top = {i: i for i in sets}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            x, y = sorted((find(a), find(b)))
+            top[y] = x
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id)
+    assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def reference():
+    with open(bpe.RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_against_tiktoken(spark, reference):
+    rng = random.Random(3)
+    some = ["".join(rng.choice("  \n\t'abrelsvmtd'12é!. x漢🙂") for _ in range(rng.randrange(40))) for _ in range(3000)] + ["x" * 3000, " " * 500, "<|endoftext|>"]
+    for text, ids in zip(some, bpe.encode_texts(some), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+        assert bpe.decode_ids(ids) == text.encode()
+    df = docs(spark, EDGES)
+    rows = bpe.encode(df).collect()
+    assert len(rows) == len(EDGES) and bpe.encode(df.limit(0)).count() == 0
+    assert {bytes(r.decoded).decode() for r in bpe.decode(bpe.encode(df)).collect()} == {t or "" for _, t, _ in EDGES}
+
+
+def test_token_files_round_trip(spark):
+    df = docs(spark, [e for e in EDGES if e[0] is not None] + [(k, f"text number {k}, it's here.\nAnd  there", "s") for k in range(50, 90)])
+    rows = sorted(tokenfile.read(spark, tokenfile.write(df, partitions=4)).collect(), key=lambda r: r.start)
+    tok = Tokenizer.from_file(tokenfile.VOCABULARY)
+    tok.encode_special_tokens = True
+    want = sorted((r.doc_id, r.text or "") for r in df.collect())
+    at = 0
+    for r, (i, text) in zip(rows, want, strict=True):
+        ids = np.array([*tok.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert (r.doc_id, r.start, r.n_tokens, bytes(r.ids)) == (i, at, len(ids), ids.tobytes())
+        at += len(ids)
+    with pytest.raises(ValueError):
+        tokenfile.unframe(tokenfile.frame(b"abcd")[:-1] + b"?")
+    assert tokenfile.read(spark, tokenfile.write(df.limit(0))).count() == 0
+    assert zlib.crc32(b"") == 0
+
+
+PAGES = [(1, "u", "<p>" + "a" * 200), (2, "u", "<p>" + "a" * 200), (3, None, None), (4, "x\r\ny", "short"), (5, "u", "short"), (6, "u", "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 9)]
+
+
+def test_archives(spark, monkeypatch):
+    df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    rows = {r.page_id: r for r in warc.catalogue(warc.read(spark, warc.write(df.coalesce(1)))).collect()}
+    assert {i: (r.payload_bytes, r.payload_digest) for i, r in rows.items()} == {i: (len(h or ""), hashlib.sha256((h or "").encode()).hexdigest()) for i, _, h in PAGES}
+    assert {i: (r.record_type, r.refers_to) for i, r in rows.items() if r.record_type == "revisit"} == {2: ("revisit", 1)}
+    assert all(r.intact for r in rows.values())
+    assert warc.read(spark, warc.write(df.limit(0))).count() == 0
+
+
+def test_leap_rejects_lookalikes():
+    assert warc._leap([0, 10, 25, 40], [25, 99, 40, 60]).tolist() == [60, 99, 60, 60]
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body><nav><ul><li><a href=1>Home</a></li></ul></nav>
+<div class="cookie-notice">We use cookies to make this site better for you, please accept them.</div>
+<article><h1>Title &amp; more</h1><p>First  paragraph,<br>with a line.</p><div class="ad">Buy now</div><p>Tiny.</p><p>A <b>second <i>paragraph</b> of text, unclosed.</article>
+<section id="comments"><p>I think this article is quite wrong, and here is why.</p></section><form><p>Sign up here</p></form><footer>&copy; us</footer></body></html>"""
+
+
+def test_main_text(spark):
+    assert extract.main_text(PAGE) == "Title & more\n\nFirst paragraph, with a line.\n\nTiny.\n\nA second paragraph of text, unclosed."
+    assert extract.main_text(None) == extract.main_text("") == extract.main_text("<nav>x</nav>") == ""
+    df = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (None, None, None)], "page_id long, url string, html string")
+    assert sorted(r.n_chars for r in extract.extract(df).collect())[0] == 0 and extract.extract(df.limit(0)).count() == 0
+
+
+def test_cut_is_least():
+    rng = random.Random(5)
+    for _ in range(60):
+        n = rng.randrange(1, 9)
+        odds = [rng.uniform(-3, 3) for _ in range(n)]
+        edges = [(a, b, rng.uniform(0, 2)) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.4]
+        cost = lambda x: sum(-z if y else 0 for z, y in zip(odds, x, strict=True)) + sum(w for a, b, w in edges if x[a] != x[b])  # noqa: B023, E731
+        assert abs(cost(extract.label(odds, edges)) - min(map(cost, itertools.product([False, True], repeat=n)))) < 1e-6
+
+
+def test_mixing(spark):
+    rng = random.Random(6)
+    rows = [(i, "w " * rng.randrange(1, 50), f"s{i % 4}") for i in range(2000)] + [(9001, None, None), (9002, "a b c", None), (9002, "a b c", None)]
+    df = docs(spark, rows)
+    plan = mixing.plan(df).collect()
+    assert len(plan) == len(rows) and all(r.taken <= 3 * r.size for r in plan)
+    by = {}
+    for r in plan:
+        by.setdefault(r.source, []).append(r)
+    assert abs(sum(v[0].target for v in by.values()) - sum(r.size for r in plan)) < 1e-6
+    for rs in by.values():
+        assert rs[0].target <= 3 * rs[0].source_size + 1e-9
+    for s in ("s0", "s1", "s2", "s3"):
+        assert abs(sum(r.taken for r in by[s]) / by[s][0].target - 1) < 0.15
+    assert by[None][0].target == 3 * by[None][0].source_size
+    assert mixing.mix(df).count() == sum(r.copies for r in plan) and mixing.mix(df).columns == df.columns
+    assert mixing.plan(df.limit(0)).count() == 0
+
+
+def test_vectors_against_all_pairs(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(40, 16))
+    rows = [(i, (base[i % 40] + rng.normal(size=16) * 0.12).astype(np.float32).tolist(), i % 3) for i in range(400)]
+    rows += [(500 + i, rows[0][1], 0) for i in range(30)] + [(600, None, 1), (601, [0.0] * 16, 1), (602, [float("nan")] * 16, 1), (603, rows[1][1], None), (604, [], 1), (605, [1.0], 1)]
+    got = {r.vec_id: r for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    good = [(i, np.array(v, np.float64), lab) for i, v, lab in rows if v and len(v) == 16 and np.isfinite(v).all() and any(v) and lab is not None]
+    links = {i: 0 for i, _, _ in good}
+    for (i, a, x), (j, b, y) in itertools.combinations(good, 2):
+        if x == y and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= 0.93:
+            links[i] += 1
+            links[j] += 1
+    assert sum(abs(got[i].n_links - k) for i, k in links.items()) <= 0.01 * sum(links.values())
+    assert all(got[i].n_links == 0 and got[i].kept for i in (600, 601, 602, 603, 604, 605))
+
+
+def test_surrogates(spark):
+    texts = ["mail Ann@x.org or ann@x.org, +1 (386) 555-3733", "386-555-3733; 4465 7583 8288 9437 and 4465758382889437", "10.0.0.1 token = \"0641917ea4e9feb9cda83477b57ac2654884f485\" Mr Smith, Mrs Smith, Mary Jones", "nothing here", "", None]
+    df = spark.createDataFrame([(i, t, 7, "c") for i, t in enumerate(texts * 2)], "doc_id long, text string, n_chars int, value string")
+    rows = pii.pseudonymise(df).orderBy("doc_id").collect()
+    out = [r.text for r in rows]
+    assert len(out) == 12 and out[:6] == out[6:] and out[3:6] == texts[3:]
+    for secret in ("ann@x.org", "Ann@x.org", "555-3733", "4465758382889437", "10.0.0.1", "0641917ea4", "Smith", "Jones", "Mary"):
+        assert not any(secret in (t or "") for t in out)
+    words = out[0].split()
+    assert words[1] == words[3].rstrip(",") and "@" in words[1]
+    card = out[1].split("; ")[1].split(" and ")
+    assert card[0].replace(" ", "") == card[1] and [len(x) for x in card[0].split()] == [4] * 4
+    name = out[2].split("Mr ")[1].split(",")[0]
+    assert f"Mrs {name}" in out[2]
+    assert pii.pseudonymise(df.limit(0)).count() == 0
+
+
+def test_fingerprints(spark):
+    df = docs(spark, [(10, "Straße  ONE", "s"), (11, "STRASSE one ", "s"), (12, "ﬁne", "s"), (13, "fine", "s"), (14, "Fine, but other", "s"), (15, None, "s"), (16, "", "s")])
+    got = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(df).collect()}
+    assert got[10] == got[11] and got[12] == got[13] and got[15] == got[16] and len(set(got.values())) == 4
+    texts = {r.doc_id: r.text or "" for r in df.collect()}
+    ids = sorted(texts)
+    for r in fingerprints.compare_edits(df).collect():
+        text, after = texts[r.doc_id], texts[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        half = len(text) // 2
+        edit = text[: len(text) - half] + after[:half]
+        assert (r.n_chars, r.edited_sha256, r.fingerprint) == (len(text), hashlib.sha256(edit.encode()).hexdigest(), got[r.doc_id])
+    assert fingerprints.compare_edits(df.limit(0)).count() == 0 and fingerprints.compare_edits(docs(spark, EDGES)).count() == len(EDGES)
+
+
+def test_toxicity_held_out(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    rows = []
+    for i in range(1500):
+        t = [rng.choice(words) for _ in range(30)]
+        if i % 5 == 0:
+            t[3:5] = [rng.choice(["zorkel", "zorkun", "vrimpa", "idiot"]), "zorkat"]
+        rows.append((i, " ".join(t), "s"))
+    df = docs(spark, [*rows, *[(10_000 + k, t, s) for k, (_, t, s) in enumerate(EDGES)]])
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(1500)], "doc_id long, toxic int")
+    model = toxicity.fit(df, labels)
+    out = toxicity.score(df, model).withColumn("held", toxicity.held_out(F.col("doc_id"))).collect()
+    held = [r for r in out if r.held and r.doc_id < 1500]
+    assert len(out) == len(rows) + len(EDGES) and all(0 <= r.score <= 1 for r in out)
+    assert sum(r.predicted == int(r.doc_id % 5 == 0) for r in held) / len(held) > 0.97
+    assert toxicity.score(df, toxicity.fit(df, labels.limit(0))).where("predicted = 1").count() == 0
