@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quadspark.functions.terms import BLANK, COLUMNS, DEFAULT, LANG_STRING, LITERAL, NAMED, XSD_STRING, normalise
 
@@ -21,7 +22,7 @@ _ESCAPES = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'"
 _ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|(.))")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescaped(values: pd.Series) -> pd.Series:
     one = lambda m: chr(int(m[1] or m[2], 16)) if m[1] or m[2] else _ESCAPES.get(m[3], m[0])
     return values.map(lambda v: None if v is None else _ESCAPE.sub(one, v))
