@@ -32,7 +32,7 @@ VOCABULARY, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
 #: Documents that one reading task row covers.
 READ_DOCS = 2_000
 
-_INDEX = struct.Struct("<q?QQI")
+_INDEX = "<q?QQI"
 _MASK = 0xA282EAD8
 #: How byte-level vocabularies write bytes: printable Latin-1 as it is, the others from U+0100 on in order.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -147,7 +147,7 @@ def write(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                     record = frame(ids + end)
                     n = len(ids) // encoder.width + 1
                     files[0].write(record)
-                    files[1].write(_INDEX.pack(doc or 0, doc is None, at, tokens, n))
+                    files[1].write(struct.pack(_INDEX, doc or 0, doc is None, at, tokens, n))
                     at, tokens, n_docs = at + len(record), tokens + n, n_docs + 1
         if files:
             for f in files:
@@ -175,7 +175,7 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                 store, base = fs.FileSystem.from_uri(row["file"])
                 count = min(READ_DOCS, row["n_docs"] - row["first"])
                 with store.open_input_file(f"{base}.idx") as index:
-                    entries = list(_INDEX.iter_unpack(index.read_at(count * _INDEX.size, row["first"] * _INDEX.size)))
+                    entries = list(struct.iter_unpack(_INDEX, index.read_at(count * struct.calcsize(_INDEX), row["first"] * struct.calcsize(_INDEX))))
                 with store.open_input_file(f"{base}.rec") as records:
                     for k in range(0, count, 256):
                         part = entries[k : k + 256]
