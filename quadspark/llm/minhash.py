@@ -21,7 +21,7 @@ SHINGLE_WORDS, SIMILARITY = 5, 75
 #: with less than 1e-7; a pair that has a passage in common, at 0.25, shares any with probability 0.002.
 PERMUTATIONS, BANDS, ROWS = 128, 128, 8
 #: Rounds that compare the members of a bucket with one of them; then members of one block of a larger bucket.
-LEADER_ROUNDS, BLOCK = 2, 256
+LEADER_ROUNDS, BLOCK = 2, 1024
 
 _STEP = 2048
 
@@ -216,12 +216,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges only. Every link is confirmed on the full sets, and no bucket has a cap.
     """
     signed = scratch.write(signatures(docs, id_col, text_col), "signed")
-    classes = signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    classes = scratch.write(classes.where("rep is not null"), "classes")
-    members = classes.select("rep", "n", F.posexplode("bands").alias("band", "key"))
-    members = members.select("rep", "n", "key")
-    shared = members.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("size")).where("size > 1")
-    buckets = scratch.write(members.join(shared.select("key", "lead"), "key"), "buckets")
+    classes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    classes = scratch.write(classes, "classes")
+    chosen = signed.withColumnRenamed("doc_id", "rep").join(classes, ["digest", "rep"])
+    members = chosen.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    shared = members.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead != last")
+    buckets = scratch.write(members.join(shared.select("key", "lead"), "key").distinct(), "buckets")
 
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
