@@ -69,6 +69,8 @@ class _Encoder(Recent):
     letter, so a text can be cut there and the parts encoded alone.
     """
 
+    limit = 500_000
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -154,7 +156,7 @@ def write(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
                 f.close()
             yield pa.RecordBatch.from_pylist([{"shard": shard, "file": f"{into}/{name}", "n_docs": n_docs, "n_tokens": tokens, "width": encoder.width}], schema=schema)
 
-    written = own.repartitionByRange(count, "doc_id", "text").sortWithinPartitions("doc_id", "text").mapInArrow(run, "shard long, file string, n_docs long, n_tokens long, width int")
+    written = own.repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, "shard long, file string, n_docs long, n_tokens long, width int")
     manifest = scratch.write(written, "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
