@@ -219,9 +219,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = signed.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     classes = scratch.write(classes, "classes")
     chosen = signed.withColumnRenamed("doc_id", "rep").join(classes, ["digest", "rep"])
-    members = chosen.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    chosen = scratch.write(chosen.select("rep", F.col("n_shingles").alias("n"), "bands"), "chosen")
+    sized = scratch.write(signed.select("doc_id", "n_shingles", "digest"), "sized")
+    scratch.discard(signed)
+    members = chosen.select("rep", "n", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead != last")
     buckets = scratch.write(members.join(shared.select("key", "lead"), "key").distinct(), "buckets")
+    scratch.discard(chosen)
 
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
@@ -248,6 +252,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = classes.select("digest", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("digest", F.coalesce("component", "rep").alias("component_id"))
-    joined = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    joined = sized.join(named, "digest", "left")
     group = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select("doc_id", "n_shingles", group.alias("component_id"), F.coalesce(F.col("doc_id") == group, F.lit(True)).alias("kept"))

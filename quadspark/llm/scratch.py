@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
+#: Deletes the shuffle files of a finished job, else kept until the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def root(spark: SparkSession) -> str:
@@ -26,10 +28,21 @@ def folder(spark: SparkSession, kind: str) -> str:
 
 
 def write(df: DataFrame, kind: str = "table") -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
-    path = folder(df.sparkSession, kind)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back.
+
+    Shuffle files of the job are deleted as soon as the table is complete; nothing reads them after that.
+    """
+    spark, path = df.sparkSession, folder(df.sparkSession, kind)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:

@@ -143,14 +143,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     cut = lambda k: F.transform(F.filter("all", lambda w: F.length(w) > k), lambda w: F.substring(w, 1, k))
     starts = _lexicon(begun.select("toxic", F.explode(F.array_distinct(F.concat(*[cut(k) for k in _BEGINNINGS]))).alias("term")), positive, total)
     model = Model(words, starts)
-    ready = scratch.write(_featured(rows.where("fold >= 5").select("text", "toxic", "fold"), "text", model).select("toxic", "fold", "_features"), "features")
-    ready = ready.select(F.col("toxic").cast("double").alias("label"), "fold", array_to_vector("_features").alias("features"))
+    featured = scratch.write(_featured(rows.where("fold >= 5").select("text", "toxic", "fold"), "text", model).select("toxic", "fold", "_features"), "features")
+    scratch.discard(rows)
+    ready = featured.select(F.col("toxic").cast("double").alias("label"), "fold", array_to_vector("_features").alias("features"))
     if ready.where("fold < 8").select("label").distinct().count() < 2:
         return model
     model.trees = GBTClassifier(maxIter=_TREES, maxDepth=_DEPTH, seed=_SEED, maxBins=64).fit(ready.where("fold < 8"))
     rest = model.trees.transform(ready.where("fold >= 8")).select("label", vector_to_array("probability")[1].alias("raw"))
     if not rest.isEmpty():
         model.calibration = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(rest)
+    scratch.discard(featured)
     return model
 
 
