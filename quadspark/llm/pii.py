@@ -24,7 +24,7 @@ FEMALE = "Mary|Patricia|Jennifer|Linda|Elizabeth|Susan|Sarah|Karen|Emma|Alice|Ur
 
 #: Patterns by type, in order of precedence; every quantifier before a required character has a bound.
 PATTERNS = {
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![A-Za-z0-9_+/=-])(?<=(?i:token|password|passwd|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9_+/=-]{8,128}",
+    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<=[=:]\s{0,2}[\x22']?)(?<![A-Za-z0-9_+/-])(?<=(?i:token|password|passwd|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9_+/=-]{8,128}",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9A-Za-z])",

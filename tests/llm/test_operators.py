@@ -200,6 +200,15 @@ def test_surrogates(spark):
     assert pii.pseudonymise(df.limit(0)).count() == 0
 
 
+def test_surrogates_of_unquoted_secrets(spark):
+    texts = ["password=hunter2secret", "API_KEY = Zx81-aa90/bb==", "api-key: abcd1234efgh", "token='q1w2e3r4t5'", "the token was lost = never", "password=short"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    for i, secret in enumerate(("hunter2secret", "Zx81-aa90/bb==", "abcd1234efgh", "q1w2e3r4t5")):
+        assert secret not in out[i].text and len(out[i].text) == len(texts[i]) and out[i].n_entities == 1
+    assert [out[i].text for i in (4, 5)] == texts[4:]
+
+
 def test_fingerprints(spark):
     df = docs(spark, [(10, "Straße  ONE", "s"), (11, "STRASSE one ", "s"), (12, "ﬁne", "s"), (13, "fine", "s"), (14, "Fine, but other", "s"), (15, None, "s"), (16, "", "s")])
     got = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(df).collect()}
