@@ -25,7 +25,7 @@ FEMALE = "Mary|Patricia|Jennifer|Linda|Elizabeth|Susan|Sarah|Karen|Emma|Alice|Ur
 #: Patterns by type, in order of precedence; every quantifier before a required character has a bound.
 PATTERNS = {
     "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<=[=:]\s{0,2}[\x22']?)(?<![A-Za-z0-9_+/-])(?<=(?i:token|password|passwd|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9_+/=-]{8,128}",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
@@ -33,9 +33,22 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])",
     "male": rf"(?<!\p{{L}})(?:{MALE})(?= \p{{Lu}})",
     "female": rf"(?<!\p{{L}})(?:{FEMALE})(?= \p{{Lu}})",
-    "family": rf"(?<!\p{{L}})(?=\p{{Lu}})(?<=(?<!\p{{L}})(?:(?:{TITLES})\.?|{MALE}|{FEMALE}) )\p{{L}}{{2,40}}",
+    "family": rf"(?<!\p{{L}})(?=\p{{Lu}})(?<=[\p{{L}}.] )(?<=(?<!\p{{L}})(?:(?:{TITLES})\.?|{MALE}|{FEMALE}) )\p{{L}}{{2,40}}",
 }
-ANY = "|".join(PATTERNS.values())
+#: What may match by the character before it and the one it starts with; which types are tried there, in the order above.
+_STARTS = {
+    "(?<![A-Za-z0-9])": {
+        "[a-z]": "secret email",
+        "[A-Z]": "secret email iban male female family",
+        "[0-9]": "secret email ip card ssn phone",
+        "[._%+(/=-]": "secret email phone",
+        r"[\p{Lu}&&[^A-Z]]": "male female family",
+    },
+    "(?<=[A-Za-z])": {"[0-9]": "ip ssn"},
+    "(?<=[0-9])": {r"\p{Lu}": "male female"},
+}
+#: All patterns at once: the same matches as their plain alternation, but few are tried at each character.
+ANY = "|".join(f"{before}(?:" + "|".join(f"(?={start})(?:{'|'.join(PATTERNS[k] for k in kinds.split())})" for start, kinds in by.items()) + ")" for before, by in _STARTS.items())
 
 _SYLLABLES = "ba be bi bo da de di do fa fe fi ga ge go ha he ho ka ke ki ko la le li lo ma me mi mo na ne ni no pa pe pi ra re ri ro sa se si so ta te ti to va ve vi wa we za ze zo".split()
 _CYRILLIC = "ба бе би бо да де ди до ка ке ки ко ла ле ли ло ма ме ми мо на не ни но ра ре ри ро са се си со та те ти то ва ве ви".split()
