@@ -12,9 +12,10 @@ def components(links: DataFrame) -> DataFrame:
     """Smallest reachable node of every node that has a link.
 
     ``links`` has long columns ``a`` and ``b``; direction, repeats, self links and nulls don't matter.
-    Returns ``node, component``; without links the result is empty. Each step is a grouped minimum joined
-    back to the edges, so a node with very many links is never gathered into one task, and each round is
-    written to the shared folder, so a lost executor costs no more than the current round.
+    Returns ``node, component``; without links the result is empty. Each step is a grouped minimum, taken in part
+    before the shuffle, joined back to the edges; no group is held in memory. The join deals edges by node, so a node
+    with very many links makes one large partition unless adaptive execution splits it. Each round is written to the
+    shared folder, so a lost executor costs no more than the current round.
     """
     edges = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, before = scratch.write(edges, "edges"), None
