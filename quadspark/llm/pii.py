@@ -24,7 +24,7 @@ FEMALE = "Mary|Patricia|Jennifer|Linda|Elizabeth|Susan|Sarah|Karen|Emma|Alice|Ur
 
 #: Patterns by type, in order of precedence; every quantifier before a required character has a bound.
 PATTERNS = {
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<=[=:]\s{0,2}[\x22']?)(?<![A-Za-z0-9_+/-])(?<=(?i:token|password|passwd|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9_+/=-]{8,128}",
+    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<=[=:]\s{0,2}[\x22']?)(?<![A-Za-z0-9_+/-])(?<=(?i:token|password|passwd|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\x22']?)(?=[_+/=-]*+[A-Za-z0-9])[A-Za-z0-9_+/=-]{8,128}",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9A-Za-z])",
@@ -52,6 +52,8 @@ ANY = "|".join(f"{before}(?:" + "|".join(f"(?={start})(?:{'|'.join(PATTERNS[k] f
 
 _SYLLABLES = "ba be bi bo da de di do fa fe fi ga ge go ha he ho ka ke ki ko la le li lo ma me mi mo na ne ni no pa pe pi ra re ri ro sa se si so ta te ti to va ve vi wa we za ze zo".split()
 _CYRILLIC = "ба бе би бо да де ди до ка ке ки ко ла ле ли ло ма ме ми мо на не ни но ра ре ри ро са се си со та те ти то ва ве ви".split()
+#: Draws after which a format of fixed length takes letters for digits, so that it has more values than entities.
+_STRICT = 8
 _GLYPHS = {"[0-9]": "0123456789", "[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
 
@@ -69,6 +71,12 @@ def _reshape(value: Column, stream: Column) -> Column:
     return F.array_join(F.transform(F.split(value, ""), one), "")
 
 
+def _letters(stream: Column, n: Column, first: int = 0) -> Column:
+    """As many small letters as ``n``, at most 16."""
+    made = F.transform(F.sequence(F.lit(1), F.lit(16)), lambda i: F.substring(F.lit(_GLYPHS["[a-z]"]), _byte(stream, i + first) % 26 + 1, F.lit(1)))
+    return F.array_join(F.slice(made, F.lit(1), F.least(n, F.lit(16))), "")
+
+
 def _luhn(digits: Column) -> Column:
     """Check digit for a string of digits."""
     weigh = F.transform(F.split(F.reverse(digits), ""), lambda d, i: F.when(i % 2 == 0, F.element_at(F.array(*[F.lit(x) for x in (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)]), F.coalesce(d.try_cast("int"), F.lit(0)) + 1)).otherwise(F.coalesce(d.try_cast("int"), F.lit(0))))
@@ -86,15 +94,23 @@ def _name(stream: Column, attempt: Column, end: dict[str, str], value: Column) -
 
 
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Column:
-    """The keyed stand-in of one normalised entity."""
+    """The keyed stand-in of one normalised entity.
+
+    Each further attempt draws from more values, so there is always one left: names, secrets and addresses grow, and
+    from attempt _STRICT on numbers have letters among their digits and IPv4 addresses become IPv6 ones.
+    """
     stream = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, norm, attempt.cast("string")), 512)
     shaped = _reshape(norm, stream)
     length = F.length(norm)
     labels = F.split(F.substring_index(norm, "@", -1), r"\.")
     outer = F.array_join(F.transform(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(0))), lambda x: F.concat(_reshape(x, stream), F.lit("."))), "")
     top = F.element_at(labels, -1)
-    email = F.concat(_reshape(F.substring_index(norm, "@", 1), stream), F.lit("@"), outer, F.lit("example."), F.when(top.isin("com", "net", "org"), top).otherwise(F.lit("org")))
+    wide = F.least(attempt, F.lit(16))
+    local = F.concat(F.substring(_reshape(F.substring_index(norm, "@", 1), stream), F.lit(1), 64 - wide), _letters(stream, wide))
+    outer = F.when((outer == "") & (attempt > 0), F.concat(_letters(stream, wide, 16), F.lit("."))).otherwise(outer)
+    email = F.concat(local, F.lit("@"), outer, F.lit("example."), F.when(top.isin("com", "net", "org"), top).otherwise(F.lit("org")))
     ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(stream, i) % 254 + 1).cast("string")), ".")
+    ip = F.when(attempt < _STRICT, ip).otherwise(F.concat(F.lit("2001:db8"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.concat(F.lit(":"), F.substring(stream, i * 4 + 1, F.lit(4)))), "")))
     body = F.concat(norm.substr(F.lit(1), F.lit(1)), shaped.substr(F.lit(2), length - 2))
     valid = _luhn(norm.substr(F.lit(1), length - 1)) == norm.substr(length, F.lit(1)).try_cast("int")
     card = F.concat(body, F.when(valid, _luhn(body).cast("string")).otherwise(((_luhn(body) + 1 + _byte(stream, F.lit(63)) % 9) % 10).cast("string")))
@@ -103,9 +119,12 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
     phone = F.concat(norm.substr(F.lit(1), national), lead, shaped.substr(national + 2, length))
     hexed = F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.substring(F.lit("0123456789abcdef"), _byte(stream, i) % 16 + 1, F.lit(1))), "")
     shaped_secret = F.when(F.rlike(norm, F.lit("^[0-9a-f]+$")), hexed).otherwise(shaped)
-    secret = F.when(F.startswith(norm, F.lit("AKIA")), F.concat(F.lit("AKIA"), shaped.substr(F.lit(5), length))).otherwise(shaped_secret)
+    longer = F.concat(shaped_secret, F.substring(stream, F.lit(65), attempt))
+    secret = F.when(F.rlike(norm, F.lit("^AKIA[0-9A-Z]{16}$")), F.concat(F.lit("AKIA"), shaped.substr(F.lit(5), length))).otherwise(longer)
     iban = F.concat(norm.substr(F.lit(1), F.lit(2)), shaped.substr(F.lit(3), length))
-    made = {"email": email, "ip": ip, "card": card, "phone": phone, "secret": secret, "iban": iban}
+    mixed = F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.substring(F.lit("0123456789abcdefghijklmnopqrstuvwxyz"), _byte(stream, i) % 36 + 1, F.lit(1))), "")
+    strict = {"card": card, "phone": phone, "iban": iban, "ssn": shaped}
+    made = {"email": email, "ip": ip, "secret": secret} | {k: F.when(attempt < _STRICT, v).otherwise(mixed) for k, v in strict.items()}
     names = {"male": {"latin": "ro", "cyrillic": "н"}, "female": {"latin": "na", "cyrillic": "на"}, "family": {"latin": "ner", "cyrillic": "ов"}}
     made |= {k: _name(stream, attempt, end, norm) for k, end in names.items()}
     return reduce(lambda rest, item: F.when(kind == item[0], item[1]).otherwise(rest), made.items(), shaped)
