@@ -22,18 +22,27 @@ TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Mme|Señor|Señora"
 MALE = "James|John|Robert|Michael|William|David|Thomas|Charles|Daniel|Peter|Hans|Klaus|Jürgen|Wolfgang|Pierre|Jean|Michel|Luc|José|Carlos|Miguel|Javier|Иван|Сергей|Дмитрий|Алексей"
 FEMALE = "Mary|Patricia|Jennifer|Linda|Elizabeth|Susan|Sarah|Karen|Emma|Alice|Ursula|Sabine|Petra|Monika|Marie|Sophie|Camille|Claire|Carmen|Lucía|Isabel|Pilar|Анна|Мария|Ольга|Елена"
 
-#: Patterns by type, in order of precedence; every quantifier before a required character has a bound.
+#: What announces a secret, up to where it starts but for an opening quote.
+_KEY = r"(?i:token|password|passwd|secret|api[_-]?key)[\x22']?\s{0,2}[=:]\s{0,2}"
+#: A secret goes on to its closing quote or to white space; without quotes, punctuation belongs to it if more of it follows.
+_UNQUOTED = r"(?:[\p{L}\p{N}_+/=$%&*@#~^|\\-]|[.,;:!?(){}\[\]'](?=[.,;:!?(){}\[\]']{0,63}[\p{L}\p{N}_+/=$%&*@#~^|\\-])){8,}+"
+_SECRET = rf"(?<=[=:]\s{{0,2}}[\x22']?)(?=[\x21-\x7E&&[^A-Za-z0-9\s\x22']]*+[A-Za-z0-9])(?:(?<={_KEY}\x22)(?:[^\s\x22\\]|\\\S){{8,}}+|(?<={_KEY}')(?:[^\s'\\]|\\\S){{8,}}+|(?<={_KEY})(?![(\[{{]){_UNQUOTED})"
+#: A word of a family name, and the name: any number of them, after initials.
+_WORD = r"\p{Lu}(?=\p{L}|['’]\p{L})[\p{L}\p{M}]*+(?:(?:-(?=\p{Lu})|['’](?=\p{Lu}|\p{L}{3}))[\p{L}\p{M}]++)*+"
+_FAMILY = rf"(?:\p{{Lu}}\. ){{0,3}}+{_WORD}(?: {_WORD})*+"
+
+#: Patterns by type, in order of precedence; every quantifier before a required character has a bound or gives nothing back.
 PATTERNS = {
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<=[=:]\s{0,2}[\x22']?)(?<![A-Za-z0-9_+/-])(?<=(?i:token|password|passwd|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\x22']?)(?=[_+/=-]*+[A-Za-z0-9])[A-Za-z0-9_+/=-]{8,128}",
+    "secret": rf"(?<![A-Za-z0-9])AKIA[0-9A-Z]{{16}}(?![0-9A-Za-z])|{_SECRET}",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])",
-    "male": rf"(?<!\p{{L}})(?:{MALE})(?= \p{{Lu}})",
-    "female": rf"(?<!\p{{L}})(?:{FEMALE})(?= \p{{Lu}})",
-    "family": rf"(?<!\p{{L}})(?=\p{{Lu}})(?<=[\p{{L}}.] )(?<=(?<!\p{{L}})(?:(?:{TITLES})\.?|{MALE}|{FEMALE}) )\p{{L}}{{2,40}}",
+    "male": rf"(?<!\p{{L}})(?:{MALE})(?= \p{{Lu}}|-(?:{MALE}|{FEMALE}) \p{{Lu}})",
+    "female": rf"(?<!\p{{L}})(?:{FEMALE})(?= \p{{Lu}}|-(?:{MALE}|{FEMALE}) \p{{Lu}})",
+    "family": rf"(?<!\p{{L}})(?=\p{{Lu}})(?<=[\p{{L}}.] )(?<=(?<!\p{{L}})(?:(?:{TITLES})\.?|{MALE}|{FEMALE}) ){_FAMILY}",
 }
 #: What may match by the character before it and the one it starts with; which types are tried there, in the order above.
 _STARTS = {
@@ -43,6 +52,7 @@ _STARTS = {
         "[0-9]": "secret email ip card ssn phone",
         "[._%+(/=-]": "secret email phone",
         r"[\p{Lu}&&[^A-Z]]": "male female family",
+        r"[\x21-\x7E&&[^A-Za-z0-9._%+(/=-]]": "secret",
     },
     "(?<=[A-Za-z])": {"[0-9]": "ip ssn"},
     "(?<=[0-9])": {r"\p{Lu}": "male female"},
@@ -117,8 +127,9 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
     national = F.greatest(length - 10, F.lit(0))
     lead = (_byte(stream, F.lit(62)) % 8 + 2).cast("string")
     phone = F.concat(norm.substr(F.lit(1), national), lead, shaped.substr(national + 2, length))
+    foreign = _reshape(F.regexp_replace(norm, r"[^\x00-\x7F]", "x"), stream)
     hexed = F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.substring(F.lit("0123456789abcdef"), _byte(stream, i) % 16 + 1, F.lit(1))), "")
-    shaped_secret = F.when(F.rlike(norm, F.lit("^[0-9a-f]+$")), hexed).otherwise(shaped)
+    shaped_secret = F.when(F.rlike(norm, F.lit("^[0-9a-f]+$")), hexed).otherwise(foreign)
     longer = F.concat(shaped_secret, F.substring(stream, F.lit(65), attempt))
     secret = F.when(F.rlike(norm, F.lit("^AKIA[0-9A-Z]{16}$")), F.concat(F.lit("AKIA"), shaped.substr(F.lit(5), length))).otherwise(longer)
     iban = F.concat(norm.substr(F.lit(1), F.lit(2)), shaped.substr(F.lit(3), length))
@@ -134,7 +145,7 @@ def _kind(value: Column, before: Column) -> Column:
     """Type of a match: names are told by what stands around them, so all but those are tested on the match alone."""
     full = {k: rf"^(?:{PATTERNS[k]})$" for k in ("email", "ip", "card", "iban", "ssn", "phone")}
     lists = F.when(F.rlike(value, F.lit(rf"^(?:{MALE})$")), "male").when(F.rlike(value, F.lit(rf"^(?:{FEMALE})$")), "female")
-    after_key = F.rlike(before, F.lit(r"(?i:token|password|passwd|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}[\x22']?$")) | F.rlike(value, F.lit(r"^AKIA[0-9A-Z]{16}$"))
+    after_key = F.rlike(before, F.lit(rf"{_KEY}[\x22']?$")) | F.rlike(value, F.lit(r"^AKIA[0-9A-Z]{16}$"))
     kinds = F.when(after_key, "secret")
     for k, pattern in full.items():
         kinds = kinds.when(F.rlike(value, F.lit(pattern)), k)
@@ -155,6 +166,13 @@ def _render(kind: Column, value: Column, made: Column) -> Column:
     return F.when(kind.isin(*_PLAIN), spread).otherwise(made)
 
 
+def _words(cut: DataFrame) -> DataFrame:
+    """Make each word of a name a match of its own, as the same word may stand alone elsewhere."""
+    words = F.transform("_found", lambda v: F.when(F.contains(v, F.lit(" ")) & ~F.rlike(v, F.lit("[0-9]")), F.split(v, " ")).otherwise(F.array(v)))
+    between = F.flatten(F.zip_with(F.slice("_parts", F.lit(1), F.size("_found")), words, lambda part, w: F.concat(F.array(part), F.array_repeat(F.lit(" "), F.size(w) - 1))))
+    return cut.withColumns({"_parts": F.concat(between, F.slice("_parts", -1, 1)), "_found": F.flatten(words)})
+
+
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     """Give each distinct ``kind, norm`` its ``made``, redrawing until all differ and none is an entity itself."""
     own = scratch.write(entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0)), "entities")
@@ -180,7 +198,7 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY) -> Dat
     columns = docs.columns
     has = F.coalesce(F.rlike(F.col(text_col), F.lit(ANY)), F.lit(False))
     cut = docs.where(has).withColumns({"_row": F.monotonically_increasing_id(), "_parts": F.split(F.col(text_col), ANY, -1), "_found": F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))})
-    cut = scratch.write(cut, "matches")
+    cut = scratch.write(_words(cut), "matches")
     spots = cut.select("_row", "_parts", F.posexplode("_found").alias("_at", "value")).select("_row", "_at", "value", F.substring(F.element_at("_parts", F.col("_at") + 1), -24, 24).alias("before"))
     spots = spots.withColumn("kind", _kind(F.col("value"), F.col("before"))).withColumn("norm", _norm(F.col("kind"), F.col("value"))).drop("before")
     spots = scratch.write(spots, "spots")

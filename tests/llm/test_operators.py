@@ -2,6 +2,7 @@ import base64
 import hashlib
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -209,6 +210,24 @@ def test_surrogates_of_unquoted_secrets(spark):
     assert [out[i].text for i in (4, 5)] == texts[4:]
 
 
+def test_whole_entities_are_replaced(spark):
+    long = "".join(random.Random(10).choice("abcdefXYZ0123456789+/") for _ in range(5000))
+    secrets = [f"token={long}", f"token: {'a1.' * 9000}b2", "token=aaaaQ1.bbbbQ2-_.ccccQ3", "password=ab$cd.ef,gh;Q9!zz", "password=Q2größeQ7", "password='Q1 x'", '{"api_key": "Q1<abc>.Q2(Q3)", "b": 1}', "{'secret' : 'aaQ1$bbQ2-ccQ3-ddQ4'}", 'password: "ab\\"cdQ1efQ2."', "password=!Q1abc$Q2"]
+    names = ["James García-López, here", "Mr O'Brien came", "Mary Ann Smith; Mr Smith's car", "Frau Müller-Lüdenscheidt", "Mary A. Smith", "Jean-Pierre Martin is", "Dr. Élan D’Angelo Öz", "Иван Петров-Водкин."]
+    df = spark.createDataFrame(list(enumerate(secrets + names)), "doc_id long, text string")
+    out = [r.text for r in pii.pseudonymise(df).orderBy("doc_id").collect()]
+    assert long[128:] not in out[0] and long[-12:] not in out[0] and len(out[0]) == len(secrets[0]) and "a1.a1" not in out[1]
+    assert out[5] == secrets[5]  # a blank ends a secret, and this one is too short
+    for text, made in zip(secrets[2:5] + secrets[6:], out[2:5] + out[6:10], strict=True):
+        assert not any(w in made for w in re.findall(r"\w*Q\d\w*", text)), made
+        assert len(made) == len(text), made
+    assert "größ" not in out[4] and out[6].startswith('{"api_key": "') and out[6].endswith('", "b": 1}')
+    for word in ("García", "López", "Brien", "Ann", "Smith", "Müller", "Lüden", "Jean", "Pierre", "Martin", "Élan", "Angelo", "Öz", "Петров", "Водкин"):
+        assert not any(word in t for t in out[10:]), word
+    mary, mister = out[12].split("; Mr ")
+    assert mary.split()[2] == mister.removesuffix("'s car") and out[10].endswith(", here") and out[15].endswith(" is")
+
+
 def test_surrogates_always_end(spark, monkeypatch):
     write, turns = pii.scratch.write, []
 
