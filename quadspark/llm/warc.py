@@ -18,7 +18,8 @@ LEAST_SHARED, RANGE_BYTES = 100, 4 << 20
 BROADCAST_SHARED = 200_000
 
 _MAGIC, _HEAD_END, _TAIL = b"WARC/1.0\r\n", b"\r\n\r\n", b"\r\n\r\n"
-_MOST_HEAD = 1 << 20
+#: What is read at a time of a header that goes on after the bytes at hand.
+_HEAD_BLOCK = 1 << 20
 _DATE = "2024-01-01T00:00:00Z"
 
 
@@ -68,33 +69,52 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
     return into
 
 
-def _header(data: bytes, at: int) -> tuple[int, dict[bytes, bytes]] | None:
-    """Where the payload of the record at ``at`` starts, and its fields; None if no whole header is there."""
-    stop = data.find(_HEAD_END, at, at + _MOST_HEAD)
-    if not data.startswith(_MAGIC, at) or stop < 0:
+def _number(digits: bytes) -> int | None:
+    """Digits as a number; None for anything else."""
+    return int(digits) if digits.isdigit() else None
+
+
+def _header(file: pa.NativeFile, data: bytes, base: int, at: int, size: int) -> tuple[int, dict[bytes, bytes], int] | None:
+    """Where the payload of the record at offset ``at`` starts, the fields and the payload's length.
+
+    ``data`` are the bytes at hand from offset ``base`` on; a header that goes on after them is read to its end,
+    however far. None if no header of a payload that ends within the file is there.
+    """
+    if not data.startswith(_MAGIC, at - base):
         return None
+    stop = data.find(_HEAD_END, at - base)
+    if stop < 0:
+        data, base, seen = bytearray(data[at - base :]), at, 0
+        while (stop := data.find(_HEAD_END, seen)) < 0:
+            seen = max(0, len(data) - len(_HEAD_END) + 1)
+            more = file.read_at(min(size - base - len(data), _HEAD_BLOCK), base + len(data))
+            if not more:
+                return None
+            data += more
     fields = {}
-    for field in data[at + len(_MAGIC) : stop].split(b"\r\n"):
+    for field in bytes(data[at - base + len(_MAGIC) : stop]).split(b"\r\n"):
         name, colon, value = field.partition(b":")
         if not colon:
             return None
         fields[name.strip().lower()] = value.strip()
-    return (stop + len(_HEAD_END), fields) if fields.get(b"content-length", b"").isdigit() else None
+    start, length = base + stop + len(_HEAD_END), _number(fields.get(b"content-length", b""))
+    return (start, fields, length) if length is not None else None
 
 
 def _scan(file: pa.NativeFile, first: int, stop: int, size: int) -> tuple[list[int], list[int]]:
-    """Candidate records that start in a range of a file, and the successor of each."""
+    """Candidate records that start in a range of a file, and the successor of each.
+
+    A candidate stands at the start of the file or after the end of a record, so headers of candidates never
+    overlap and all ranges together read each byte of a header once.
+    """
+    base = max(0, first - len(_TAIL))
     end = min(size, stop + len(_MAGIC))
-    data, at, found, after = file.read_at(end - first, first), 0, [], []
-    while (at := data.find(_MAGIC, at)) >= 0 and first + at < stop:
-        head = _header(data, at)
-        if head is None and first + at + _MOST_HEAD > end:  # the header may go on after the range
-            more = file.read_at(min(size - first - at, _MOST_HEAD), first + at)
-            head = _header(more, 0)
-            head = head and (head[0] + at, head[1])
+    data, at, found, after = file.read_at(end - base, base), first - base, [], []
+    while (at := data.find(_MAGIC, at)) >= 0 and base + at < stop:
+        head = _header(file, data, base, base + at, size) if base + at == 0 or data.endswith(_TAIL, 0, at) else None
         if head is not None:
-            found.append(first + at)
-            after.append(first + head[0] + int(head[1][b"content-length"]) + len(_TAIL))
+            found.append(base + at)
+            after.append(head[0] + head[2] + len(_TAIL))
         at += 1
     return found, after
 
@@ -133,24 +153,21 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             store, path = fs.FileSystem.from_uri(row["file"])
             with store.open_input_file(path) as file:
-                at, stop, out, held = row["at"], min(row["first"] + RANGE_BYTES, row["size"]), [], 0
-                data, base = file.read_at(stop - at, at), at
+                size, at, out, held = row["size"], row["at"], [], 0
+                stop = min(row["first"] + RANGE_BYTES, size)
+                data, base = file.read_at(min(stop + len(_MAGIC), size) - at, at), at
                 while at < stop:
-                    head = _header(data, at - base)
-                    if head is None or head[0] + int(head[1][b"content-length"]) > len(data):
-                        more = file.read_at(min(row["size"] - at, _MOST_HEAD), at)
-                        if (head := _header(more, 0)) is None:
-                            break
-                        need = head[0] + int(head[1][b"content-length"])
-                        data, base = (more if need <= len(more) else file.read_at(min(need, row["size"] - at), at)), at
-                    length = int(head[1][b"content-length"])
-                    payload = data[head[0] : head[0] + length]
-                    if len(payload) < length:
-                        break  # the file ends inside this record
-                    fields = head[1]
-                    size = fields.get(b"warc-payload-length", str(length).encode())
-                    out.append([said(fields, b"warc-record-id"), said(fields, b"warc-target-uri"), said(fields, b"warc-type"), said(fields, b"warc-refers-to"), said(fields, b"warc-payload-digest"), int(size) if size.isdigit() else None, payload])
-                    at, held = base + head[0] + length + len(_TAIL), held + length
+                    if (head := _header(file, data, base, at, size)) is None:
+                        break  # also where the file ends inside this record
+                    start, fields, length = head
+                    if start + length > base + len(data):
+                        data, base = file.read_at(start + length - at, at), at
+                    payload = data[start - base : start - base + length]
+                    declared = fields.get(b"warc-payload-length", str(length).encode())
+                    out.append([said(fields, b"warc-record-id"), said(fields, b"warc-target-uri"), said(fields, b"warc-type"), said(fields, b"warc-refers-to"), said(fields, b"warc-payload-digest"), _number(declared), payload])
+                    at, held = start + length + len(_TAIL), held + length
+                    if at < stop and at - base + len(_MAGIC) > len(data):
+                        data, base = file.read_at(min(stop + len(_MAGIC), size) - at, at), at
                     if held > 4 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _RECORD, strict=True)], schema=_RECORD)
                         out, held = [], 0

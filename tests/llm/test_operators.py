@@ -122,6 +122,12 @@ def test_archives(spark, monkeypatch):
     assert warc.read(spark, warc.write(df.limit(0))).count() == 0
 
 
+def test_archives_with_urls_longer_than_any_block(spark):
+    rows = [(1, "a", "one"), (2, "u" * 5_000_000, "two"), (3, "v" * (1 << 20), "three"), (4, "b", "x" * 9_000_000), (5, "c", "five")]
+    got = warc.read(spark, warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))).collect()
+    assert sorted((r.record_id, r.url, bytes(r.payload).decode()) for r in got) == [(f"<urn:page:{i}>", u, h) for i, u, h in rows]
+
+
 def test_leap_rejects_lookalikes():
     assert warc._leap([0, 10, 25, 40], [25, 99, 40, 60]).tolist() == [60, 99, 60, 60]
 
