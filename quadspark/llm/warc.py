@@ -70,8 +70,8 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
 
 
 def _number(digits: bytes) -> int | None:
-    """Digits as a number; None for anything else."""
-    return int(digits) if digits.isdigit() else None
+    """Digits as a number that fits 64 bits; None for anything else."""
+    return int(digits) if digits.isdigit() and len(digits.lstrip(b"0")) < 19 and len(digits) < 1000 else None
 
 
 def _header(file: pa.NativeFile, data: bytes, base: int, at: int, size: int) -> tuple[int, dict[bytes, bytes], int] | None:
@@ -98,7 +98,7 @@ def _header(file: pa.NativeFile, data: bytes, base: int, at: int, size: int) ->
             return None
         fields[name.strip().lower()] = value.strip()
     start, length = base + stop + len(_HEAD_END), _number(fields.get(b"content-length", b""))
-    return (start, fields, length) if length is not None else None
+    return (start, fields, length) if length is not None and start + length <= size else None
 
 
 def _scan(file: pa.NativeFile, first: int, stop: int, size: int) -> tuple[list[int], list[int]]:

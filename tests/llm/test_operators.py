@@ -128,6 +128,13 @@ def test_archives_with_urls_longer_than_any_block(spark):
     assert sorted((r.record_id, r.url, bytes(r.payload).decode()) for r in got) == [(f"<urn:page:{i}>", u, h) for i, u, h in rows]
 
 
+def test_lookalikes_of_any_length_are_no_records(spark):
+    fake = "".join(f"\r\n\r\nWARC/1.0\r\nContent-Length: {n}\r\n\r\n" for n in ("9" * 18, "9" * 19, "9" * 20, "9" * 5000, "0" * 5000, "7"))
+    rows = [(1, "a", fake), (2, "b", "p" + fake), (3, "c", "end")]
+    got = warc.read(spark, warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))).collect()
+    assert sorted((r.url, bytes(r.payload).decode()) for r in got) == [(u, h) for _, u, h in rows]
+
+
 def test_leap_rejects_lookalikes():
     assert warc._leap([0, 10, 25, 40], [25, 99, 40, 60]).tolist() == [60, 99, 60, 60]
 
