@@ -66,7 +66,8 @@ class _Encoder(Recent):
     """Ids of what stands between two single spaces, as bytes, by the tokenizers library.
 
     A single space between two other characters always starts a pre-token, and so does punctuation after a
-    letter, so a text can be cut there and the parts encoded alone.
+    letter, so a text can be cut there and the parts encoded alone. Texts that hold an added token of the
+    vocabulary go through the library whole, as such tokens are found before anything is cut.
     """
 
     limit = 500_000
@@ -77,6 +78,7 @@ class _Encoder(Recent):
         super().__init__()
         tokenizer = Tokenizer.from_file(path)
         self.split, self.model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+        self.added, self.library = [t.content for t in tokenizer.get_added_tokens_decoder().values()], tokenizer
         self.code = "I" if tokenizer.get_vocab_size() > 1 << 16 else "H"
         self.width = 4 if self.code == "I" else 2
         self.tail = lru_cache(10_000)(self.alone)
@@ -111,6 +113,8 @@ class _Encoder(Recent):
         return out
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
         first, *rest = self.parts(text)
         return b"".join([self.alone(first), *map(self.__getitem__, rest)])
 

@@ -110,6 +110,14 @@ def test_token_files_round_trip(spark):
     assert zlib.crc32(b"") == 0
 
 
+def test_added_tokens_are_encoded_as_by_the_library(spark):
+    rows = [(1, "a <|endoftext|> b", "s"), (2, "<|endoftext|><|endoftext|>\n x  y", "s"), (3, "a <|endoftex b", "s"), (4, "z", "s")]
+    got = sorted(tokenfile.read(spark, tokenfile.write(docs(spark, rows), partitions=2)).collect(), key=lambda r: r.start)
+    want = [[*Tokenizer.from_file(tokenfile.VOCABULARY).encode(t, add_special_tokens=False).ids, 2] for _, t, _ in rows]
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == want and want[0] == [64, 220, 50256, 275, 2]
+    assert [r.start for r in got] == [sum(map(len, want[:k])) for k in range(4)]
+
+
 PAGES = [(1, "u", "<p>" + "a" * 200), (2, "u", "<p>" + "a" * 200), (3, None, None), (4, "x\r\ny", "short"), (5, "u", "short"), (6, "u", "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 9)]
 
 
