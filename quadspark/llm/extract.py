@@ -16,14 +16,21 @@ from pyspark.sql import functions as F
 # Element names by their part in a page.
 BLOCKS = frozenset("address article aside blockquote body br_ button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object audio video canvas".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Elements left out if they are closed; else they are ordinary ones, as in browsers.
+LEFT_OUT = frozenset("noscript template svg object audio video canvas annotation".split())
 BOILERPLATE = frozenset("nav footer aside form head menu dialog button select option fieldset search".split())
 CONTENT = frozenset("article main".split())
 #: Words in class, id and role that mark boilerplate or content.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|side|widget|footer|masthead|header|topbar|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend(?:ed|ations)?|comments?|commentlist|disqus|replies|reply|respond|pagination|pager|tags|toolbar|contentinfo|complementary|search)(?:$|[\s_-])",
+    r"ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|side|widget|footer|masthead|header|topbar|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend(?:ed|ations)?|comments?|commentlist|disqus|replies|reply|respond|pagination|pager|tags|toolbar|contentinfo|complementary|search",
     re.I,
 )
+#: Parts before a mark that make it a property of the page, and parts after one that leave it what it is.
+_HAVING = frozenset("has have no not with without hide hidden show".split())
+_KINDS = frozenset("left right top bottom primary secondary list item items link links area section block box container wrapper wrap inner content slot unit posts articles buttons icons bar form text".split())
+#: Whole words that cancel marks.
+_CANCEL = frozenset("article articlebody main post entry story content".split())
 GOOD = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|post|entry|story|content|text|body)(?:$|[\s_-])", re.I)
 
 _TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)[^>]*>|[!?/][^>]*>)""")
@@ -47,12 +54,23 @@ class Block:
     text: str = ""
 
 
+def _marked(marks: str) -> bool:
+    """Whether words mark boilerplate: one as a whole or by its last part, and none says that this is content."""
+    bad, words = False, marks.lower().split()
+    for word in words:
+        parts = [x for x in re.split("[_-]+", word) if x]
+        if parts and len(parts) > 2 and parts[-1] in _KINDS or len(parts) == 2 and parts[1] in _KINDS and not MARKS.fullmatch(parts[1]):
+            parts.pop()
+        bad = bad or MARKS.fullmatch(word) is not None or bool(parts) and MARKS.fullmatch(parts[-1]) is not None and _HAVING.isdisjoint(parts[-2:-1])
+    return bad and _CANCEL.isdisjoint(words)
+
+
 def _role(name: str, attributes: str, inside: bool) -> int:
-    """-1 for an element of boilerplate, 1 for one of content, else 0."""
+    """-2 for an element of boilerplate, -1 for one marked as such, 1 for one of content, else 0."""
     if name in BOILERPLATE or name == "header" and not inside:
-        return -1
+        return -2
     marks = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)) if "=" in attributes else ""
-    if marks and name not in ("body", "html", "article", "main") and MARKS.search(marks):
+    if marks and name not in ("body", "html", "article", "main") and _marked(marks):
         return -1
     return 1 if name in CONTENT or marks and GOOD.search(marks) else 0
 
@@ -62,6 +80,9 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # name, role, number of the element
     count = bad = good = links = 0
+    held: list[int] = []  # marks around an <article> or <main>, which don't hold inside
+    hard = outside = 0  # open elements of boilerplate; whether there was content outside marks
+    unclosed: set[str] = set()
     now = Block()
 
     def close() -> None:
@@ -74,10 +95,13 @@ def blocks(page: str) -> list[Block]:
         now = Block(bad=bad > 0, good=good > 0, heading=holder[0] in ("h1", "h2", "h3", "h4", "h5", "h6"), parent=next((s[2] for s in reversed(stack[:-1]) if s[0] in BLOCKS), 0), depth=len(stack))
 
     def pop(upto: int) -> None:
-        nonlocal bad, good, links
+        nonlocal bad, good, links, hard
         while len(stack) > upto:
             name, role, _ = stack.pop()
             bad -= role < 0
+            hard -= role == -2
+            if name in CONTENT:
+                bad += held.pop()
             good -= role > 0
             links -= name == "a"
 
@@ -110,6 +134,13 @@ def blocks(page: str) -> list[Block]:
                 stop = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
                 at = size if stop is None else (page.find(">", stop.end() - 1) + 1 or size)
             continue
+        if name in LEFT_OUT and name not in unclosed and not ends and not (m[4] or "").endswith("/"):
+            stop = re.compile(rf"<(/?){name}[\s/>]", re.I).search(page, at)
+            if stop and stop[1]:
+                at = page.find(">", stop.end() - 1) + 1 or size
+                continue
+            if stop is None:
+                unclosed.add(name)
         if name in VOID:
             if name == "hr":
                 close()
@@ -136,7 +167,12 @@ def blocks(page: str) -> list[Block]:
                     break
         count += 1
         role = _role(name, m[4] or "", good > 0)
+        if name in CONTENT:
+            held.append(bad if bad and not hard and not held and not outside else 0)
+            outside = outside or not bad
+            bad -= held[-1]
         bad += role < 0
+        hard += role == -2
         good += role > 0
         links += name == "a"
         stack.append((name, role, count))

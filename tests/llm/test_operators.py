@@ -160,6 +160,21 @@ def test_main_text(spark):
     assert sorted(r.n_chars for r in extract.extract(df).collect())[0] == 0 and extract.extract(df.limit(0)).count() == 0
 
 
+def test_main_text_below_marked_wrappers():
+    text = "This is a long paragraph of the article, with some words, and a full stop at its end."
+    for wrapper in ('id="content" class="has-sidebar"', 'class="no-sidebar"', 'class="with-header"', 'class="post comments-open tags"', 'class="page-sidebar"'):
+        assert extract.main_text(f"<div {wrapper}><article><p>{text}</p></article></div>") == text, wrapper
+    for wrapper in ('id="content" class="has-sidebar"', 'class="no-sidebar"', 'class="post comments-open tags"'):
+        assert extract.main_text(f"<div {wrapper}><p>{text}</p></div>") == text, wrapper
+    for wrapper in ("ad", "ad-slot", "cookie-notice", "site-footer", "sidebar-left", "widget widget_text", "comments-list", "nav-primary"):
+        assert extract.main_text(f'<article><p>{text}</p></article><div class="{wrapper}"><p>{text}</p></div>') == text, wrapper
+    assert extract.main_text(f'<article><p>{text}</p></article><div id="comments"><article><p>{text}</p></article></div>') == text
+    for name in ("svg", "object", "audio", "video", "canvas", "noscript", "template"):
+        assert extract.main_text(f"<article><{name}><p>{text}</p></article>") == text, name
+        assert extract.main_text(f"<article><{name}>left out</{name}><p>{text}</p></article>") == text, name
+    assert "x=1" in extract.main_text(f"<article><p>{text} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>")
+
+
 def test_cut_is_least():
     rng = random.Random(5)
     for _ in range(60):
