@@ -49,16 +49,16 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
 
 
 def _rated(rows: DataFrame, rates: DataFrame) -> DataFrame:
-    """Join the sources' targets to rows; null is a source as well."""
+    """Join the sources' targets to rows, as ``_source_size, _target, _copies``; null is a source as well."""
     key = (F.col("source").isNull().cast("int"), F.coalesce("source", F.lit("")))
     left = rows.withColumns({"_none": key[0], "_name": key[1]})
-    right = rates.withColumns({"_none": key[0], "_name": key[1]}).drop("source")
+    right = rates.withColumns({"_none": key[0], "_name": key[1]}).select("_none", "_name", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
     if rates.count() <= BROADCAST_SOURCES:
         right = F.broadcast(right)
-    rate = F.when(F.col("source_size") > 0, F.least(F.lit(float(MOST_REPEATS)), F.col("target") / F.col("source_size"))).otherwise(0.0)
+    rate = F.when(F.col("_source_size") > 0, F.least(F.lit(float(MOST_REPEATS)), F.col("_target") / F.col("_source_size"))).otherwise(0.0)
     joined = left.join(right, ["_none", "_name"]).drop("_none", "_name").withColumn("_rate", rate)
     extra = (_draw(F.col("doc_id")) < F.col("_rate") - F.floor("_rate")).cast("long")
-    return joined.withColumn("copies", F.floor("_rate") + extra).drop("_rate")
+    return joined.withColumn("_copies", F.floor("_rate") + extra).drop("_rate")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -70,14 +70,15 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words(F.col(text_col)).alias("size"))
     sizes = scratch.write(own, "sizes")
-    return _rated(sizes, targets(sizes)).withColumn("taken", F.col("size") * F.col("copies"))
+    rated = _rated(sizes, targets(sizes)).withColumn("taken", F.col("size") * F.col("_copies"))
+    return rated.select("doc_id", "source", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_copies").alias("copies"), "taken")
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed documents: every row of ``docs`` as often as ``plan`` takes it, with the same columns."""
     sizes = scratch.write(docs.select("source", words(F.col("text")).alias("size")), "sizes")
-    taken = _rated(docs, targets(sizes)).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    taken = _rated(docs, targets(sizes)).where("_copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 ORACLE_SQL = rf"""

@@ -204,6 +204,14 @@ def test_mixing(spark):
     assert mixing.plan(df.limit(0)).count() == 0
 
 
+def test_mixing_keeps_columns_named_as_its_own(spark):
+    df = docs(spark, [(i, "w " * (i % 7 + 1), f"s{i % 3}") for i in range(300)])
+    extra = df.withColumns({c: F.lit(f"own {c}") for c in ("target", "source_size", "copies")})
+    got = mixing.mix(extra)
+    assert got.columns == extra.columns and got.where("copies != 'own copies' or target != 'own target'").count() == 0
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in mixing.mix(df).collect())
+
+
 def test_vectors_against_all_pairs(spark):
     rng = np.random.default_rng(7)
     base = rng.normal(size=(40, 16))
