@@ -42,7 +42,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes each document."""
-    return mixing.plan(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+    return mixing.plan(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
