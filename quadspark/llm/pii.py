@@ -188,24 +188,57 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
         own = scratch.write(clash.select("kind", "norm", (F.col("attempt") + F.when(again, 1).otherwise(0)).alias("attempt")), "entities")
 
 
+#: Words of a text, apostrophes and hyphens inside them included, and what stands between words.
+_TOKEN = r"[\p{L}\p{M}]++(?:[-'’](?=\p{L})[\p{L}\p{M}]++)*+|[^\p{L}\p{M}]++"
+_NAMES = ("male", "female", "family")
+
+
+def _spread(parts: Column, names: Column) -> Column:
+    """Replace the words of a text's names wherever else they stand in it, with an 's or without."""
+    owner = r"['’]s$"
+
+    def one(t: Column) -> Column:
+        bare = F.concat(F.try_element_at(names, F.regexp_replace(t, owner, "")), F.regexp_extract(t, owner, 0))
+        return F.coalesce(F.when(F.rlike(t, F.lit(r"^\p{Lu}")), F.coalesce(F.try_element_at(names, t), bare)), t)
+
+    return F.transform(parts, lambda p: F.array_join(F.transform(F.regexp_extract_all(p, F.lit(_TOKEN), F.lit(0)), one), ""))
+
+
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
     """Replace every detected entity in whole texts; the same rows and columns, plus long ``n_entities``.
 
+    Names found by their title or given name are replaced wherever their words stand in the same text, unless the
+    word is also there in small letters; n_entities counts what the patterns found, without these further mentions.
     Texts without entities, null and empty ones stay as they are with n_entities 0, repeated rows get the same
-    surrogates, and an empty table gives no rows. Matches and what stands between them are cut apart, distinct
-    entities get their surrogates in one table, and the parts are put together again per row.
+    surrogates, and an empty table gives no rows. A column named n_entities is replaced, others of any name stay.
+
+    The patterns run over each text once, in the job that writes texts, matches and what stands between them;
+    distinct entities get their surrogates in one table, and the parts are put together again per row.
     """
-    columns = docs.columns
-    has = F.coalesce(F.rlike(F.col(text_col), F.lit(ANY)), F.lit(False))
-    cut = docs.where(has).withColumns({"_row": F.monotonically_increasing_id(), "_parts": F.split(F.col(text_col), ANY, -1), "_found": F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0))})
-    cut = scratch.write(_words(cut), "matches")
-    spots = cut.select("_row", "_parts", F.posexplode("_found").alias("_at", "value")).select("_row", "_at", "value", F.substring(F.element_at("_parts", F.col("_at") + 1), -24, 24).alias("before"))
+    others = [c for c in docs.columns if c not in (text_col, "n_entities")]
+    quoted = [F.col(f"`{c}`") for c in others]
+    kept = [f"_c{i}" for i in range(len(others))]
+    marked = docs.select(*[c.alias(k) for c, k in zip(quoted, kept, strict=True)], F.col(f"`{text_col}`").alias("_text"), F.regexp_extract_all(F.col(f"`{text_col}`"), F.lit(ANY), F.lit(0)).alias("_found"))
+    marked = marked.withColumns({"_row": F.monotonically_increasing_id(), "_hit": F.coalesce(F.size("_found") > 0, F.lit(False))})
+    marked = marked.withColumn("_parts", F.when(F.col("_hit"), F.split("_text", ANY, -1))).withColumn("_text", F.when(~F.col("_hit"), F.col("_text")))
+    marked = scratch.write(marked, "matches")
+    cut = _words(marked.where("_hit").drop("_text", "_hit"))
+    named = F.exists("_found", lambda v: F.rlike(v, F.lit(r"^\p{Lu}\p{L}")) & ~F.rlike(v, F.lit("[0-9]")))
+    small = F.array_distinct(F.flatten(F.transform("_parts", lambda p: F.regexp_extract_all(p, F.lit(r"(?<!\p{L})\p{Ll}++"), F.lit(0)))))
+    spots = cut.withColumn("_small", F.when(named, small).otherwise(F.array().cast("array<string>"))).select("_row", "_parts", "_small", F.posexplode("_found").alias("_at", "value"))
+    spots = spots.select("_row", "_at", "value", F.substring(F.element_at("_parts", F.col("_at") + 1), -24, 24).alias("before"), (F.rlike("value", F.lit(r"^\p{Lu}[\p{L}\p{M}'’-]++$")) & ~F.array_contains("_small", F.lower("value"))).alias("alone"))
     spots = spots.withColumn("kind", _kind(F.col("value"), F.col("before"))).withColumn("norm", _norm(F.col("kind"), F.col("value"))).drop("before")
     spots = scratch.write(spots, "spots")
-    named = spots.join(assign(spots, key), ["kind", "norm"]).select("_row", F.struct("_at", _render(F.col("kind"), F.col("value"), F.col("made")).alias("text")).alias("spot"))
-    lists = named.groupBy("_row").agg(F.sort_array(F.collect_list("spot")).alias("_spots"))
-    joined = F.array_join(F.zip_with("_parts", F.col("_spots.text"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = cut.join(lists, "_row").withColumns({text_col: joined, "n_entities": F.size("_found").cast("long")})
-    if "n_chars" in columns:
-        changed = changed.withColumn("n_chars", F.length(text_col).cast(dict(docs.dtypes)["n_chars"]))
-    return docs.where(~has).withColumn("n_entities", F.lit(0).cast("long")).unionByName(changed.select(*columns, "n_entities"))
+    named = spots.join(assign(spots, key), ["kind", "norm"])
+    lists = named.select("_row", F.struct("_at", _render(F.col("kind"), F.col("value"), F.col("made")).alias("text")).alias("spot")).groupBy("_row").agg(F.sort_array(F.collect_list("spot")).alias("_spots"))
+    names = named.where(F.col("kind").isin(*_NAMES) & F.col("alone")).groupBy("_row", "value").agg(F.min(F.struct((F.col("kind") == "family").alias("last"), "made")).alias("best"))
+    names = names.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("value", "best.made"))).alias("_names"))
+    put = cut.join(lists, "_row").join(names, "_row", "left").withColumn("_parts", F.when(F.col("_names").isNotNull(), _spread(F.col("_parts"), F.col("_names"))).otherwise(F.col("_parts")))
+    whole = F.array_join(F.zip_with("_parts", F.col("_spots.text"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    changed = put.select(*kept, whole.alias("_text"), F.size("_found").cast("long").alias("_n"))
+    if "n_chars" in others:
+        at = kept[others.index("n_chars")]
+        changed = changed.withColumn(at, F.length("_text").cast(dict(docs.dtypes)["n_chars"]))
+    rows = marked.where("not _hit").select(*kept, "_text", F.lit(0).cast("long").alias("_n")).unionByName(changed)
+    back = dict(zip(others, kept, strict=True)) | {text_col: "_text"}
+    return rows.select(*[F.col(back[c]).alias(c) for c in docs.columns if c in back], F.col("_n").alias("n_entities"))

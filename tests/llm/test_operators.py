@@ -268,6 +268,32 @@ def test_surrogates(spark):
     assert pii.pseudonymise(df.limit(0)).count() == 0
 
 
+def test_names_are_replaced_wherever_they_stand_in_their_text(spark):
+    texts = ["Mr John Smith called. Smith was late, and John said so; Smith's car (SMITH) stood by Smithson.", "Smith and John are not known here.", "Dr Will Brown said: brown Brown, will Will.", "Frau Müller-Schmidt, dann Müller-Schmidt."]
+    df = spark.createDataFrame([(i, t, 99, "row", "x") for i, t in enumerate(texts)], "doc_id long, text string, n_entities int, `_row` string, `a.b` string")
+    got = pii.pseudonymise(df)
+    assert got.columns == ["doc_id", "text", "_row", "a.b", "n_entities"]
+    rows = [r.text for r in got.orderBy("doc_id").collect()]
+    given, family = rows[0].split()[1:3]
+    assert family != "Smith" and given != "John"
+    assert rows[0] == f"Mr {given} {family} called. {family} was late, and {given} said so; {family}'s car (SMITH) stood by Smithson."
+    assert rows[1] == texts[1] and rows[2].split(": ")[1] == "brown Brown, will Will."
+    assert rows[3].split()[1].rstrip(",") == rows[3].split()[3].rstrip(".") and "Schmidt" not in rows[3]
+
+
+def test_surrogates_are_distinct_and_stable(spark):
+    rng = random.Random(14)
+    people = [f"{rng.choice('abcdefgh')}{rng.choice('xyz')}@{rng.choice('klmn')}.com" for _ in range(300)]
+    texts = [f"mail {p} from {rng.randrange(1, 255)}.0.0.{rng.randrange(9)}" for p in people]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text.split() for r in pii.pseudonymise(df).orderBy("doc_id").collect()]
+    for at in (1, 3):
+        pairs = {(t.split()[at], o[at]) for t, o in zip(texts, out, strict=True)}
+        assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) and not {a for a, _ in pairs} & {b for _, b in pairs}
+    again = [r.text.split() for r in pii.pseudonymise(df.repartition(5)).orderBy("doc_id").collect()]
+    assert again == out
+
+
 def test_surrogates_of_unquoted_secrets(spark):
     texts = ["password=hunter2secret", "API_KEY = Zx81-aa90/bb==", "api-key: abcd1234efgh", "token='q1w2e3r4t5'", "the token was lost = never", "password=short"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
