@@ -6,16 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadspark.llm import scratch
 
-#: Payloads from this size on are stored once; what one task row of the reader scans.
+#: Payloads from this size on are stored once; what one task row of the reader scans by default.
 LEAST_SHARED, RANGE_BYTES = 100, 4 << 20
-#: Shared payloads, of about a hundred bytes here, up to which their table is broadcast; beyond it payloads are shuffled.
-BROADCAST_SHARED = 200_000
+#: Shared payloads, of about a hundred bytes here, up to which their table is broadcast; beyond it pages are shuffled by
+#: digest and one of SALTS numbers, so that the copies of a very common page go to many tasks.
+BROADCAST_SHARED, SALTS = 200_000, 32
 
 _MAGIC, _HEAD_END, _TAIL = b"WARC/1.0\r\n", b"\r\n\r\n", b"\r\n\r\n"
 #: What is read at a time of a header that goes on after the bytes at hand.
@@ -43,8 +43,11 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", paylo
     shared = own.where(F.col("size") >= LEAST_SHARED).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("digest", "first")
     shared = scratch.write(shared, "shared")
     if shared.count() <= BROADCAST_SHARED:
-        shared = F.broadcast(shared)
-    rows = own.join(shared, "digest", "left").withColumn("again", F.coalesce(F.col("first") != F.col("id"), F.lit(False)) & F.col("id").isNotNull())
+        rows = own.join(F.broadcast(shared), "digest", "left")
+    else:
+        salted = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = own.withColumn("salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"], "left")
+    rows = rows.withColumn("again", F.coalesce(F.col("first") != F.col("id"), F.lit(False)) & F.col("id").isNotNull())
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
     urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
     body = F.when(F.col("again"), F.lit("")).otherwise(F.col("payload"))
@@ -131,17 +134,18 @@ def _leap(found: list[int], after: list[int]) -> np.ndarray:
     return to
 
 
-_HOP = "file string, size long, first long, at long, exit long"
+_HOP = "file string, size long, first long, stop long, at long, exit long"
 
 
 def _hops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            store, path = fs.FileSystem.from_uri(row["file"])
+            store, path = scratch.opened(row["file"])
             with store.open_input_file(path) as file:
-                found, after = _scan(file, row["first"], min(row["first"] + RANGE_BYTES, row["size"]), row["size"])
+                found, after = _scan(file, row["first"], row["stop"], row["size"])
             n = len(found)
-            yield pa.RecordBatch.from_arrays([pa.array([row["file"]] * n, pa.string()), pa.array([row["size"]] * n, pa.int64()), pa.array([row["first"]] * n, pa.int64()), pa.array(found, pa.int64()), pa.array(_leap(found, after), pa.int64())], names=["file", "size", "first", "at", "exit"])
+            same = [pa.array([row[c]] * n, pa.string() if c == "file" else pa.int64()) for c in ("file", "size", "first", "stop")]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(found, pa.int64()), pa.array(_leap(found, after), pa.int64())], names=["file", "size", "first", "stop", "at", "exit"])
 
 
 _RECORD = pa.schema([("record_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("declared_digest", pa.string()), ("declared_bytes", pa.int64()), ("payload", pa.binary())])
@@ -151,10 +155,10 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     said = lambda fields, name: fields[name].decode("utf-8", "replace") if name in fields else None
     for batch in batches:
         for row in batch.to_pylist():
-            store, path = fs.FileSystem.from_uri(row["file"])
+            store, path = scratch.opened(row["file"])
             with store.open_input_file(path) as file:
                 size, at, out, held = row["size"], row["at"], [], 0
-                stop = min(row["first"] + RANGE_BYTES, size)
+                stop = row["stop"]
                 data, base = file.read_at(min(stop + len(_MAGIC), size) - at, at), at
                 while at < stop:
                     if (head := _header(file, data, base, at, size)) is None:
@@ -175,17 +179,20 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _RECORD, strict=True)], schema=_RECORD)
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
+def read(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES, strict: bool = True) -> DataFrame:
     """Records of all archives in a folder: ``record_id, url, record_type, refers_to, declared_digest, declared_bytes, payload``.
 
     Tasks scan ranges of bytes for what looks like a record and emit it with the offset where its successor must
     start, already followed to the end of the range. Pointer jumping from the start of each file, doubling the
     hops in every round, keeps the offsets that are reachable, so a record's look-alike inside a payload is never
-    one. Then each range is read from its verified entry on. A chain that breaks, in a damaged or cut file, ends
-    the file's records there; empty files have none; fields that are missing are null.
+    one. Then each range is read from its verified entry on.
+
+    A chain that ends before its file does, in a damaged or cut file, raises; without ``strict`` the file's records
+    end there. Empty files have none; fields that are missing are null.
     """
     files = spark.read.format("binaryFile").load(folder).select(F.col("path").alias("file"), F.col("length").alias("size")).where("size > 0")
-    ranges = files.select("file", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(RANGE_BYTES).cast("long"))).alias("first"))
+    firsts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long")))
+    ranges = files.select("file", "size", firsts.alias("first")).withColumn("stop", F.least(F.col("first") + range_bytes, "size"))
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hops = scratch.write(ranges.repartition(count, "file", "first").mapInArrow(_hops, _HOP), "hops")
     # Only offsets where a chain leaves one range and enters another matter from here on.
@@ -199,7 +206,12 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
         reached = reached.union(fresh)
         second = jump.select("file", F.col("at").alias("to"), F.col("to").alias("end"))
         jump = scratch.write(jump.join(second, ["file", "to"]).select("file", "at", F.col("end").alias("to")), "jump")
-    entries = hops.join(reached, ["file", "at"], "left_semi").select("file", "size", "first", "at")
+    entries = hops.join(reached, ["file", "at"], "left_semi")
+    if strict:
+        whole = entries.where("exit = size").select("file")
+        if broken := files.join(whole, "file", "left_anti").count():
+            raise ValueError(f"the chain of records ends early in {broken} archives")
+    entries = entries.select("file", "size", "first", "stop", "at")
     return entries.repartition(count, "file", "at").mapInArrow(_records, ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'binary' if f.type == pa.binary() else 'string'}" for f in _RECORD))
 
 

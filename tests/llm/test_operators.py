@@ -131,7 +131,7 @@ def test_added_tokens_are_encoded_as_by_the_library(spark):
 PAGES = [(1, "u", "<p>" + "a" * 200), (2, "u", "<p>" + "a" * 200), (3, None, None), (4, "x\r\ny", "short"), (5, "u", "short"), (6, "u", "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n" * 9)]
 
 
-def test_archives(spark, monkeypatch):
+def test_archives(spark):
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     rows = {r.page_id: r for r in warc.catalogue(warc.read(spark, warc.write(df.coalesce(1)))).collect()}
     assert {i: (r.payload_bytes, r.payload_digest) for i, r in rows.items()} == {i: (len(h or ""), hashlib.sha256((h or "").encode()).hexdigest()) for i, _, h in PAGES}
@@ -140,6 +140,35 @@ def test_archives(spark, monkeypatch):
     assert warc.read(spark, warc.write(df.limit(0))).count() == 0
 
 
+def test_chains_over_many_ranges(spark):
+    rng = random.Random(13)
+    fake = "\r\n\r\nWARC/1.0\r\nContent-Length: {}\r\n\r\n"
+    rows = [(i, f"u{i}", "".join(rng.choice(["text ", fake.format(rng.randrange(90)), "é"]) for _ in range(rng.randrange(60))) + str(i)) for i in range(400)]
+    folder = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(3))
+    for size in (64, 1000, 50_000):
+        got = warc.read(spark, folder, range_bytes=size).collect()
+        assert sorted((r.url, bytes(r.payload).decode()) for r in got) == sorted((u, h) for _, u, h in rows), size
+
+
+def test_broken_chains_are_told(spark, tmp_path):
+    record = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes((record * 3).encode())
+    assert warc.read(spark, str(tmp_path)).count() == 3
+    (tmp_path / "b.warc").write_bytes((record * 2 + record[:-6]).encode())
+    with pytest.raises(ValueError, match="1 archives"):
+        warc.read(spark, str(tmp_path))
+    assert warc.read(spark, str(tmp_path), strict=False).count() == 5
+
+
+def test_archives_without_a_broadcast(spark, monkeypatch):
+    rows = [(i, f"u{i}", ("same " * 50) if i % 3 else ("other " * 30)) for i in range(60)] + [(None, None, "same " * 50)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted(map(str, warc.catalogue(warc.read(spark, warc.write(df))).collect()))
+    monkeypatch.setattr(warc, "BROADCAST_SHARED", 0)
+    assert sorted(map(str, warc.catalogue(warc.read(spark, warc.write(df))).collect())) == want
+    assert sum("revisit" in r for r in want) == 58
+
+
 def test_archives_with_urls_longer_than_any_block(spark):
     rows = [(1, "a", "one"), (2, "u" * 5_000_000, "two"), (3, "v" * (1 << 20), "three"), (4, "b", "x" * 9_000_000), (5, "c", "five")]
     got = warc.read(spark, warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))).collect()
