@@ -92,19 +92,20 @@ class Model:
 
 
 def _featured(rows: DataFrame, text_col: str, model: Model) -> DataFrame:
-    """Add ``_features`` to rows and keep all their columns."""
+    """``_own``, a struct of all columns of ``rows``, whatever their names, and ``_features``."""
     words, starts = model.words, model.starts
-    schema = T.StructType([*rows.schema.fields, T.StructField("_features", T.ArrayType(T.DoubleType()))])
+    packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_own"))
+    schema = T.StructType([*packed.schema.fields, T.StructField("_features", T.ArrayType(T.DoubleType()))])
     at = rows.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
-                made = pa.array([features(t, words, starts) for t in part.column(at).to_pylist()], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, "_features"])
+                made = pa.array([features(t, words, starts) for t in part.column(0).flatten()[at].to_pylist()], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), made], names=["_own", "_features"])
 
-    return rows.mapInArrow(run, schema)
+    return packed.mapInArrow(run, schema)
 
 
 def _lexicon(terms: DataFrame, positive: int, total: int) -> dict[str, float]:
@@ -143,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     cut = lambda k: F.transform(F.filter("all", lambda w: F.length(w) > k), lambda w: F.substring(w, 1, k))
     starts = _lexicon(begun.select("toxic", F.explode(F.array_distinct(F.concat(*[cut(k) for k in _BEGINNINGS]))).alias("term")), positive, total)
     model = Model(words, starts)
-    featured = scratch.write(_featured(rows.where("fold >= 5").select("text", "toxic", "fold"), "text", model).select("toxic", "fold", "_features"), "features")
+    featured = scratch.write(_featured(rows.where("fold >= 5").select("text", "toxic", "fold"), "text", model).select("_own.toxic", "_own.fold", "_features"), "features")
     scratch.discard(rows)
     ready = featured.select(F.col("toxic").cast("double").alias("label"), "fold", array_to_vector("_features").alias("features"))
     if ready.where("fold < 8").select("label").distinct().count() < 2:
@@ -157,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Add ``score`` from 0 to 1 and ``predicted`` to every row; columns of those names are replaced.
+    """Add ``score`` from 0 to 1 and ``predicted`` to every row; columns of those names are replaced, others of any name stay.
 
     Null and empty texts are scored as texts without words, repeated rows alike, and an empty table gives no rows.
     The score is the calibrated probability with a fiftieth of the trees' own, which keeps the order within a step.
@@ -167,10 +168,10 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         made = F.lit(0.0)
     else:
         rows = model.trees.transform(rows.withColumn("_vector", array_to_vector("_features")), {model.trees.featuresCol: "_vector", model.trees.probabilityCol: "_probability", model.trees.rawPredictionCol: "_raw", model.trees.predictionCol: "_predicted"})
-        rows = rows.withColumn("_own", vector_to_array("_probability")[1])
-        made = F.col("_own")
+        rows = rows.withColumn("_tree", vector_to_array("_probability")[1])
+        made = F.col("_tree")
         if model.calibration is not None:
-            rows = model.calibration.transform(rows, {model.calibration.featuresCol: "_own", model.calibration.predictionCol: "_calibrated"})
-            made = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(0.98) * F.col("_calibrated") + F.lit(0.02) * F.col("_own")))
-    rows = rows.withColumn("score", made).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
-    return rows.select(*[c for c in docs.columns if c not in ("score", "predicted")], "score", "predicted")
+            rows = model.calibration.transform(rows, {model.calibration.featuresCol: "_tree", model.calibration.predictionCol: "_calibrated"})
+            made = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(0.98) * F.col("_calibrated") + F.lit(0.02) * F.col("_tree")))
+    kept = [F.col(f"_own.`{c}`") for c in docs.columns if c not in ("score", "predicted")]
+    return rows.select(*kept, made.alias("score"), (made >= THRESHOLD).cast("int").alias("predicted"))

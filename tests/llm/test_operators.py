@@ -106,7 +106,7 @@ def test_token_files_round_trip(spark):
     with pytest.raises(ValueError):
         tokenfile.unframe(tokenfile.frame(b"abcd")[:-1] + b"?")
     assert tokenfile.read(spark, tokenfile.write(df.limit(0))).count() == 0
-    assert zlib.crc32(b"") == 0
+    assert tokenfile.masked(b"") == tokenfile._MASK
 
 
 def test_parts_of_texts_are_encoded_as_by_the_library():
@@ -420,4 +420,9 @@ def test_toxicity_held_out(spark):
     held = [r for r in out if r.held and r.doc_id < 1500]
     assert len(out) == len(rows) + len(EDGES) and all(0 <= r.score <= 1 for r in out)
     assert sum(r.predicted == int(r.doc_id % 5 == 0) for r in held) / len(held) > 0.97
+    assert all(r.held == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in out)
+    clash = df.withColumns({c: F.lit(c) for c in ("_features", "_own", "_vector", "_tree", "score")})
+    again = toxicity.score(clash, model)
+    assert again.columns == [c for c in clash.columns if c != "score"] + ["score", "predicted"] and again.where("_features != '_features' or _own != '_own'").count() == 0
+    assert sorted((str(r.doc_id), r.score) for r in again.collect()) == sorted((str(r.doc_id), r.score) for r in out)
     assert toxicity.score(df, toxicity.fit(df, labels.limit(0))).where("predicted = 1").count() == 0
