@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections import Counter
+import json
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadspark.llm import scratch
@@ -17,63 +18,68 @@ from quadspark.llm.components import components
 
 #: Vectors of one label link from this cosine.
 COSINE = 0.93
-#: Trees; vectors of a leaf aimed at; rows of one block of a larger leaf; vectors that thresholds are learned from.
-TREES, LEAF, BLOCK, SAMPLE = 6, 400, 1024, 20_000
-#: A vector goes both ways within so many standard deviations of what a linked pair differs by along a direction.
-SPILL = 0.75
-_SEED, _DEEPEST = 11, 24
-
-
-@dataclass
-class Node:
-    """A split at ``cut`` along the direction of its depth; a leaf has no sides."""
-
-    cut: float = 0.0
-    sides: tuple[Node, Node] | None = None
-
-
-@dataclass
-class Forest:
-    """Directions of every tree and depth, and a tree for each label that the sample shows to be large."""
-
-    size: int
-    directions: np.ndarray
-    trees: list[dict[int, Node]]
-    spill: float
-
-
-def _grow(values: np.ndarray, depth: int, share: float, spill: float) -> Node:
-    """Split the sample's projections (rows by depth) at the median until a leaf stands for few enough vectors."""
-    if len(values) * share <= LEAF or len(values) < 8 or depth >= _DEEPEST:
-        return Node()
-    along = values[:, depth]
-    cut = float(np.median(along))
-    left, right = values[along <= cut + spill], values[along >= cut - spill]
-    if max(len(left), len(right)) > 0.85 * len(values):
-        return Node()  # nearly all is within the spill: linked vectors that no split may part
-    return Node(cut, (_grow(left, depth + 1, share, spill), _grow(right, depth + 1, share, spill)))
-
-
-def fit(vectors: DataFrame) -> Forest:
-    """Learn thresholds from at most SAMPLE distinct vectors, chosen by hash; ``vectors`` has label, size and vec."""
-    total = vectors.count()
-    share = min(1.0, SAMPLE * 0.95 / max(1, total))
-    rows = vectors.where(F.pmod(F.xxhash64("vec", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).select("label", "size", "vec").collect()
-    size = Counter(r["size"] for r in rows).most_common(1)[0][0] if rows else 1
-    rng = np.random.default_rng(_SEED)
-    directions = rng.normal(size=(TREES, _DEEPEST, size))
-    directions /= np.linalg.norm(directions, axis=2, keepdims=True)
-    spill = SPILL * float(np.sqrt(2 * (1 - COSINE) / size))
-    trees: list[dict[int, Node]] = [{} for _ in range(TREES)]
-    by: dict[int, list[bytes]] = {}
-    for r in rows:
-        if r["size"] == size:
-            by.setdefault(r["label"], []).append(bytes(r["vec"]))
-    for label, vecs in by.items():
-        unit = _unit(np.frombuffer(b"".join(vecs), "<f4").reshape(-1, size))
-        for t in range(TREES):
-            trees[t][label] = _grow(unit @ directions[t].T, 0, 1 / share, spill)
-    return Forest(size, directions, trees, spill)
+#: A leaf of more vectors is split; rows of one block of a leaf that can't be; vectors of a leaf that its splits are
+#: learned from, and those of them that a further split needs.
+LEAF, BLOCK, SAMPLE, LEAST = 400, 1024, 8192, 48
+#: All widths are in units of what a pair at COSINE differs by along a direction (its standard deviation). A vector
+#: within SPILL of a cut goes both ways. A cut may have at most CROWDED of the vectors within 1 of it, else it would
+#: part vectors that link with each other, as in a group of near-copies, which stays one leaf.
+SPILL, CROWDED = 0.15, 0.5
+#: Part of the pairs at COSINE that all trees together may miss; pairs above it are missed far more seldom.
+MISSED = 0.002
+#: Bytes of splits up to which they are broadcast.
+BROADCAST_SPLITS = 32 << 20
+_SEED, _TRIES = 11, 4
+
+# Of pairs at COSINE a cut parts _PARTED, and it doubles _DOUBLED of the vectors, if _NEAR of them are within 1 of it.
+_NEAR = 0.35
+_PARTED = _NEAR * (math.exp(-2 * SPILL**2) / math.sqrt(2 * math.pi) - SPILL * math.erfc(2 * SPILL / math.sqrt(2)))
+_DOUBLED = _NEAR * SPILL
+
+
+def trees(n: Column) -> Column:
+    """How many trees keep the share of missed pairs below MISSED among ``n`` vectors: about n to the power of 0.2."""
+    depth = F.ceil(F.greatest(F.lit(0.0), F.log(n / LEAF) / math.log(2 / (1 + _DOUBLED))))
+    kept = F.pow(F.lit(1 - _PARTED), depth)
+    return F.when(n <= LEAF, F.lit(1)).otherwise(F.ceil(F.log(F.lit(MISSED)) / F.log1p(-kept))).cast("int")
+
+
+@lru_cache(4096)
+def _direction(tree: int, depth: int, size: int) -> np.ndarray:
+    way = np.random.default_rng([_SEED, tree, depth]).normal(size=size)
+    return way / np.linalg.norm(way)
+
+
+def _width(size: int) -> float:
+    """Standard deviation of the difference of a pair at COSINE along a random direction."""
+    return math.sqrt(2 * (1 - COSINE) / size)
+
+
+def _cut(along: np.ndarray, width: float) -> float | None:
+    """Where to cut values: between the quartiles if it is sparse enough there, else anywhere; None if it is nowhere."""
+    values = np.sort(along)
+    for low, high in ((0.25, 0.75), (0.05, 0.95)):
+        at = values[np.unique(np.linspace(low * (len(values) - 1), high * (len(values) - 1), 33).astype(int))]
+        near = np.searchsorted(values, at + width, "right") - np.searchsorted(values, at - width, "left")
+        best = np.lexsort((np.abs(at - np.median(values)), near // max(1, len(values) // 50)))[0]
+        if near[best] <= CROWDED * len(values) and values[0] < at[best] - SPILL * width and values[-1] > at[best] + SPILL * width:
+            return float(at[best])
+    return None
+
+
+def _grow(unit: np.ndarray, share: float, tree: int, depth: int) -> list | int:
+    """Splits learned from a sample of a leaf: [depth, cut, left, right], 0 where more rows may split further, 1 for good."""
+    if len(unit) * share <= LEAF:
+        return 1
+    if len(unit) < LEAST:
+        return 0
+    width = _width(unit.shape[1])
+    for at in range(depth, depth + _TRIES):
+        along = unit @ _direction(tree, at, unit.shape[1])
+        if (cut := _cut(along, width)) is not None:
+            sides = unit[along <= cut + SPILL * width], unit[along >= cut - SPILL * width]
+            return [at, cut, *[_grow(side, share, tree, at + 1) for side in sides]]
+    return 1
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -81,6 +87,72 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _units(table: pa.Table | pa.RecordBatch, rows: list[int] | None = None) -> np.ndarray:
+    vecs = table.column("vec").to_pylist() if rows is None else table.column("vec").take(pa.array(rows)).to_pylist()
+    return _unit(np.frombuffer(b"".join(vecs), "<f4").reshape(len(vecs), -1))
+
+
+_SPLITS = pa.schema([("code", pa.int64()), ("splits", pa.string())])
+
+
+def _learned(table: pa.Table) -> pa.Table:
+    """Splits of one leaf from its sampled rows."""
+    code, n, tree, depth = (table.column(c)[0].as_py() for c in ("code", "n", "tree", "depth"))
+    splits = _grow(_units(table.sort_by("vec")), n / table.num_rows, tree, depth)
+    return pa.Table.from_arrays([pa.array([code]), pa.array([json.dumps(splits)])], schema=_SPLITS)
+
+
+_PLACED = pa.schema([("cid", pa.int64()), ("code", pa.int64()), ("tree", pa.int32()), ("depth", pa.int32()), ("done", pa.bool_())])
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Send rows of leaves down the splits of these."""
+    for batch in batches:
+        cid, code, tree = (batch.column(c).to_numpy() for c in ("cid", "code", "tree"))
+        for own in np.unique(code).tolist():
+            rows = np.flatnonzero(code == own)
+            unit, t = _units(batch, rows.tolist()), int(tree[rows[0]])
+            todo = [(json.loads(batch.column("splits")[int(rows[0])].as_py()), np.arange(len(rows)), int(batch.column("depth")[int(rows[0])].as_py()), "")]
+            while todo:
+                node, at, depth, path = todo.pop()
+                if not isinstance(node, int):
+                    way, cut, left, right = node
+                    along, slack = unit[at] @ _direction(t, way, unit.shape[1]), SPILL * _width(unit.shape[1])
+                    todo += [(left, at[along <= cut + slack], way + 1, path + "0"), (right, at[along >= cut - slack], way + 1, path + "1")]
+                elif len(at):
+                    k, leaf = len(at), xxhash.xxh3_64_intdigest(f"{own}|{path}") >> 1 if path else own
+                    yield pa.RecordBatch.from_arrays([pa.array(cid[rows[at]]), pa.array([leaf] * k, pa.int64()), pa.array([t] * k, pa.int32()), pa.array([depth] * k, pa.int32()), pa.array([bool(node)] * k)], schema=_PLACED)
+
+
+def leaves(classes: DataFrame) -> DataFrame:
+    """``cid, code`` of every leaf that a vector is in, from ``cid, label, size, vec``.
+
+    A tree starts as one leaf per label and length. In each round every leaf that is still too large learns splits
+    from a sample of its own rows, in a task of its own, and sends its rows down; a round makes leaves more than a
+    hundred times smaller, so few rounds do at any size. Splits are broadcast up to a checked size, else joined.
+    """
+    counts = classes.groupBy("label", "size").agg(F.count("*").alias("n"))
+    roots = classes.join(counts, ["label", "size"]).select("cid", "label", "size", F.explode(F.sequence(F.lit(0), trees(F.col("n")) - 1)).alias("tree"))
+    found = scratch.write(roots.select("cid", F.xxhash64("label", "size", "tree").alias("code"), "tree", F.lit(0).alias("depth"), F.lit(False).alias("done")), "leaves")
+    while True:
+        large = found.where("not done").groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") > LEAF)
+        large = scratch.write(large, "large")
+        if large.isEmpty():
+            return found.select("cid", "code")
+        few = large.count() <= BROADCAST_SPLITS // 100
+        joined = found.where("not done").join(F.broadcast(large) if few else large, "code")
+        chosen = joined.where(F.pmod(F.xxhash64("cid", "code"), F.lit(1 << 30)) < F.lit(float(SAMPLE << 30)) / F.col("n"))
+        splits = chosen.join(classes.select("cid", "vec"), "cid").groupBy("code").applyInArrow(_learned, "code long, splits string")
+        splits = scratch.write(splits, "splits")
+        size = splits.agg(F.coalesce(F.sum(F.length("splits")), F.lit(0))).first()[0]
+        moved = found.where("not done").join(classes.select("cid", "vec"), "cid").join(F.broadcast(splits) if size <= BROADCAST_SPLITS else splits, "code")
+        moved = moved.select("cid", "code", "tree", "depth", "vec", "splits").mapInArrow(_placed, "cid long, code long, tree int, depth int, done boolean")
+        rest = found.join(F.broadcast(large) if few else large, "code", "left_anti")
+        after = scratch.write(rest.select("cid", "code", "tree", "depth", "done").unionByName(moved), "leaves")
+        scratch.discard(found)
+        found = after
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors as bytes; null where a vector links with nothing."""
     for batch in batches:
@@ -94,50 +166,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.binary()), pa.array([len(o) // 4 if o else None for o in out], pa.int32())], names=["vec_id", "label", "vec", "size"])
 
 
-def _placed(forest: Forest):
-    """Emit each vector to every leaf it is in, with all its leaves."""
-
-    def codes(label: int, size: int, unit: np.ndarray | None, n: int) -> list[list[int]]:
-        own: list[list[int]] = [[] for _ in range(n)]
-        for t in range(TREES):
-            root = forest.trees[t].get(label) if unit is not None else None
-            if root is None or root.sides is None:
-                if t == 0:  # the one leaf of a small label is the same in every tree
-                    code = xxhash.xxh3_64_intdigest(f"{label}|{size}") >> 1
-                    for own_codes in own:
-                        own_codes.append(code)
-                continue
-            along = unit @ forest.directions[t].T
-            todo = [(root, np.arange(n), 0, "")]
-            while todo:
-                node, at, depth, path = todo.pop()
-                if node.sides is None:
-                    code = xxhash.xxh3_64_intdigest(f"{label}|{size}|{t}|{path}") >> 1
-                    for i in at.tolist():
-                        own[i].append(code)
-                elif len(at):
-                    x = along[at, depth]
-                    todo.append((node.sides[0], at[x <= node.cut + forest.spill], depth + 1, path + "0"))
-                    todo.append((node.sides[1], at[x >= node.cut - forest.spill], depth + 1, path + "1"))
-        return own
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            reps, weights, labels, sizes, vecs = (c.to_pylist() for c in batch.columns)
-            groups: dict[tuple[int, int], list[int]] = {}
-            for i, key in enumerate(zip(labels, sizes, strict=True)):
-                groups.setdefault(key, []).append(i)
-            for (label, size), at in groups.items():
-                unit = _unit(np.frombuffer(b"".join(vecs[i] for i in at), "<f4").reshape(-1, size)) if size == forest.size else None
-                rows = [(c, reps[i], weights[i], size, vecs[i], np.array(sorted(own), "<i8").tobytes()) for i, own in zip(at, codes(label, size, unit, len(at)), strict=True) for c in own]
-                for k in range(0, len(rows), 5000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k : k + 5000], strict=True), _PLACED, strict=True)], schema=_PLACED)
-
-    return run
-
-
-_PLACED = pa.schema([("code", pa.int64()), ("rep", pa.int64()), ("weight", pa.int64()), ("size", pa.int32()), ("vec", pa.binary()), ("codes", pa.binary())])
-_FOUND = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
+_FOUND = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
 
 
 def _compared(table: pa.Table) -> pa.Table:
@@ -147,19 +176,18 @@ def _compared(table: pa.Table) -> pa.Table:
     across them are compared.
     """
     code, r, s = (table.column(c)[0].as_py() for c in ("code", "low", "high"))
-    size = table.column("size")[0].as_py()
-    rep = table.column("rep").to_numpy()
+    rep = table.column("cid").to_numpy()
     order = np.argsort(rep, kind="stable")
     table, rep = table.take(pa.array(order)), rep[order]
     weight, block = table.column("weight").to_numpy(), table.column("block").to_numpy()
-    unit = _unit(np.frombuffer(b"".join(table.column("vec").to_pylist()), "<f4").reshape(-1, size))
+    unit = _units(table)
     close = unit @ unit.T >= COSINE
     np.fill_diagonal(close, False)
     if r != s:
         close &= block[:, None] != block[None, :]
     if not close.any():
         return _FOUND.empty_table()
-    earlier = [np.frombuffer(c, "<i8") for c in table.column("codes").to_pylist()]
+    earlier = [np.array(c, np.int64) for c in table.column("codes").to_pylist()]
     known = {c: k for k, c in enumerate(sorted({int(x) for own in earlier for x in own[own < code]}))}
     counted = close
     if known:
@@ -195,18 +223,21 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     usable = "vec is not null and label is not null and vec_id is not null"
     read = scratch.write(read.withColumn("digest", F.when(F.expr(usable), F.sha2("vec", 256))), "vectors")
     classes = read.where("digest is not null").groupBy("label", "digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.first("size").alias("size"), F.first("vec").alias("vec"))
-    classes = scratch.write(classes, "classes")
-    placed = classes.select("rep", "weight", "label", "size", "vec").mapInArrow(_placed(fit(classes)), "code long, rep long, weight long, size int, vec binary, codes binary")
-    placed = scratch.write(placed, "leaves")
+    classes = scratch.write(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    placed = leaves(classes.select("cid", "label", "size", "vec"))
     sizes = placed.groupBy("code").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1").select("code", "blocks")
-    cells = placed.join(sizes, "code").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select("code", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "weight", "size", "vec", "codes")
-    found = scratch.write(cells.groupBy("code", "low", "high").applyInArrow(_compared, "rep long, links long, other long"), "found")
-    groups = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "rep")
-    gained = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = classes.select("label", "digest", "rep", "weight").join(gained, "rep", "left").join(groups, "rep", "left")
-    named = named.select("label", "digest", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    codes = placed.groupBy("cid").agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    cells = classes.select("cid", "weight", "label", "size", "vec").join(codes, "cid").withColumn("code", F.explode("codes")).join(sizes, "code")
+    cells = cells.withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("code", "label", "size", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "cid", "weight", "vec", "codes")
+    found = scratch.write(cells.groupBy("code", "label", "size", "low", "high").applyInArrow(_compared, "cid long, links long, other long"), "found")
+    groups = components(found.select(F.col("cid").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "cid")
+    groups = groups.join(classes.select("cid", "rep"), "cid")
+    least = groups.groupBy("component").agg(F.min("rep").alias("least"))
+    groups = groups.join(least, "component").select("cid", "least")
+    gained = found.groupBy("cid").agg(F.sum("links").alias("links"))
+    named = classes.select("label", "digest", "cid", "rep", "weight").join(gained, "cid", "left").join(groups, "cid", "left")
+    named = named.select("label", "digest", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("least", "rep").alias("component_id"))
     joined = read.select("vec_id", "label", "digest").join(named, ["label", "digest"], "left")
     group = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), group.alias("component_id"), F.coalesce(F.col("vec_id") == group, F.lit(True)).alias("kept"))

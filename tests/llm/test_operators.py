@@ -264,20 +264,58 @@ def test_mixing_keeps_columns_named_as_its_own(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in mixing.mix(df).collect())
 
 
-def test_vectors_against_all_pairs(spark):
+def test_vectors_against_all_pairs(spark, monkeypatch):
     rng = np.random.default_rng(7)
     base = rng.normal(size=(40, 16))
     rows = [(i, (base[i % 40] + rng.normal(size=16) * 0.12).astype(np.float32).tolist(), i % 3) for i in range(400)]
     rows += [(500 + i, rows[0][1], 0) for i in range(30)] + [(600, None, 1), (601, [0.0] * 16, 1), (602, [float("nan")] * 16, 1), (603, rows[1][1], None), (604, [], 1), (605, [1.0], 1)]
-    got = {r.vec_id: r for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    rows += [(700 + i, rng.normal(size=16).astype(np.float32).tolist(), 2) for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     good = [(i, np.array(v, np.float64), lab) for i, v, lab in rows if v and len(v) == 16 and np.isfinite(v).all() and any(v) and lab is not None]
-    links = {i: 0 for i, _, _ in good}
+    links, top = {i: 0 for i, *_ in rows}, {i: i for i, *_ in rows}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
     for (i, a, x), (j, b, y) in itertools.combinations(good, 2):
-        if x == y and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= 0.93:
+        if x == y and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.93:
             links[i] += 1
             links[j] += 1
-    assert sum(abs(got[i].n_links - k) for i, k in links.items()) <= 0.01 * sum(links.values())
+            low, high = sorted((find(i), find(j)))
+            top[high] = low
+    got = {r.vec_id: r for r in vectors.near_vectors(df).collect()}
+    assert len(got) == len(rows) and all(r.n_links <= links[i] for i, r in got.items())
+    assert sum(r.n_links for r in got.values()) >= 0.99 * sum(links.values())
+    assert sum(r.component_id != find(i) for i, r in got.items()) <= 2 and all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert all(got[i].n_links == 0 and got[i].kept for i in (600, 601, 602, 603, 604, 605))
+    assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_leaves_are_split_in_rounds_but_groups_of_copies_are_not(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    unit = lambda x: (x / np.linalg.norm(x)).astype("<f4")
+    centre = unit(rng.normal(size=32))
+    rows = [(i, 1, 32, unit(rng.normal(size=32)).tobytes()) for i in range(6000)] + [(6000 + i, 1, 32, unit(centre + rng.normal(size=32) * 0.015).tobytes()) for i in range(1500)]
+    monkeypatch.setattr(vectors, "SAMPLE", 400)
+    found = vectors.leaves(spark.createDataFrame(rows, "cid long, label long, size int, vec binary")).collect()
+    by, own = {}, {}
+    for r in found:
+        by.setdefault(r.code, set()).add(r.cid)
+        own.setdefault(r.cid, set()).add(r.code)
+    assert len(own) == len(rows)
+    group = set(range(6000, 7500))
+    assert all(len(v) <= 2 * vectors.LEAF or len(v & group) > 0.5 * len(v) for v in by.values())
+    seen = set().union(*[by[c] for c in own[6000]]) & group
+    assert len(seen) > 0.995 * len(group)
+
+
+def test_rows_that_share_an_id_are_vectors_of_their_own(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    df = spark.createDataFrame([(1, a, 0), (5, a, 0), (5, b, 0), (9, b, 0), (None, a, 0)], "vec_id long, embedding array<float>, label int")
+    got = sorted((str(r.vec_id), r.n_links, r.component_id) for r in vectors.near_vectors(df).collect())
+    assert got == [("1", 1, 1), ("5", 1, 1), ("5", 1, 5), ("9", 1, 5), ("None", 0, None)]
 
 
 def test_surrogates(spark):
