@@ -87,8 +87,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _units(table: pa.Table | pa.RecordBatch, rows: list[int] | None = None) -> np.ndarray:
-    vecs = table.column("vec").to_pylist() if rows is None else table.column("vec").take(pa.array(rows)).to_pylist()
+def _units(vecs: list[bytes]) -> np.ndarray:
     return _unit(np.frombuffer(b"".join(vecs), "<f4").reshape(len(vecs), -1))
 
 
@@ -98,7 +97,7 @@ _SPLITS = pa.schema([("code", pa.int64()), ("splits", pa.string())])
 def _learned(table: pa.Table) -> pa.Table:
     """Splits of one leaf from its sampled rows."""
     code, n, tree, depth = (table.column(c)[0].as_py() for c in ("code", "n", "tree", "depth"))
-    splits = _grow(_units(table.sort_by("vec")), n / table.num_rows, tree, depth)
+    splits = _grow(_units(sorted(table.column("vec").to_pylist())), n / table.num_rows, tree, depth)
     return pa.Table.from_arrays([pa.array([code]), pa.array([json.dumps(splits)])], schema=_SPLITS)
 
 
@@ -108,10 +107,12 @@ _PLACED = pa.schema([("cid", pa.int64()), ("code", pa.int64()), ("tree", pa.int3
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Send rows of leaves down the splits of these."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         cid, code, tree = (batch.column(c).to_numpy() for c in ("cid", "code", "tree"))
-        for own in np.unique(code).tolist():
-            rows = np.flatnonzero(code == own)
-            unit, t = _units(batch, rows.tolist()), int(tree[rows[0]])
+        vecs, order, ends = batch.column("vec").to_pylist(), np.argsort(code, kind="stable"), []
+        for rows in np.split(order, np.flatnonzero(np.diff(code[order])) + 1):
+            own, unit, t = int(code[rows[0]]), _units([vecs[i] for i in rows]), int(tree[rows[0]])
             todo = [(json.loads(batch.column("splits")[int(rows[0])].as_py()), np.arange(len(rows)), int(batch.column("depth")[int(rows[0])].as_py()), "")]
             while todo:
                 node, at, depth, path = todo.pop()
@@ -120,8 +121,11 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     along, slack = unit[at] @ _direction(t, way, unit.shape[1]), SPILL * _width(unit.shape[1])
                     todo += [(left, at[along <= cut + slack], way + 1, path + "0"), (right, at[along >= cut - slack], way + 1, path + "1")]
                 elif len(at):
-                    k, leaf = len(at), xxhash.xxh3_64_intdigest(f"{own}|{path}") >> 1 if path else own
-                    yield pa.RecordBatch.from_arrays([pa.array(cid[rows[at]]), pa.array([leaf] * k, pa.int64()), pa.array([t] * k, pa.int32()), pa.array([depth] * k, pa.int32()), pa.array([bool(node)] * k)], schema=_PLACED)
+                    leaf = xxhash.xxh3_64_intdigest(f"{own}|{path}") >> 1 if path else own
+                    ends.append((cid[rows[at]], leaf, t, depth, bool(node)))
+        sizes = [len(e[0]) for e in ends]
+        same = [pa.array(np.repeat(np.array([e[k] for e in ends]), sizes), _PLACED[k].type) for k in range(1, 5)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([e[0] for e in ends]), pa.int64()), *same], schema=_PLACED)
 
 
 def leaves(classes: DataFrame) -> DataFrame:
@@ -180,7 +184,7 @@ def _compared(table: pa.Table) -> pa.Table:
     order = np.argsort(rep, kind="stable")
     table, rep = table.take(pa.array(order)), rep[order]
     weight, block = table.column("weight").to_numpy(), table.column("block").to_numpy()
-    unit = _units(table)
+    unit = _units(table.column("vec").to_pylist())
     close = unit @ unit.T >= COSINE
     np.fill_diagonal(close, False)
     if r != s:
