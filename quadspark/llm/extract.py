@@ -10,15 +10,19 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quadspark.llm import scratch
+
 # Element names by their part in a page.
 BLOCKS = frozenset("address article aside blockquote body br_ button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe".split())
-#: Elements left out if they are closed; else they are ordinary ones, as in browsers.
-LEFT_OUT = frozenset("noscript template svg object audio video canvas annotation".split())
+#: Elements that no reader sees, left out if they are closed; else they are ordinary ones, as in browsers.
+LEFT_OUT = frozenset("template annotation".split())
 BOILERPLATE = frozenset("nav footer aside form head menu dialog button select option fieldset search".split())
 CONTENT = frozenset("article main".split())
 #: Words in class, id and role that mark boilerplate or content.
@@ -36,6 +40,10 @@ GOOD = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|post|entry|story|con
 _TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)[^>]*>|[!?/][^>]*>)""")
 _NAMED = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
+#: Log odds of a block by its shape, where nothing was learned: a constant, then one weight for each number of ``shape``.
+WEIGHTS = (-1.0, 1.0, 1.0, -4.0, 0.0)
+#: The classifier's log odds stay within this; it learns from the blocks of so many pages at most.
+MOST_ODDS, FIT_PAGES = 3.5, 2000
 #: Smoothness between neighbours in page order, the more of it the closer they are in the tree, and between siblings.
 NEXT_TO, SIBLINGS = 1.2, 0.6
 
@@ -54,13 +62,18 @@ class Block:
     text: str = ""
 
 
-def _marked(marks: str) -> bool:
-    """Whether words mark boilerplate: one as a whole or by its last part, and none says that this is content."""
+def _marked(marks: str, inside: bool) -> bool:
+    """Whether words mark boilerplate: one as a whole or by its last part, and none says that this is content.
+
+    A header inside an article, or one named as an article's, is no boilerplate.
+    """
     bad, words = False, marks.lower().split()
     for word in words:
         parts = [x for x in re.split("[_-]+", word) if x]
         if parts and len(parts) > 2 and parts[-1] in _KINDS or len(parts) == 2 and parts[1] in _KINDS and not MARKS.fullmatch(parts[1]):
             parts.pop()
+        if parts and parts[-1] == "header" and (inside or not _CANCEL.isdisjoint(parts)):
+            continue
         bad = bad or MARKS.fullmatch(word) is not None or bool(parts) and MARKS.fullmatch(parts[-1]) is not None and _HAVING.isdisjoint(parts[-2:-1])
     return bad and _CANCEL.isdisjoint(words)
 
@@ -70,7 +83,7 @@ def _role(name: str, attributes: str, inside: bool) -> int:
     if name in BOILERPLATE or name == "header" and not inside:
         return -2
     marks = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)) if "=" in attributes else ""
-    if marks and name not in ("body", "html", "article", "main") and _marked(marks):
+    if marks and name not in ("body", "html", "article", "main") and _marked(marks, inside):
         return -1
     return 1 if name in CONTENT or marks and GOOD.search(marks) else 0
 
@@ -186,13 +199,17 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def evidence(block: Block) -> float:
-    """Log odds that a block is content, from its place, length, links and punctuation."""
+def shape(block: Block) -> list[float]:
+    """What the classifier sees of a block: length, punctuation, share of linked text, whether it is a heading."""
     n = len(block.text)
-    density = min(1.0, block.linked / n)
     marks = sum(block.text.count(c) for c in ".,;:?!")
-    odds = -1.0 + min(2.5, n / 60) + min(1.0, marks / 2) - 4.0 * density
-    return odds + 4.0 * block.good - 12.0 * block.bad + 0.5 * (block.heading and block.good)
+    return [min(2.5, n / 60), min(1.0, marks / 2), min(1.0, block.linked / n), float(block.heading)]
+
+
+def evidence(block: Block, weights: tuple[float, ...] = WEIGHTS) -> float:
+    """Log odds that a block is content: the classifier's, within bounds, and what its place in the page adds."""
+    odds = weights[0] + sum(w * x for w, x in zip(weights[1:], shape(block), strict=True))
+    return max(-MOST_ODDS, min(MOST_ODDS, odds)) + 4.0 * block.good - 12.0 * block.bad + 0.5 * (block.heading and block.good)
 
 
 def _max_flow(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -284,8 +301,11 @@ def label(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     return [bool(s) for s in settled]
 
 
-def main_text(page: str | None) -> str:
-    """Content blocks in page order, joined by an empty line; empty if there are none."""
+def main_text(page: str | None, weights: tuple[float, ...] = WEIGHTS) -> str:
+    """Content blocks in page order, joined by an empty line; empty if there are none.
+
+    If the cut finds none, as on a page of one short line, the unmarked blocks that are mostly not links are the text.
+    """
     found = blocks(page or "")
     edges: list[tuple[int, int, float]] = []
     last: dict[int, int] = {}
@@ -295,25 +315,55 @@ def main_text(page: str | None) -> str:
         if (j := last.get(b.parent)) is not None:
             edges.append((j, i, SIBLINGS))
         last[b.parent] = i
-    yes = label([evidence(b) for b in found], edges)
+    yes = label([evidence(b, weights) for b in found], edges)
+    if not any(yes):
+        yes = [not b.bad and 2 * b.linked < len(b.text) for b in found]
     return "\n\n".join(b.text for b, keep in zip(found, yes, strict=True) if keep)
 
 
+def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shapes of blocks whose place tells what they are: within an article, or within marked boilerplate."""
+    for batch in batches:
+        known = [b for page in batch.column(0).to_pylist() for b in blocks(page or "") if b.good or b.bad]
+        yield pa.RecordBatch.from_arrays([pa.array([0.0 if b.bad else 1.0 for b in known], pa.float64()), pa.array([shape(b) for b in known], pa.list_(pa.float64()))], names=["label", "shape"])
+
+
+def fit(pages: DataFrame, html_col: str = "html") -> tuple[float, ...]:
+    """Weights of a logistic classifier of blocks by shape, for blocks whose place in the page tells nothing.
+
+    It learns from the blocks of at most FIT_PAGES pages, chosen by a hash of the page, that stand within an article
+    or within marked boilerplate. Where the pages show only one kind, or none, it is WEIGHTS.
+    """
+    own = pages.select(F.col(html_col).alias("html")).where("html is not null")
+    share = min(1.0, 0.9 * FIT_PAGES / max(1, own.count()))
+    chosen = own.where(F.pmod(F.xxhash64("html", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(FIT_PAGES)
+    known = scratch.write(chosen.mapInArrow(_shapes, "label double, shape array<double>"), "shapes")
+    if known.select("label").distinct().count() < 2:
+        return WEIGHTS
+    ready = known.select("label", array_to_vector("shape").alias("features"))
+    model = LogisticRegression(regParam=0.01, maxIter=50).fit(ready)
+    return (float(model.intercept), *map(float, model.coefficients))
+
+
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
 
-def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([main_text(p) for p in part.column(2).to_pylist()], pa.string())], schema=_OUT)
+def _extracted(weights: tuple[float, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([main_text(p, weights) for p in part.column(2).to_pylist()], pa.string())], schema=_OUT)
+
+    return run
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, url, text, n_chars`` of every row; null, empty and content-free pages have an empty text.
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: tuple[float, ...] | None = None) -> DataFrame:
+    """``page_id, url, text, n_chars`` of every row, by the given weights or by those learned from the pages; null, empty and content-free pages have an empty text.
 
     Rows that repeat an id are extracted one by one, null ids and urls stay null, other columns are left out and an
     empty table gives no rows. Pages are independent, so nothing is shuffled.
     """
+    weights = fit(pages, html_col) if weights is None else weights
     own = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    return own.mapInArrow(_extracted, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    return own.mapInArrow(_extracted(weights), "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

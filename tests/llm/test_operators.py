@@ -210,10 +210,70 @@ def test_main_text_below_marked_wrappers():
     assert extract.main_text(f'<article><p>{text}</p></article><div id="comments"><article><p>{text}</p></article></div>') == text
     for name in ("svg", "object", "audio", "video", "canvas", "noscript", "template"):
         assert extract.main_text(f"<article><{name}><p>{text}</p></article>") == text, name
-        assert extract.main_text(f"<article><{name}>left out</{name}><p>{text}</p></article>") == text, name
+    for name in ("svg", "object", "audio", "video", "canvas", "noscript"):
+        assert extract.main_text(f"<article><{name}><p>Fallback.</p></{name}><p>{text}</p></article>") == f"Fallback.\n\n{text}", name
+    assert extract.main_text(f"<article><template>left out</template><p>{text}</p></article>") == text
     assert "x=1" in extract.main_text(f"<article><p>{text} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>")
 
 
+LONG = "This is a long paragraph of the article, with some words, and a full stop at its end."
+MORE = "A second paragraph, which goes on for a while; it has commas, a semicolon, and a point."
+VARIED = [
+    (f'<div class="content has-sidebar"><p>{LONG}</p></div>', LONG),
+    (f'<div class="post-content comments-open"><p>{LONG}</p></div>', LONG),
+    (f'<article><div class="entry-header"><h1>Head</h1></div><div class="content has-sidebar"><p>{LONG}</p></div></article>', f"Head\n\n{LONG}"),
+    ("<p>One line only</p>", "One line only"),
+    ("<html><body><nav><a href=1>Home</a></nav><p>Short.</p><footer>(c)</footer></body></html>", "Short."),
+    (f"<article><noscript><p>Shown without scripts.</p></noscript><p>{LONG}</p></article>", f"Shown without scripts.\n\n{LONG}"),
+    (f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>", f"{LONG} x=1"),
+    (f'<article><blockquote class="quote"><p>{MORE}</p></blockquote><p>{LONG}</p></article>', f"{MORE}\n\n{LONG}"),
+    (f"<main><h2>Part</h2><ul><li>First point, here.</li><li>Second point, there.</li></ul><p>{LONG}</p></main>", f"Part\n\nFirst point, here.\n\nSecond point, there.\n\n{LONG}"),
+    (f"<main><table><tr><td>Cell one</td><td>Cell two</td></tr></table><p>{LONG}</p></main>", f"Cell one\n\nCell two\n\n{LONG}"),
+    (f"<article><p>{LONG}<p>{MORE}</article>", f"{LONG}\n\n{MORE}"),
+    (f'<div id="main"><p>{LONG}</p><p>{MORE}</p></div><div id="sidebar"><p>{LONG}</p></div>', f"{LONG}\n\n{MORE}"),
+    (f'<div class="post"><p>{LONG}</p></div><div class="related-posts"><p>{MORE}</p></div>', LONG),
+    (f'<article><p>{LONG}</p></article><section class="comments"><div class="comment"><p>{MORE}</p></div></section>', LONG),
+    (f'<div class="cookie-banner"><p>{MORE}</p></div><article><p>{LONG}</p></article>', LONG),
+    (f'<div role="navigation"><a href=1>A</a> <a href=2>B</a></div><article><p>{LONG}</p></article>', LONG),
+    (f'<div role="contentinfo"><p>{MORE}</p></div><article><p>{LONG}</p></article>', LONG),
+    (f"<header><h1>Site</h1></header><article><header><h1>Head</h1></header><p>{LONG}</p></article>", f"Head\n\n{LONG}"),
+    (f"<article><p>{LONG}</p><form><p>Your name, please.</p><button>Send</button></form></article>", LONG),
+    (f'<article><p>{LONG}</p><div class="share-buttons"><a href=1>Post</a></div><p>{MORE}</p></article>', f"{LONG}\n\n{MORE}"),
+    (f'<article><p>{LONG}</p><div class="newsletter-signup"><p>{MORE}</p></div></article>', LONG),
+    (f'<article><p>{LONG}</p><aside><p>{MORE}</p></aside></article>', LONG),
+    (f"<article><p>A &lt;tag&gt; &amp; more&nbsp;&eacute;&#233;&#x1F600;, and text that goes on.</p><p>{LONG}</p></article>", f"A <tag> & more éé😀, and text that goes on.\n\n{LONG}"),
+    (f"<article><p>{LONG}\n\t  more<br>and<br/>on</p></article>", f"{LONG} more and on"),
+    (f"<!-- <p>{MORE}</p> --><article><p>{LONG}</p></article>", LONG),
+    (f"<article><script>if (a < b) document.write('<p>{MORE}</p>')</script><p>{LONG}</p></article>", LONG),
+    (f"<article><pre>x = 1\n  y = 2</pre><p>{LONG}</p></article>", f"x = 1 y = 2\n\n{LONG}"),
+    (f"<article><figure><img src=a><figcaption>A caption, with a point.</figcaption></figure><p>{LONG}</p></article>", f"A caption, with a point.\n\n{LONG}"),
+    (f"<article><p>Tiny.</p><p>{LONG}</p><p>End.</p></article>", f"Tiny.\n\n{LONG}\n\nEnd."),
+    (f'<ul class="breadcrumb"><li><a href=1>Home</a></li></ul><div class="story"><p>{LONG}</p></div>', LONG),
+    (f'<div class="wrapper"><div class="container"><p>{LONG}</p><p>{MORE}</p></div></div><div class="footer">(c) us, all rights reserved.</div>', f"{LONG}\n\n{MORE}"),
+    (f"<dialog><p>{MORE}</p></dialog><article><p>{LONG}</p></article>", LONG),
+]
+
+
+@pytest.mark.parametrize("page, want", VARIED)
+def test_varied_pages(page, want):
+    assert extract.main_text(page) == want
+
+
+def test_classifier_is_learned_from_marked_blocks(spark):
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
+    some = lambda n: " ".join(word() for _ in range(n)).capitalize()
+    body = lambda: "".join(f"<p>{some(30)}, {some(12)}.</p>" for _ in range(6))
+    menu = lambda: "".join(f"<li><a href=x>{some(2)}</a></li>" for _ in range(6))
+    pages = spark.createDataFrame([(i, "u", f"<nav><ul>{menu()}</ul></nav><article>{body()}</article><footer>{some(3)}</footer>") for i in range(60)], "page_id long, url string, html string")
+    weights = extract.fit(pages)
+    assert weights != extract.WEIGHTS and max(abs(a - b) for a, b in zip(weights, extract.fit(pages.repartition(3)), strict=True)) < 1e-6
+    plain = f"<div><ul>{menu()}</ul></div><div>{body()}</div><div>{some(2)}</div>"
+    got = extract.main_text(plain, weights)
+    assert got.count("\n\n") == 5 and all(p.endswith(".") for p in got.split("\n\n"))
+    assert extract.fit(pages.limit(0)) == extract.WEIGHTS
+
+
 def test_cut_is_least():
     rng = random.Random(5)
     for _ in range(60):
