@@ -8,7 +8,6 @@ fixed size per record: document id, whether it is null, byte offset, first token
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -19,13 +18,11 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quadspark.llm import scratch
-from quadspark.llm.recent import Recent
 
 #: Default vocabulary, a parameter, and the id that ends every document.
 VOCABULARY, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
@@ -36,9 +33,11 @@ _INDEX = "<q?QQI"
 _MASK = 0xA282EAD8
 #: How byte-level vocabularies write bytes: printable Latin-1 as it is, the others from U+0100 on in order.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_ALPHABET = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
-#: Punctuation that may end a part, and white space beside a space.
-_TAIL, _UNSAFE = ".,;:!?%$*&#)", re.compile(r"\s | \s")
+_SHOWN_AS = np.arange(256, dtype="<u2")
+_SHOWN_AS[sorted(set(range(256)) - set(_SHOWN))] = np.arange(256, 512 - len(_SHOWN))
+_SHOWN_BREAK, _SHOWN_SPACE = chr(_SHOWN_AS[10]), chr(_SHOWN_AS[32])
+#: Punctuation that may end a part.
+_TAIL = ".,;:!?%$*&#)"
 
 
 def masked(data: bytes) -> int:
@@ -62,62 +61,92 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
-class _Encoder(Recent):
-    """Ids of what stands between two single spaces, as bytes, by the tokenizers library.
+class _Encoder:
+    """Ids of texts as bytes, by the tokenizers library, with a cache of what stands between two single spaces.
 
     A single space between two other characters always starts a pre-token, and so does punctuation after a
     letter, so a text can be cut there and the parts encoded alone. Texts that hold an added token of the
     vocabulary go through the library whole, as such tokens are found before anything is cut.
+
+    Only parts that neither start nor end with white space are kept, so a text all of whose parts are known was cut
+    at single spaces alone. The cache has two generations: the older one goes when the newer is full.
     """
 
-    limit = 500_000
+    limit, longest = 500_000, 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         tokenizer = Tokenizer.from_file(path)
         self.split, self.model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
         self.added, self.library = [t.content for t in tokenizer.get_added_tokens_decoder().values()], tokenizer
         self.code = "I" if tokenizer.get_vocab_size() > 1 << 16 else "H"
         self.width = 4 if self.code == "I" else 2
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.tail = lru_cache(10_000)(self.alone)
 
-    def alone(self, part: str) -> bytes:
-        """Ids of a part of a text that starts and ends where pre-tokens do."""
-        if part.isalpha() or part[:1] == " " and part[1:].isalpha():
-            pieces = [part.encode().decode("latin-1").translate(_ALPHABET)]
-        else:
-            pieces = [piece for piece, _ in self.split(part)]
+    def ids(self, pieces: list[str]) -> bytes:
+        """Ids of pre-tokens that are written in the vocabulary's alphabet."""
         return array(self.code, [t.id for piece in pieces for t in self.model(piece)]).tobytes()
 
-    def make(self, part: str) -> bytes:
-        """Ids of a part after a space."""
-        core = part.rstrip(_TAIL)
-        if core != part and core[-1:].isalpha():
-            return self[core] + self.tail(part[len(core) :])
-        return self.alone(" " + part)
-
-    def __missing__(self, part: str) -> bytes:
-        return super().__missing__(part) if len(part) < 64 else self.make(part)
-
-    def parts(self, text: str) -> list[str]:
-        if not _UNSAFE.search(text):
-            return text.split(" ")
-        out: list[str] = []
-        for part in text.split(" "):  # beside other white space a space is no safe cut
-            if out and not (out[-1] and part and not out[-1][-1].isspace() and not part[0].isspace()):
-                out[-1] += " " + part
+    def alone(self, part: str) -> bytes:
+        """Ids of a part of a text that starts and ends where pre-tokens do."""
+        return self.ids([piece for piece, _ in self.split(part)])
+
+    def learn(self, parts: set[str]) -> None:
+        """Put parts that follow a space into the cache."""
+        ends = {part: core for part in parts if (core := part.rstrip(_TAIL)) != part and core[-1:].isalpha()}
+        bare = parts.difference(ends).union(ends.values()).difference(self.known)
+        fresh = []
+        for part in bare:
+            if (ids := self.older.get(part)) is not None:
+                self.known[part] = ids
+            elif part and len(part) < self.longest and part == part.strip():
+                fresh.append(part)
+        words = [part for part in fresh if part.isalpha()]
+        if words:
+            shown = _SHOWN_AS[np.frombuffer("\n".join(words).encode(), np.uint8)].tobytes().decode("utf-16-le")
+            for part, piece in zip(words, shown.split(_SHOWN_BREAK), strict=True):
+                self.known[part] = self.ids([_SHOWN_SPACE + piece])
+        for part in fresh:
+            if part not in self.known:
+                self.known[part] = self.alone(" " + part)
+        for part, core in ends.items():
+            if (ids := self.known.get(core)) is not None:
+                self.known[part] = ids + self.tail(part[len(core) :])
+
+    def slowly(self, parts: list[str]) -> bytes:
+        """Ids of a text cut at its spaces, some of which may be no safe cut: those beside other white space."""
+        safe: list[str] = []
+        for part in parts:
+            if safe and not (safe[-1] and part and not safe[-1][-1].isspace() and not part[0].isspace()):
+                safe[-1] += " " + part
             else:
-                out.append(part)
+                safe.append(part)
+        first, *rest = safe
+        return b"".join([self.alone(first), *[self.known[p] if p in self.known else self.alone(" " + p) for p in rest]])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > self.limit:
+            self.older, self.known = self.known, {}
+        cut = [text.split(" ") for text in texts]
+        self.learn(set().union(*[parts[1:] for parts in cut]).difference(self.known))
+        out, known = [], self.known.__getitem__
+        for text, parts in zip(texts, cut, strict=True):
+            if any(token in text for token in self.added):
+                out.append(array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes())
+                continue
+            try:
+                rest = iter(parts)
+                first = next(rest)
+                if first[-1:].isspace() and len(parts) > 1 or not first:
+                    raise KeyError(first)
+                out.append(b"".join([self.alone(first), *map(known, rest)]))
+            except KeyError:
+                out.append(self.slowly(parts))
         return out
 
-    def encode(self, text: str) -> bytes:
-        if any(token in text for token in self.added):
-            return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        first, *rest = self.parts(text)
-        return b"".join([self.alone(first), *map(self.__getitem__, rest)])
-
 
 @lru_cache(4)
 def _encoder(path: str) -> _Encoder:
@@ -145,11 +174,11 @@ def write(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
                 if files is None:
-                    store, base = fs.FileSystem.from_uri(into)
+                    store, base = scratch.opened(into)
                     store.create_dir(base, recursive=True)
                     name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
                     files = store.open_output_stream(f"{base}/{name}.rec"), store.open_output_stream(f"{base}/{name}.idx")
-                for doc, ids in zip(part.column(0).to_pylist(), map(encoder.encode, part.column(1).to_pylist()), strict=True):
+                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
                     record = frame(ids + end)
                     n = len(ids) // encoder.width + 1
                     files[0].write(record)
@@ -178,7 +207,7 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                store, base = fs.FileSystem.from_uri(row["file"])
+                store, base = scratch.opened(row["file"])
                 count = min(READ_DOCS, row["n_docs"] - row["first"])
                 with store.open_input_file(f"{base}.idx") as index:
                     entries = list(struct.iter_unpack(_INDEX, index.read_at(count * struct.calcsize(_INDEX), row["first"] * struct.calcsize(_INDEX))))
