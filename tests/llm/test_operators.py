@@ -26,9 +26,11 @@ EDGES = [(1, None, "a"), (2, "", "a"), (3, "word", None), (3, "word", None), (No
 
 
 
-def test_components_against_union_find(spark):
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_components_against_union_find(spark, monkeypatch, limit):
+    monkeypatch.setattr(components, "BROADCAST_EDGES", limit)
     rng = random.Random(1)
-    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)]
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)] + [(1000, 1000 + i) for i in range(1, 200)]
     top = {x: x for e in links for x in e}
 
     def find(x):
@@ -43,8 +45,15 @@ def test_components_against_union_find(spark):
     assert got == {x: find(x) for x in top if any(x in e and e[0] != e[1] for e in links)}
 
 
+def shingle_set(text):
+    """Distinct shingles as tuples of words: runs of what is no ASCII white space, A-Z lower-cased."""
+    small = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    found = re.findall(r"[^\x20\x09-\x0D]+", small)
+    return {tuple(found[i : i + 5]) for i in range(len(found) - 4)} or ({tuple(found)} if found else set())
+
+
 def test_near_duplicates_against_all_pairs(spark):
-    rng, rows = random.Random(2), list(EDGES)
+    rng, rows = random.Random(2), [*EDGES, (7, "Été\u00a0ÀB cd\x1cE\x0bF g\u3000h i j K", "s"), (8, "Été\u00a0Àb CD\x1cE F\tg\u3000h i j k", "s")]
     for g in range(12):
         base = [f"w{rng.randrange(500)}" for _ in range(rng.choice([3, 5, 8, 40, 120]))]
         for k in range(8):
@@ -52,7 +61,7 @@ def test_near_duplicates_against_all_pairs(spark):
             rows.append((100 + g * 10 + k, " ".join(words), "s"))
     df = docs(spark, rows)
     got = minhash.near_duplicates(df).collect()
-    sets = {i: set(minhash.shingles(t).tolist()) for i, t, _ in rows if i is not None}
+    sets = {i: shingle_set(t) for i, t, _ in rows if i is not None}
     top = {i: i for i in sets}
 
     def find(x):
@@ -87,6 +96,9 @@ def test_bpe_against_tiktoken(spark, reference):
     for text, ids in zip(some, bpe.encode_texts(some), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
         assert bpe.decode_ids(ids) == text.encode()
+    for at in range(0, 0x110000, 400):
+        text = "".join(f"a{chr(c)}1{chr(c)} {chr(c)}" for c in range(at, at + 400) if not 0xD800 <= c < 0xE000 and c < 0x110000)
+        assert np.frombuffer(bpe.encode_texts([text])[0], "<u4").tolist() == reference.encode_ordinary(text), hex(at)
     df = docs(spark, EDGES)
     rows = bpe.encode(df).collect()
     assert len(rows) == len(EDGES) and bpe.encode(df.limit(0)).count() == 0
@@ -498,6 +510,7 @@ def test_fingerprints(spark):
         text, after = texts[r.doc_id], texts[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
         half = len(text) // 2
         edit = text[: len(text) - half] + after[:half]
+        assert r.near_edited == float(r.fingerprint == r.edited_fingerprint) and r.near_next == float(r.fingerprint == got[ids[(ids.index(r.doc_id) + 1) % len(ids)]])
         assert (r.n_chars, r.edited_sha256, r.fingerprint) == (len(text), hashlib.sha256(edit.encode()).hexdigest(), got[r.doc_id])
     assert fingerprints.compare_edits(df.limit(0)).count() == 0 and fingerprints.compare_edits(docs(spark, EDGES)).count() == len(EDGES)
 
