@@ -18,12 +18,17 @@ STOPWORDS = (
 CHUNK_SIZE, CHUNK_OVERLAP, SEPARATORS = 1000, 200, ("\n\n", "\n", " ", "")
 
 _NO_WORD = r"[^\p{L}\p{N}\p{M}]+"
-_FOLDED = {chr(c): unicodedata.normalize("NFD", chr(c))[0] for c in range(0xC0, 0x250) if len(unicodedata.normalize("NFD", chr(c))) > 1 and chr(c).islower()}
+#: White space of any script, also the byte order mark, as browsers cut words.
+WHITE = r"[\s\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]+"
+_BASES = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
+#: Latin small letters with marks, by letter; the marks themselves, U+0300 to U+036F, are dropped.
+_FOLDED = {c: base[0] for c, base in _BASES.items() if len(base) > 1 and base[0].isascii() and c.islower()}
+_MARKS = "".join(map(chr, range(0x300, 0x370)))
 
 
 def query_terms(query: Column) -> Column:
     """Terms of a query: cut at white space, lower-cased, all but letters, digits and marks removed, stopwords dropped."""
-    cut = F.transform(F.split(F.coalesce(query, F.lit("")), r"\s+"), lambda t: F.regexp_replace(F.lower(t), _NO_WORD, ""))
+    cut = F.transform(F.split(F.coalesce(query, F.lit("")), WHITE), lambda t: F.regexp_replace(F.lower(t), _NO_WORD, ""))
     kept = F.filter(cut, lambda t: F.length(t) > 0)
     content = F.filter(kept, lambda t: ~t.isin(*STOPWORDS))
     return F.when(F.size(content) > 0, content).otherwise(kept)
@@ -35,8 +40,9 @@ def clean_query(query: Column) -> Column:
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents."""
-    return F.translate(F.lower(text), "".join(_FOLDED), "".join(_FOLDED.values()))
+    """Lower case without accents on Latin letters."""
+    small = F.lower(text)
+    return F.when(F.rlike(small, F.lit(r"[^\x00-\x7F]")), F.translate(small, "".join(_FOLDED) + _MARKS, "".join(_FOLDED.values()))).otherwise(small)
 
 
 def index_terms(text: Column) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quadspark.functions.terms import LITERAL, NAMED, Term
+from quadspark.functions.terms import LANG_STRING, LITERAL, NAMED, XSD_STRING, Term
 from quadspark.operators.match import Pattern
 
 
@@ -20,7 +20,10 @@ Slot = Term | Var | None
 
 
 def _scan(quads: DataFrame, slots: tuple[Slot, Slot, Slot, Slot]) -> tuple[DataFrame, list[str]]:
-    """Bindings of one pattern. A binding keeps the term's type, datatype and language beside its value."""
+    """Bindings of one pattern. A binding keeps the term's type, datatype and language beside its value.
+
+    A literal without a datatype is an xsd:string, or with a language an rdf:langString, so it joins with those.
+    """
     fixed = [t if isinstance(t, Term) else None for t in slots]
     rows = quads.where(Pattern(*fixed).column())
     columns, names = {}, []
@@ -30,7 +33,7 @@ def _scan(quads: DataFrame, slots: tuple[Slot, Slot, Slot, Slot]) -> tuple[DataF
         kind = F.lit(NAMED) if place == "p" else F.col(f"{place}_type")
         literal = F.col(f"{place}_type") == LITERAL if place == "o" else F.lit(False)
         blank = F.lit("")
-        parts = {"": F.col(place), "_type": kind, "_datatype": F.when(literal, F.coalesce("o_datatype", blank)).otherwise(blank) if place == "o" else blank, "_lang": F.when(literal, F.coalesce("o_lang", blank)).otherwise(blank) if place == "o" else blank}
+        parts = {"": F.col(place), "_type": kind, "_datatype": F.when(literal, F.coalesce(F.nullif("o_datatype", blank), F.when(F.coalesce("o_lang", blank) != "", LANG_STRING).otherwise(XSD_STRING))).otherwise(blank) if place == "o" else blank, "_lang": F.when(literal, F.coalesce("o_lang", blank)).otherwise(blank) if place == "o" else blank}
         if slot.name in names:  # the same variable twice in one pattern
             for k, v in parts.items():
                 rows = rows.where(columns[slot.name + k] == v)

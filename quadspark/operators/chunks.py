@@ -35,19 +35,20 @@ def reindex(quads: DataFrame, chunks: DataFrame | None = None, keep: QuadFilter
     ``full`` drops those as well. Rows that form no quad are skipped; chunks of quads that are gone never stay.
     """
     sound = quads.where(valid())
-    fresh = project(sound.where(keep.column()) if keep else sound, splitter, whole=whole)
+    fresh = project(keep.apply(sound) if keep else sound, splitter, whole=whole)
     if keep is None or full or chunks is None:
         return fresh
-    others = sound.where(~F.coalesce(keep.column(), F.lit(False))).select("quad_id")
+    others = sound.select("quad_id").join(keep.apply(sound).select("quad_id"), "quad_id", "left_anti")
     return chunks.join(others, "quad_id", "left_semi").select(*fresh.columns).unionByName(fresh)
 
 
 def report(quads: DataFrame, keep: QuadFilter | None = None, splitter: Callable[[str], list[str]] | None = None, whole: bool = False) -> DataFrame:
     """One row of a reindex's counts: all readable quads, filtered out or not, and chunks written."""
-    sound = quads.where(valid())
-    fresh = project(sound.where(keep.column()) if keep else sound, splitter, whole=whole)
-    read = sound.agg(F.count("*").alias("processed_quads"))
-    return read.join(fresh.agg(F.count("*").alias("chunk_rows")), F.lit(True))
+    used = F.col("o_type") == LITERAL
+    if keep is not None:
+        used = used & F.coalesce(keep.column(), F.lit(False))
+    cut = F.size(chunked(F.when(used, F.col("o")), splitter, whole))
+    return quads.where(valid()).agg(F.count("*").alias("processed_quads"), F.coalesce(F.sum(F.when(used, cut)), F.lit(0)).cast("long").alias("chunk_rows"))
 
 
 def follow_commit(chunks: DataFrame, state: DataFrame, novel: DataFrame, policy: str = "deferred", importing: bool = False, whole: bool = False) -> DataFrame:

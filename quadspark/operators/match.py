@@ -46,6 +46,10 @@ def _literal(term: Term) -> Column:
     return tests[0] & same if tests else same
 
 
+#: Values of a list that go into the plan as they are.
+MOST_INLINE = 500
+
+
 @dataclass(frozen=True)
 class QuadFilter:
     """Values of subjects, predicates and graphs to include and to exclude; an empty list means no limit."""
@@ -67,6 +71,17 @@ class QuadFilter:
         return out
 
 
+    def apply(self, rows: DataFrame, s: str = "s", p: str = "p", g: str = "g") -> DataFrame:
+        """Rows that pass; lists of more than MOST_INLINE values become tables that are joined."""
+        for name, values, how in ((s, self.subjects, "left_semi"), (p, self.predicates, "left_semi"), (g, self.graphs, "left_semi"), (s, self.not_subjects, "left_anti"), (p, self.not_predicates, "left_anti"), (g, self.not_graphs, "left_anti")):
+            if len(values) > MOST_INLINE:
+                listed = rows.sparkSession.createDataFrame([(v,) for v in set(values)], f"`{name}` string")
+                rows = rows.join(listed, name, how)
+            elif values:
+                rows = rows.where(F.col(name).isin(*values) if how == "left_semi" else ~F.col(name).isin(*values))
+        return rows
+
+
 def match(quads: DataFrame, pattern: Pattern = Pattern()) -> DataFrame:
     return quads.where(pattern.column())
 

@@ -26,7 +26,7 @@ def commit_patch(current: DataFrame, insertions: DataFrame, deletions: DataFrame
     stays and counts as novel; repeats collapse by id. Applying a patch twice gives the same state.
     """
     if keep is not None:
-        insertions, deletions = insertions.where(keep.column()), deletions.where(keep.column())
+        insertions, deletions = keep.apply(insertions), keep.apply(deletions)
     left = delete_ids(current, deletions)
     novel = insertions.select(*COLUMNS).dropDuplicates(["quad_id"]).join(left.select("quad_id"), "quad_id", "left_anti").select(*COLUMNS)
     return left.select(*COLUMNS).unionByName(novel), novel
@@ -43,7 +43,7 @@ def remove(current: DataFrame, quads: DataFrame) -> DataFrame:
 
 def replace(insertions: DataFrame, keep: QuadFilter | None = None) -> DataFrame:
     """A replace import: the insertions alone."""
-    rows = insertions.where(keep.column()) if keep is not None else insertions
+    rows = keep.apply(insertions) if keep is not None else insertions
     return rows.select(*COLUMNS).dropDuplicates(["quad_id"])
 
 
@@ -55,10 +55,10 @@ def net_effect(log: DataFrame) -> DataFrame:
     """Net operation per quad of an ordered log (seq, op 'add' or 'delete', quad columns): rows with ``op``.
 
     The last two operations of a quad decide: a last add inserts, an add and then a delete nets to nothing, and any
-    other last delete deletes.
+    other last delete deletes. At equal ``seq`` deletions come before insertions.
     """
-    order = Window.partitionBy("quad_id").orderBy("seq")
-    last = log.select("*", F.lag("op").over(order).alias("_before"), F.lead("seq").over(order).isNull().alias("_last")).where("_last")
+    order = Window.partitionBy("quad_id").orderBy("seq", F.desc("op"))
+    last = log.select("*", F.lag("op").over(order).alias("_before"), F.lead("op").over(order).isNull().alias("_last")).where("_last")
     return last.where("op = 'add' or coalesce(_before, 'delete') = 'delete'").drop("_before", "_last", "seq")
 
 

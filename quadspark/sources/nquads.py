@@ -11,12 +11,11 @@ from pyspark.sql import types as T
 
 from quadspark.functions.terms import BLANK, COLUMNS, DEFAULT, LANG_STRING, LITERAL, NAMED, XSD_STRING, normalise
 
-# Fixed value: the shape of a statement. Groups: subject node, blank; predicate; object node, blank, literal,
-# datatype, language; graph node, blank.
-LINE = r'^\s*(?:<([^>]*)>|_:(\w(?:[\w.·-]*[\w·-])?))\s*<([^>]*)>\s*(?:<([^>]*)>|_:(\w(?:[\w.·-]*[\w·-])?)|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)\s*(?:<([^>]*)>|_:(\w(?:[\w.·-]*[\w·-])?))?\s*\.\s*(?:#.*)?$'
-#: The alternatives of a literal recurse once per character, so longer lines take the text up to the last quote that
-#: fits, and its quotes and backslashes are checked apart.
-LONG_LINE, LONG = LINE.replace(r'((?:[^"\\]|\\.)*)', "(.*)"), 2000
+# Fixed value: the shape of a statement. Groups: subject node, blank; predicate; object node, blank, literal's quote,
+# literal, datatype, language; graph's bracket, node, blank. Quantifiers inside a literal give nothing back, so lines of
+# any length match without recursion.
+LINE = r'^\s*(?:<([^>\n]*)>|_:(\w(?:[\w.·-]*[\w·-])?))\s*<([^>\n]*)>\s*(?:<([^>\n]*)>|_:(\w(?:[\w.·-]*[\w·-])?)|(")((?:[^"\\\n\r]++|\\[^\n\r])*+)"(?:\^\^<([^>\n]*)>|@([A-Za-z0-9-]+))?)\s*(?:(<)([^>\n]*)>|_:(\w(?:[\w.·-]*[\w·-])?))?\s*\.\s*(?:#[^\n]*)?$'
+_GROUPS = 12
 
 _ESCAPES = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
 _ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|(.))")
@@ -38,27 +37,27 @@ def parse(lines: DataFrame, scope: str = "") -> tuple[DataFrame, DataFrame]:
 
     ``scope`` is put before blank labels, so that labels of different imports stay apart.
     """
-    said = lines.where(~F.rlike("value", F.lit(r"^\s*(?:#.*)?$")))
-    short = F.length("value") < LONG
-    inner = F.regexp_replace(F.regexp_extract("value", LONG_LINE, 6), r"\\.", "")
-    fits = F.when(short, F.rlike("value", F.lit(LINE))).otherwise(F.rlike("value", F.lit(LONG_LINE)) & ~F.rlike(inner, F.lit(r'["\\]')))
-    good = said.where(fits)
-    g = [F.when(short, F.regexp_extract("value", LINE, i)).otherwise(F.regexp_extract("value", LONG_LINE, i)) for i in range(11)]
+    said = lines.where(~F.rlike("value", F.lit(r"^\s*(?:#[^\n]*)?$")))
+    # One match a line: the groups come out a line each, as no group holds a line feed.
+    groups = F.split(F.regexp_replace("value", F.lit(LINE), F.lit("\n".join(f"${i}" for i in range(1, _GROUPS + 1)))), "\n", -1)
+    cut = said.withColumn("_g", F.when(~F.contains("value", F.lit("\n")), groups))
+    fits = F.coalesce(F.size("_g") == _GROUPS, F.lit(False))
+    g = [None, *[F.col("_g")[i] for i in range(_GROUPS)]]
     some = lambda i: g[i] != ""
-    literal = ~F.rlike("value", F.lit(r'^\s*(?:<[^>]*>|_:\S+)\s*<[^>]*>\s*(?:<|_:)'))
+    literal = some(6)
     label = lambda i: F.concat(F.lit(scope), g[i])
-    raw = good.select(
+    raw = cut.where(fits).select(
         F.when(some(2), label(2)).otherwise(_unescape(g[1])).alias("s"),
         F.when(some(2), BLANK).otherwise(NAMED).alias("s_type"),
         _unescape(g[3]).alias("p"),
-        F.when(literal, _unescape(g[6])).when(some(5), label(5)).otherwise(_unescape(g[4])).alias("o"),
+        F.when(some(5), label(5)).otherwise(_unescape(F.when(literal, g[7]).otherwise(g[4]))).alias("o"),
         F.when(literal, LITERAL).when(some(5), BLANK).otherwise(NAMED).alias("o_type"),
-        F.when(literal, F.when(some(8), LANG_STRING).when(some(7), g[7]).otherwise(XSD_STRING)).alias("o_datatype"),
-        F.when(literal & some(8), g[8]).alias("o_lang"),
-        F.when(some(10), label(10)).otherwise(_unescape(g[9])).alias("g"),
-        F.when(some(10), BLANK).when(some(9), NAMED).otherwise(DEFAULT).alias("g_type"),
+        F.when(literal, F.when(some(9), LANG_STRING).when(some(8), g[8]).otherwise(XSD_STRING)).alias("o_datatype"),
+        F.when(literal & some(9), g[9]).alias("o_lang"),
+        F.when(some(12), label(12)).otherwise(_unescape(g[11])).alias("g"),
+        F.when(some(12), BLANK).when(some(10), NAMED).otherwise(DEFAULT).alias("g_type"),
     )
-    return normalise(raw), said.where(~fits)
+    return normalise(raw), cut.where(~fits).drop("_g")
 
 
 def read(spark: SparkSession, path: str, scope: str = "") -> tuple[DataFrame, DataFrame]:
