@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadspark.functions.terms import COLUMNS, LITERAL, NAMED, XSD_DATE, XSD_STRING, blank, literal, node, normalise, quad_id, terms
-from quadspark.functions.text import STOPWORDS, clean_query
+from quadspark.functions.text import STOPWORDS, WHITE, clean_query
 from quadspark.operators import chunks as chunking
 from quadspark.operators import match as matching
 from quadspark.operators import patch as patching
@@ -16,7 +16,8 @@ from quadspark.operators import search as searching
 from quadspark.operators.bgp import Var, bgp
 from quadspark.operators.match import Pattern, QuadFilter
 from quadspark.sources import nquads
-from quadspark.sources.snapshot import Store, new_folder
+from quadspark.sources.folders import new_folder
+from quadspark.sources.snapshot import Store
 from quadspark.sources.tables import FACTS, _select, id_sql, quads, quads_sql, raw_quads
 from quadspark.streaming import ingest
 
@@ -276,15 +277,18 @@ def insert_data_projects(spark, d):
     return chunks.select("chunk_id", "quad_id", "subject", "predicate", "graph", "value")
 
 
-_ASKED = ["the thing of", "hand", "est la", "THE, of!", "!!!", "  ", "Memory SDK", "e-mail thing", "thing hand the"]
+_ASKED = ["the thing of", "hand", "est la", "THE, of!", "!!!", "  ", "Memory SDK", "e-mail thing", "thing hand the", "\u00c9l\u00e9\u00e9", "thing\u00a0hand", "cafe\u0301\u3000UNE"]
 
 
-def _asked(spark) -> DataFrame:
-    return spark.range(1).select(F.posexplode(F.array(*[F.lit(q) for q in _ASKED])).alias("query_id", "query")).select(F.col("query_id").cast("long").alias("query_id"), "query")
+def _asked(spark, d) -> DataFrame:
+    """The queries above, and every turn of the conversations whose id is divisible by 100."""
+    own = spark.range(1).select(F.posexplode(F.array(*[F.lit(q) for q in _ASKED])).alias("query_id", "query")).select(F.col("query_id").cast("long").alias("query_id"), "query")
+    turns = spark.read.parquet(f"{d}/conversations.parquet").where("conv_id % 100 = 0")
+    return own.unionByName(turns.select((F.lit(1000) + F.col("conv_id") * 1000 + F.col("turn")).cast("long").alias("query_id"), F.col("text").alias("query")))
 
 
-_ASKED_SQL = "(select unnest(range({})) as query_id, unnest([{}]) as query)".format(len(_ASKED), ", ".join("'" + q + "'" for q in _ASKED))
-_TERMS_SQL = f"""cut as (select query_id, list_filter(list_transform(regexp_split_to_array(query, '\\s+'), lambda t: regexp_replace(lower(t), '{_NO_WORD}', '', 'g')), lambda t: t <> '') as all_terms from asked),
+_ASKED_SQL = "(select unnest(range({})) as query_id, unnest([{}]) as query union all select 1000 + conv_id * 1000 + turn, text from conversations where conv_id % 100 = 0)".format(len(_ASKED), ", ".join("'" + q + "'" for q in _ASKED))
+_TERMS_SQL = f"""cut as (select query_id, list_filter(list_transform(regexp_split_to_array(query, '{WHITE}'), lambda t: regexp_replace(lower(t), '{_NO_WORD}', '', 'g')), lambda t: t <> '') as all_terms from asked),
 terms as (select query_id, case when len(list_filter(all_terms, lambda t: t not in ({_STOP}))) > 0 then list_filter(all_terms, lambda t: t not in ({_STOP})) else all_terms end as terms from cut)"""
 
 
@@ -298,7 +302,8 @@ def _search_sql(tail: str, top: int = 100, extra: str = "") -> str:
     n, k1, b = "(select count(*) from tokens)", searching.K1, searching.B
     return f"""with quads as ({quads_sql('documents')}), every as ({_WHOLE_CHUNKS}), chunks as (select * from every {extra}),
 asked as (select * from {_ASKED_SQL}), {_TERMS_SQL},
-wanted as (select query_id, unnest(list_distinct(terms)) as term, len(list_distinct(terms)) as n_terms from terms),
+folded as (select query_id, list_distinct(list_filter(list_transform(terms, lambda t: strip_accents(t)), lambda t: t <> '')) as terms from terms),
+wanted as (select query_id, unnest(terms) as term, len(terms) as n_terms from folded),
 tokens as (select chunk_id, list_filter(regexp_split_to_array(strip_accents(lower(value)), '{_NO_WORD}'), lambda t: t <> '') as terms from chunks),
 flat as (select chunk_id, len(terms) as length, unnest(terms) as term from tokens),
 postings as (select term, chunk_id, length, count(*) as tf from flat where term in (select term from wanted) group by all),
@@ -316,12 +321,12 @@ _FOUND = "query_id, id, subject, predicate, graph, text, score, rank"
 
 @_query()
 def search_chunked(spark, d):
-    return searching.search_batch(chunking.project(_docs(spark, d)), _asked(spark))
+    return searching.search_batch(chunking.project(_docs(spark, d)), _asked(spark, d))
 
 
 @_query(_search_sql(f"select {_FOUND} from found"))
 def search_batch(spark, d):
-    return searching.search_batch(chunking.project(_docs(spark, d), whole=True), _asked(spark))
+    return searching.search_batch(chunking.project(_docs(spark, d), whole=True), _asked(spark, d))
 
 
 @_query(_search_sql("select id, subject, predicate, graph, text, score, rank from found where query_id = 1", top=10))
@@ -331,24 +336,37 @@ def search_top(spark, d):
 
 @_query(_search_sql(f"select {_FOUND} from found where graph in ('urn:src:src1', 'urn:src:src2', 'urn:src:src3') and graph not in ('urn:src:src2')"))
 def search_filtered(spark, d):
-    return searching.search_batch(chunking.project(_docs(spark, d), whole=True), _asked(spark), QuadFilter(graphs=("urn:src:src1", "urn:src:src2", "urn:src:src3"), not_graphs=("urn:src:src2",)))
+    return searching.search_batch(chunking.project(_docs(spark, d), whole=True), _asked(spark, d), QuadFilter(graphs=("urn:src:src1", "urn:src:src2", "urn:src:src3"), not_graphs=("urn:src:src2",)))
 
 
 @_query(_search_sql(f"select {_FOUND} from found where score >= 0.0125"))
 def search_min_score(spark, d):
-    return searching.search_batch(chunking.project(_docs(spark, d), whole=True), _asked(spark), min_score=0.0125)
+    return searching.search_batch(chunking.project(_docs(spark, d), whole=True), _asked(spark, d), min_score=0.0125)
 
 
 @_query(_search_sql(f"select {_FOUND} from found", extra="where graph <> 'urn:src:src1'"))
 def search_live(spark, d):
     """Deleted quads are not found, though their chunks are still there."""
     whole = _docs(spark, d)
-    return searching.search_batch(chunking.project(whole, whole=True), _asked(spark), live=matching.delete_graph(whole, "urn:src:src1")[0])
+    return searching.search_batch(chunking.project(whole, whole=True), _asked(spark, d), live=matching.delete_graph(whole, "urn:src:src1")[0])
+
+
+@_query(_search_sql(f"select {_FOUND} from found"))
+def search_stored(spark, d):
+    """The same from postings that a store keeps, half of the corpus in a version of its own, some of it removed again."""
+    docs, store = _docs(spark, d), Store(spark, new_folder(spark, "store"))
+    later = F.col("g").isin("urn:src:src1", "urn:src:src2")
+    gone = quads(spark, d, "nation")
+    first = docs.where(~later).unionByName(gone)
+    store.publish(first, chunking.project(first, whole=True))
+    log = docs.where(later).withColumn("op", F.lit("add")).unionByName(gone.withColumn("op", F.lit("delete")))
+    store.commit(log.withColumn("seq", F.lit(0)), whole=True)
+    return searching.search_stored(store, _asked(spark, d))
 
 
 @_query(_search_sql("select id, count(*) as n from found group by id"))
 def search_result_ids(spark, d):
-    return searching.search_batch(chunking.project(_docs(spark, d), whole=True), _asked(spark)).groupBy("id").agg(F.count("*").alias("n"))
+    return searching.search_batch(chunking.project(_docs(spark, d), whole=True), _asked(spark, d)).groupBy("id").agg(F.count("*").alias("n"))
 
 
 # Streams
@@ -381,11 +399,47 @@ def stream_remove(spark, d):
     return store.quads()
 
 
-@_query(_with("select quad_id || '#000000' as chunk_id, o as value from quads where o_type = 'Literal'", "nation").replace("from quads where", "from (select distinct * from quads) where"))
+@_query(_with("select quad_id || '#000000' as chunk_id, trim(o, ' ') as value from (select distinct * from quads) where trim(o, ' ') <> ''", "documents"))
 def stream_index(spark, d):
-    """The index follows the stream."""
-    path = f"{d}/nation.parquet"
-    rows = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", "nation.parquet").parquet(d)
+    """The index follows a stream of whole documents."""
+    path = f"{d}/documents.parquet"
+    rows = spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", "documents.parquet").parquet(d)
     store = Store(spark, new_folder(spark, "store"))
-    ingest.add_all(raw_quads(rows, "nation").withColumn("quad_id", quad_id()).select(*COLUMNS), store, new_folder(spark, "progress")).awaitTermination()
+    ingest.add_all(raw_quads(rows, "documents").withColumn("quad_id", quad_id()).select(*COLUMNS), store, new_folder(spark, "progress"), whole=True).awaitTermination()
     return store.chunks().select("chunk_id", "value")
+
+
+# Stores
+
+
+def _changed(spark, d) -> Store:
+    """Orders as published, then the pending ones' status changed by a commit."""
+    store = Store(spark, new_folder(spark, "store"))
+    store.publish(quads(spark, d, "orders"))
+    new, old = _changes(spark, d)
+    store.commit(new.withColumn("op", F.lit("add")).unionByName(old.withColumn("op", F.lit("delete"))).withColumn("seq", F.lit(0)), policy="disabled")
+    return store
+
+
+@_query(_patched(f"select {_LIST} from quads where quad_id not in (select quad_id from del) union select {_LIST} from ins"))
+def store_commit(spark, d):
+    return _changed(spark, d).quads()
+
+
+@_query(_patched(f"select {_LIST} from (select * from quads where quad_id not in (select quad_id from del) union select * from ins) where o = 'X'"))
+def store_match_object(spark, d):
+    return _changed(spark, d).match(Pattern(o=literal("X")))
+
+
+@_query(_patched("select count(*) as n from (select quad_id from quads where quad_id not in (select quad_id from del) union select quad_id from ins)"))
+def store_size(spark, d):
+    """From the store's log alone."""
+    return spark.range(1).select(F.lit(_changed(spark, d).size()).cast("long").alias("n"))
+
+
+@_query(_patched(f"select {_LIST} from quads where quad_id not in (select quad_id from del) union select {_LIST} from ins"))
+def store_compact(spark, d):
+    store = _changed(spark, d)
+    store.compact()
+    store.vacuum()
+    return store.quads()

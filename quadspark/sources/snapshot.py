@@ -1,33 +1,42 @@
-"""Versions of a store in a shared folder, each published as a whole."""
+"""A store of quads, chunks and postings in a shared folder: full versions and small ones on top of them."""
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quadspark.functions.terms import QUADS
+from quadspark.functions.terms import COLUMNS, QUADS
 from quadspark.operators.chunks import project
+from quadspark.operators.match import MOST_INLINE, Pattern, match
+from quadspark.operators.patch import net_effect
+from quadspark.operators.search import postings
 
-_OWN: list[str] = []
+#: Orders in which a full version keeps its quads, by the slot that a pattern binds.
+LAYOUTS = {"s": ("s", "p"), "o": ("o", "p"), "p": ("p", "s")}
+#: Removed quads up to which their ids are broadcast; small versions after which a full one is due.
+BROADCAST_REMOVED, COMPACT_EVERY = 1_000_000, 16
+_CHUNKS = T.StructType([*[T.StructField(c, T.StringType()) for c in ("chunk_id", "quad_id")], T.StructField("pos", T.IntegerType()), *[T.StructField(c, T.StringType()) for c in ("subject", "predicate", "graph", "value", "fts_value")], T.StructField("vector", T.ArrayType(T.FloatType()))])
+_POSTINGS = "term string, chunk_id string, quad_id string, length int, tf long"
 
 
-def new_folder(spark: SparkSession, kind: str) -> str:
-    """A path in the folder that spark.checkpoint.dir names, which all executors share; in tests a temporary one."""
-    named = (spark.conf.get("spark.checkpoint.dir", "") or "").rstrip("/")
-    if not named:
-        if not _OWN:
-            _OWN.append("file://" + tempfile.mkdtemp(prefix="quadspark-"))
-        named = _OWN[0]
-    return f"{named}/{kind}-{uuid.uuid4().hex}"
+class Conflict(RuntimeError):
+    """Another writer has published the version that this one was about to publish."""
 
 
 class Store:
-    """Quads and chunks by version; readers see the newest one that is published.
+    """Quads with their chunks and postings, by version; readers see what is published.
 
-    A version is written to its own folder, since Parquet can't be overwritten while it is read, and counts once its
-    marker exists. A failure before that leaves the version before it in force.
+    A full version holds everything: quads in the orders of LAYOUTS, chunks by id, postings by term, so that patterns
+    and searches read few files. A small one holds what a commit added and the ids that it removed, so a commit
+    writes as much as it changes. Each version is written to a folder of its own and counts once its entry exists in
+    the log, which is created only if it is not there: of two writers one gets a Conflict, and a failure before that
+    leaves the version before it in force. Entries hold the counts that ``size`` and relevance need.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -37,29 +46,152 @@ class Store:
         at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
+    def _versions(self) -> list[int]:
+        files, at = self._files(f"{self.path}/log/*.json")
+        return sorted(int(f.getPath().getName()[:-5]) for f in files.globStatus(at) or [])
+
+    def _entry(self, v: int) -> dict:
+        files, at = self._files(f"{self.path}/log/{v:012d}.json")
+        stream = files.open(at)
+        try:
+            return {"v": v, **json.loads(bytes(stream.readAllBytes()))}
+        finally:
+            stream.close()
+
+    def _entries(self) -> list[dict]:
+        """The newest full version and the small ones after it, oldest first."""
+        found: list[dict] = []
+        for v in reversed(self._versions()):
+            found.insert(0, self._entry(v))
+            if found[0]["full"]:
+                break
+        return found
+
     def version(self) -> int:
         """The newest published version, 0 if there is none."""
-        files, at = self._files(f"{self.path}/v=*/_PUBLISHED")
-        found = files.globStatus(at) or []
-        return max((int(f.getPath().getParent().getName()[2:]) for f in found), default=0)
+        return max(self._versions(), default=0)
+
+    def size(self) -> int:
+        """Number of stored quads, from the log alone."""
+        found = self._entries()
+        return found[-1]["quads"] if found else 0
+
+    def _read(self, kind: str, schema: T.StructType | str, layout: str = "") -> DataFrame:
+        """Rows of all versions without those of quads that a later version removed."""
+        found = self._entries()
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        parts = [self.spark.read.schema(schema).parquet(f"{e['folder']}/{kind}{layout if e['full'] else ''}").withColumn("_v", F.lit(e["v"])) for e in found]
+        rows, removals = reduce(DataFrame.unionByName, parts), [e for e in found if e["removed"]]
+        if removals:
+            gone = reduce(DataFrame.unionByName, [self.spark.read.schema("quad_id string").parquet(f"{e['folder']}/removed").withColumn("_gone", F.lit(e["v"])) for e in removals])
+            gone = gone.groupBy("quad_id").agg(F.max("_gone").alias("_gone"))
+            if sum(e["removed"] for e in removals) <= BROADCAST_REMOVED:
+                gone = F.broadcast(gone)
+            rows = rows.alias("r").join(gone.alias("x"), F.expr("r.quad_id = x.quad_id and x._gone > r._v"), "left_anti")
+        return rows.drop("_v")
 
     def quads(self) -> DataFrame:
-        if not (v := self.version()):
-            return self.spark.createDataFrame([], QUADS)
-        return self.spark.read.schema(QUADS).parquet(f"{self.path}/v={v}/quads")
+        return self._read("quads", QUADS, "-p")
+
+    def match(self, pattern: Pattern) -> DataFrame:
+        """Quads that match, read in the order in which the pattern's rarest bound slot is clustered."""
+        bound = next((slot for slot in LAYOUTS if getattr(pattern, slot) is not None), "p")
+        return match(self._read("quads", QUADS, f"-{bound}"), pattern)
 
     def chunks(self) -> DataFrame:
-        empty = project(self.spark.createDataFrame([], QUADS))
-        if not (v := self.version()):
-            return empty
-        return self.spark.read.schema(empty.schema).parquet(f"{self.path}/v={v}/chunks")
+        return self._read("chunks", _CHUNKS)
+
+    def postings(self, terms: list[str] | None = None) -> DataFrame:
+        """``term, chunk_id, quad_id, length, tf``; with a list of terms only the files that may hold them are read."""
+        rows = self._read("postings", _POSTINGS)
+        if terms is None:
+            return rows
+        if len(terms) <= MOST_INLINE:
+            return rows.where(F.col("term").isin(*terms))
+        return rows.join(self.spark.createDataFrame([(t,) for t in set(terms)], "term string"), "term", "left_semi")
+
+    def corpus(self) -> tuple[int, float]:
+        """Number of chunks and their mean length in terms, from the log alone."""
+        found = self._entries()
+        last = found[-1] if found else {"chunks": 0, "tokens": 0}
+        return last["chunks"], last["tokens"] / last["chunks"] if last["chunks"] else 0.0
+
+    def _write_index(self, chunks: DataFrame, into: str) -> tuple[int, int]:
+        """Write chunks and their postings; returns how many chunks and terms there are."""
+        chunks.select(*_CHUNKS.fieldNames()).repartitionByRange("chunk_id").sortWithinPartitions("chunk_id").write.parquet(f"{into}/chunks")
+        own = self.spark.read.schema(_CHUNKS).parquet(f"{into}/chunks")
+        postings(own).repartitionByRange("term", "chunk_id").sortWithinPartitions("term").write.parquet(f"{into}/postings")
+        tokens = self.spark.read.schema(_POSTINGS).parquet(f"{into}/postings").agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0]
+        return own.count(), tokens
+
+    def _publish(self, v: int, entry: dict) -> int:
+        files, at = self._files(f"{self.path}/log/{v:012d}.json")
+        try:
+            stream = files.create(at, False)
+        except Exception as error:
+            raise Conflict(f"version {v} is there already") from error
+        stream.write(bytearray(json.dumps(entry).encode()))
+        stream.close()
+        return v
 
     def publish(self, quads: DataFrame, chunks: DataFrame | None = None) -> int:
-        """Write the next version, quads clustered by predicate and subject for skipping, and publish it."""
+        """Write everything as the next version; the chunks stay as they are unless given."""
         v = self.version() + 1
-        into = f"{self.path}/v={v}"
-        quads.repartitionByRange("p", "s").sortWithinPartitions("p", "s").write.mode("overwrite").parquet(f"{into}/quads")
-        (self.chunks() if chunks is None else chunks).write.mode("overwrite").parquet(f"{into}/chunks")
-        files, at = self._files(f"{into}/_PUBLISHED")
-        files.create(at).close()
-        return v
+        into = f"{self.path}/data/{v}-{uuid.uuid4().hex}"
+        for layout, order in LAYOUTS.items():
+            quads.select(*COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{into}/quads-{layout}")
+        count = self.spark.read.schema(QUADS).parquet(f"{into}/quads-p").count()
+        n, tokens = self._write_index(self.chunks() if chunks is None else chunks, into)
+        return self._publish(v, {"full": True, "folder": into, "quads": count, "chunks": n, "tokens": tokens, "removed": 0})
+
+    def commit(self, log: DataFrame, policy: str = "incremental", splitter: Callable[[str], list[str]] | None = None, importing: bool = False, whole: bool = False) -> int:
+        """Apply a log of quads (seq, op 'add' or 'delete') and write what changes as the next version.
+
+        Quads that are stored already are not added and those that are not are not removed, so a log applied twice
+        changes nothing. The chunks of removed quads go with them; 'disabled' makes none for new quads, 'deferred'
+        rebuilds all after an import.
+        """
+        if policy not in ("incremental", "deferred", "disabled"):
+            raise ValueError(policy)
+        v = self.version() + 1
+        into = f"{self.path}/data/{v}-{uuid.uuid4().hex}"
+        net_effect(log).write.parquet(f"{into}/net")
+        net = self.spark.read.schema("op string, " + ", ".join(f"{c} string" for c in COLUMNS)).parquet(f"{into}/net")
+        stored = self.quads().select("quad_id").join(net.select("quad_id"), "quad_id", "left_semi")
+        stored.write.parquet(f"{into}/stored")
+        stored = self.spark.read.schema("quad_id string").parquet(f"{into}/stored")
+        net.where("op = 'add'").join(stored, "quad_id", "left_anti").select(*COLUMNS).write.parquet(f"{into}/quads")
+        net.where("op = 'delete'").join(stored, "quad_id", "left_semi").select("quad_id").write.parquet(f"{into}/removed")
+        added = self.spark.read.schema(QUADS).parquet(f"{into}/quads")
+        removed = self.spark.read.schema("quad_id string").parquet(f"{into}/removed")
+        fresh = project(added, splitter, whole=whole)
+        n, tokens = self._write_index(fresh.limit(0) if policy == "disabled" else fresh, into)
+        more, less = added.count(), removed.count()
+        before = (self._entries() or [{"quads": 0, "chunks": 0, "tokens": 0}])[-1]
+        if less:
+            lost = self.postings().join(removed, "quad_id", "left_semi").agg(F.count_distinct("chunk_id"), F.coalesce(F.sum("tf"), F.lit(0))).first()
+            n, tokens = n - lost[0], tokens - lost[1]
+        if v == 1 or policy == "deferred" and importing:
+            state = self.quads().join(removed, "quad_id", "left_anti").unionByName(added)
+            kept = None if policy == "disabled" else project(state, splitter, whole=whole)
+            return self.publish(state, kept)
+        return self._publish(v, {"full": False, "folder": into, "quads": before["quads"] + more - less, "chunks": before["chunks"] + n, "tokens": before["tokens"] + tokens, "removed": less})
+
+    def compact(self) -> int:
+        """Write what is stored as a full version, so that reads need no small ones."""
+        return self.publish(self.quads(), self.chunks())
+
+    def deltas(self) -> int:
+        """Small versions since the last full one."""
+        return sum(not e["full"] for e in self._entries())
+
+    def vacuum(self) -> int:
+        """Delete the versions before the newest full one, which nobody may be reading any more; returns how many."""
+        first = min((e["v"] for e in self._entries()), default=0)
+        old = [self._entry(v) for v in self._versions() if v < first]
+        for entry in old:
+            for path in (entry["folder"], f"{self.path}/log/{entry['v']:012d}.json"):
+                files, at = self._files(path)
+                files.delete(at, True)
+        return len(old)

@@ -7,24 +7,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quadspark.functions.terms import COLUMNS
-from quadspark.operators.chunks import follow_commit
-from quadspark.operators.patch import commit_log
-from quadspark.sources.snapshot import Store
+from quadspark.sources.snapshot import COMPACT_EVERY, Store
 
 
-def ingest(stream: DataFrame, store: Store, checkpoint: str, policy: str = "incremental", **trigger) -> StreamingQuery:
+def ingest(stream: DataFrame, store: Store, checkpoint: str, policy: str = "incremental", compact_every: int = COMPACT_EVERY, splitter=None, whole: bool = False, **trigger) -> StreamingQuery:
     """Apply a stream of quads with an ``op`` ('add' or 'delete') to a store.
 
     Rows of a batch are netted in the order of ``seq``, if there is one. Batches run one at a time, and a batch that
-    is replayed after a failure changes nothing, as patches are idempotent by id. Chunks follow in the same batch.
+    is replayed after a failure changes nothing, as commits are idempotent by id. A batch writes what it changes,
+    quads and chunks in one version; every ``compact_every`` batches the store is written as a whole.
     """
     ordered = "seq" in stream.columns
 
     def apply(batch: DataFrame, _: int) -> None:
-        log = batch.select(*COLUMNS, "op", (F.col("seq") if ordered else F.lit(0)).alias("seq"))
-        state, novel = commit_log(store.quads(), log)
-        chunks = follow_commit(store.chunks(), state, novel, policy)
-        store.publish(state, chunks)
+        store.commit(batch.select(*COLUMNS, "op", (F.col("seq") if ordered else F.lit(0)).alias("seq")), policy, splitter, whole=whole)
+        if store.deltas() >= compact_every:
+            store.compact()
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

@@ -1,13 +1,17 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from quadspark.functions import terms
 from quadspark.functions import text as texts
-from quadspark.functions.terms import LITERAL, NAMED, Term, blank, literal, node, normalise
+from quadspark.functions.terms import LITERAL, NAMED, Term, blank, literal, node, normalise, rejects
 from quadspark.operators import chunks, match, patch, search
 from quadspark.operators.bgp import Var, bgp
 from quadspark.operators.match import Pattern, QuadFilter
 from quadspark.sources import nquads
+from quadspark.sources.snapshot import Conflict, Store
+from quadspark.streaming import ingest
 
 RAW = "s string, s_type string, p string, o string, o_type string, o_datatype string, o_lang string, g string, g_type string"
 
@@ -155,6 +159,135 @@ def test_pushdown(spark, tmp_path):
     assert "EqualTo(p," in plan and "g_type" not in plan
 
 
+def test_statements_of_any_length_are_read_alike(spark):
+    rows = [f'<a> <p> "x\u2028y\u0085{"q" * k}" . # "c" .' for k in (0, 3000)] + ['<a> <p> "' + '\\n' * 30_000 + '"@en <g> .', '<a> <p> "" .', '<a> <p> "$1 \\\\" .', '<a> <p> "bad\\" .', '<a> <p> "x" y .']
+    good, bad = nquads.parse(spark.createDataFrame([(r,) for r in rows], "value string"))
+    assert sorted(len(r.o) for r in good.collect()) == [0, 4, 4, 3004, 30_000] and n(bad) == 2
+
+
+def test_corrupt_rows_are_left_out(spark):
+    rows = [("a", NAMED, "p", "x", LITERAL, None, None, "", "DefaultGraph"), (None, NAMED, "p", "x", LITERAL, None, None, "", "DefaultGraph"), ("a", "Odd", "p", "x", LITERAL, None, None, "", "DefaultGraph"), ("a", LITERAL, "p", "x", NAMED, None, None, "", "DefaultGraph"), ("a", NAMED, None, "x", LITERAL, None, None, "", "DefaultGraph")]
+    raw = spark.createDataFrame(rows, RAW)
+    assert n(normalise(raw)) == 1 and n(rejects(raw)) == 4
+    stored = raw.withColumn("quad_id", F.sha2(F.to_json(F.struct("*")), 256))
+    assert n(chunks.reindex(stored)) == 1 and chunks.report(stored).first().asDict() == {"processed_quads": 1, "chunk_rows": 1}
+
+
+def test_vectors_of_another_length(spark):
+    c = chunks.project(make(spark, ("a", "p", literal("x")), ("b", "p", literal("y")), ("c", "p", literal("z"))))
+    c = c.withColumn("vector", F.when(F.col("value") == "x", F.array(F.lit(1.0), F.lit(2.0))).when(F.col("value") == "y", F.array(F.lit(1.0))).cast("array<float>"))
+    assert [r.value for r in chunks.wrong_vectors(c, 2).collect()] == ["y"]
+
+
+def test_own_splitter(spark):
+    q = make(spark, ("a", "p", literal("one|two|three")), ("b", "p", literal("")))
+    got = chunks.project(q, splitter=lambda t: t.split("|")).orderBy("chunk_id").collect()
+    assert [(r.pos, r.value) for r in got] == [(0, "one"), (1, "two"), (2, "three")]
+    assert chunks.report(q, splitter=lambda t: t.split("|")).first().chunk_rows == 3
+
+
+def test_search_folds_queries_and_cuts_them_at_any_white_space(spark):
+    c = chunks.project(make(spark, ("s1", "p", literal("le café noir, mémoire SDK")), ("s2", "p", literal("ế ǖ cafe\u0301"))))
+    for query, found in (("cafe", 2), ("CAFÉ", 2), ("mémoire\u00a0sdk", 1), ("noir\u3000cafe\u0301", 1), ("noir\u2003sdk\ufeff", 1), ("e u", 1)):
+        assert n(search.search(c, query)) == found, query
+
+
+def test_large_filter_lists_are_joined(spark, monkeypatch):
+    q = make(spark, *[(f"s{i}", "p", literal(f"o{i}"), f"g{i % 3}") for i in range(30)])
+    wanted = QuadFilter(subjects=tuple(f"s{i}" for i in range(20)), not_graphs=("g0", "g1"))
+    want = sorted(r.quad_id for r in q.where(wanted.column()).collect())
+    monkeypatch.setattr(match, "MOST_INLINE", 1)
+    assert sorted(r.quad_id for r in wanted.apply(q).collect()) == want and len(want) == 6
+    assert n(search.search(chunks.project(q), "o5", wanted)) == 1 and n(search.search(chunks.project(q), "o4", wanted)) == 0
+
+
+def test_literals_join_by_their_default_datatype(spark):
+    rows = [("a", NAMED, "p", "x", LITERAL, None, None, "", "DefaultGraph"), ("b", NAMED, "q", "x", LITERAL, terms.XSD_STRING, None, "", "DefaultGraph"), ("c", NAMED, "q", "x", LITERAL, None, "en", "", "DefaultGraph")]
+    got = bgp(normalise(spark.createDataFrame(rows, RAW)), [(Var("s"), node("p"), Var("o"), None), (Var("t"), node("q"), Var("o"), None)]).collect()
+    assert [(r.s, r.t) for r in got] == [("a", "b")]
+
+
+def test_deletes_come_first_at_equal_places(spark):
+    log = spark.createDataFrame([("q1", 1, "add"), ("q1", 1, "delete"), ("q2", 1, "delete"), ("q2", 2, "add"), ("q2", 2, "delete")], "quad_id string, seq long, op string")
+    assert {r.quad_id: r.op for r in patch.net_effect(log).collect()} == {"q1": "add", "q2": "add"}
+
+
+def logged(rows, op):
+    return rows.withColumn("op", F.lit(op)).withColumn("seq", F.lit(0))
+
+
+def test_store_keeps_what_commits_change(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    assert store.version() == store.size() == n(store.quads()) == n(store.chunks()) == 0
+    a = make(spark, *[(f"s{i}", "p", literal(f"café number {i}")) for i in range(20)], ("s1", "knows", "s2"))
+    b = make(spark, *[(f"s{i}", "p", literal(f"café number {i}")) for i in range(15, 25)])
+    gone = make(spark, *[(f"s{i}", "p", literal(f"café number {i}")) for i in range(5)], ("never", "p", "there"))
+    assert store.commit(logged(a, "add")) == 1 and (store.size(), store.deltas()) == (21, 0)
+    assert store.commit(logged(b, "add").union(logged(gone, "delete"))) == 2 and (store.size(), store.deltas()) == (21, 1)
+    assert store.commit(logged(b, "add").union(logged(gone, "delete"))) == 3 and store.size() == 21
+    want = {r.quad_id for r in a.union(b).join(gone, "quad_id", "left_anti").collect()}
+    stored = store.quads().collect()
+    assert len(stored) == len(want) and {r.quad_id for r in stored} == want
+    assert store.corpus() == (20, 3.0) and n(store.chunks()) == 20
+    for query in ("cafe", "CAFÉ number", "number 17", "number 3", "7 number café", ""):
+        asked = search.one_query(spark, query)
+        one, two = (sorted(map(str, f.collect())) for f in (search.search_stored(store, asked), search.search_batch(store.chunks(), asked)))
+        assert one == two and (len(one) > 0) == (query not in ("", "number 3")), query
+    plan = store.postings(["cafe", "17"])._jdf.queryExecution().executedPlan().toString()
+    assert "In(term, [17,cafe])" in plan or "In(term, [cafe,17])" in plan
+    again = make(spark, ("s1", "p", literal("café number 1")))
+    store.commit(logged(again, "add"))
+    assert store.size() == 22 and n(store.quads()) == 22 and n(store.match(Pattern(o=literal("café number 1")))) == 1
+    assert n(store.match(Pattern(s=node("s1")))) == 2 and n(store.match(Pattern(p=node("knows")))) == 1
+    store.compact()
+    assert (store.size(), store.deltas(), n(store.quads()), store.corpus()) == (22, 0, 22, (21, 3.0))
+    assert store.vacuum() == 4 and n(store.quads()) == 22 and store.version() == 5
+
+
+def test_of_two_writers_one_is_told(spark, tmp_path, monkeypatch):
+    store, other = Store(spark, f"file://{tmp_path}"), Store(spark, f"file://{tmp_path}")
+    monkeypatch.setattr(other, "version", lambda: 0)
+    q = make(spark, ("a", "p", literal("x")))
+    store.publish(q)
+    with pytest.raises(Conflict):
+        other.publish(q.limit(0))
+    assert store.size() == 1 and n(store.quads()) == 1
+
+
+def test_a_failing_projection_publishes_nothing(spark, tmp_path):
+    def broken(text):
+        raise RuntimeError("no")
+
+    store, q = Store(spark, f"file://{tmp_path}"), make(spark, ("a", "p", literal("x")))
+    store.commit(logged(q, "add"))
+    with pytest.raises(Exception, match="no"):
+        store.commit(logged(make(spark, ("b", "p", literal("y"))), "add"), splitter=broken)
+    assert store.version() == 1 and n(store.quads()) == n(store.chunks()) == 1
+    store.commit(logged(make(spark, ("b", "p", literal("y"))), "add"))
+    assert (store.size(), n(store.chunks())) == (2, 2)
+
+
+def test_streams_are_applied_in_batches_and_flushed(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    schema = "quad_id string, s string, s_type string, p string, o string, o_type string, o_datatype string, o_lang string, g string, g_type string, op string"
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+    put = lambda k, rows, op: rows.withColumn("op", F.lit(op)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    put(0, make(spark, ("a", "p", literal("one")), ("b", "p", literal("two"))), "add")
+    query = ingest.ingest(stream, store, f"{tmp_path}/progress", compact_every=2, processingTime="1 second")
+    try:
+        ingest.flush(query)
+        assert store.size() == 2 and n(store.chunks()) == 2
+        put(1, make(spark, ("a", "p", literal("one"))), "delete")
+        ingest.flush(query)
+        assert store.size() == 1 and [r.value for r in store.chunks().collect()] == ["two"]
+        put(2, make(spark, ("c", "p", literal("three"))), "add")
+        ingest.flush(query)
+        assert store.size() == 2 and store.deltas() == 0 and n(search.search_stored(store, search.one_query(spark, "three"))) == 1
+    finally:
+        query.stop()
+
+
 def test_without_training_data_operators():
     import __spark_entry__
 
