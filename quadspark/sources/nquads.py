@@ -38,9 +38,10 @@ def parse(lines: DataFrame, scope: str = "") -> tuple[DataFrame, DataFrame]:
     ``scope`` is put before blank labels, so that labels of different imports stay apart.
     """
     said = lines.where(~F.rlike("value", F.lit(r"^\s*(?:#[^\n]*)?$")))
-    # One match a line: the groups come out a line each, as no group holds a line feed.
+    # One match a line: the groups come out a line each, as no group holds a line feed. The optimiser would repeat the
+    # match in every column, but not across a generator.
     groups = F.split(F.regexp_replace("value", F.lit(LINE), F.lit("\n".join(f"${i}" for i in range(1, _GROUPS + 1)))), "\n", -1)
-    cut = said.withColumn("_g", F.when(~F.contains("value", F.lit("\n")), groups))
+    cut = said.withColumn("_g", F.explode(F.array(F.when(~F.contains("value", F.lit("\n")), groups))))
     fits = F.coalesce(F.size("_g") == _GROUPS, F.lit(False))
     g = [None, *[F.col("_g")[i] for i in range(_GROUPS)]]
     some = lambda i: g[i] != ""
