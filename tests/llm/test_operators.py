@@ -83,6 +83,33 @@ def test_near_duplicates_against_all_pairs(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [4, 16, 1024])
+def test_members_of_buckets_are_compared_but_for_those_of_the_largest_component(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng, texts, left = random.Random(4), {}, []
+    for g in range(9):
+        base = [f"w{rng.randrange(500)}" for _ in range(60)]
+        for k in range(30 if g == 0 else 5):
+            i = g * 100 + k
+            texts[i] = " ".join(w if rng.random() > 0.02 else f"v{rng.randrange(99)}" for w in base)
+            mine = (0 if k < 25 else i) if g == 0 else i
+            left += [(key, i, len(shingle_set(texts[i])), mine) for key in (7, g % 3)]
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    component = {i: c for _, i, _, c in left}
+    found = minhash.confirm_cells(spark.createDataFrame(left, "key long, rep long, n long, component long"), spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    links = [(r.a, r.b) for r in found.collect()]
+    alike = lambda a, b: 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])
+
+    def groups(edges):
+        top = {i: i for i in texts}
+        for a, b in [*edges, *component.items()]:
+            x, y = top[a], top[b]
+            top = {i: min(x, y) if t in (x, y) else t for i, t in top.items()}
+        return top
+
+    assert groups(links) == groups([e for e in itertools.combinations(texts, 2) if alike(*e)])
+
+
 @pytest.fixture(scope="module")
 def reference():
     with open(bpe.RANKS, "rb") as lines:
@@ -515,6 +542,29 @@ def test_fingerprints(spark):
     assert fingerprints.compare_edits(df.limit(0)).count() == 0 and fingerprints.compare_edits(docs(spark, EDGES)).count() == len(EDGES)
 
 
+def test_edits_of_rows_without_ids_and_with_equal_ones(spark, monkeypatch):
+    rng = random.Random(16)
+    rows = [(None, f"text {i} " * rng.randrange(1, 9), "s") for i in range(300)] + [(5, rng.choice(["é", "x"]) * (i % 40), "s") for i in range(300)] + [(i, f"Own {i}", "s") for i in range(20)]
+    df = docs(spark, rows)
+    own = df.select("doc_id", "text")
+    part, n = fingerprints._ranges(own)
+    dealt = own.groupBy(part.alias("p"), F.col("doc_id").isNull().alias("none")).count().collect()
+    assert n > 4 and sum(r.none for r in dealt) > 2 and max(r["count"] for r in dealt) < 250
+    order = sorted(((r.doc_id is None, r.doc_id or 0, r.mark, r.text) for r in own.withColumn("mark", F.xxhash64("text")).collect()))
+    want = []
+    for (none, i, _, text), after in zip(order, order[1:] + order[:1], strict=True):
+        half = len(text) // 2
+        edit = text[: len(text) - half] + after[3][:half]
+        fold = lambda t: " ".join(t.casefold().split())
+        want.append((str(None if none else i), len(text), hashlib.sha256(edit.encode()).hexdigest(), float(fold(text) == fold(edit)), float(fold(text) == fold(after[3]))))
+    for odd in (False, True):  # with all hashes taken for collisions, only names of fingerprints change
+        if odd:
+            monkeypatch.setattr(fingerprints, "colliding", lambda hashed, docs: hashed.select("hash").distinct())
+        got = fingerprints.compare_edits(df).collect()
+        assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got) == sorted(want)
+        assert all(("-" in r.fingerprint) == odd and r.near_edited == float(r.fingerprint == r.edited_fingerprint) for r in got)
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(8)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
