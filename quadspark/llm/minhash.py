@@ -195,15 +195,17 @@ def _celled(table: pa.Table) -> pa.Table:
 def confirm_cells(left: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that join components within the buckets of ``left`` (key, rep, n, component); no pair is emitted.
 
-    The largest component of a bucket is not compared with itself: its members go to blocks of their own, which meet
-    the blocks of the others only, so a stray member beside a large group costs as much as the group is long.
+    A bucket of one block is one cell. In a larger one the largest component is not compared with itself: its members
+    go to blocks of their own, which meet the blocks of the others only, so a stray member beside a large group costs
+    as much as the group is long.
     """
     parts = left.groupBy("key", "component").agg(F.count("*").alias("m"))
     sizes = parts.groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("all"))
     blocks = lambda count: F.ceil(count / BLOCK).cast("int")
-    sizes = sizes.select("key", F.col("top.component").alias("top"), blocks(F.col("top.m")).alias("inner"), blocks(F.col("all") - F.col("top.m")).alias("outer"))
+    apart = F.when(F.col("all") > BLOCK, F.col("top.m")).otherwise(0)
+    sizes = sizes.select("key", F.when(apart > 0, F.col("top.component")).alias("top"), blocks(apart).alias("inner"), blocks(F.col("all") - apart).alias("outer"))
     keys = left.groupBy("rep").agg(F.collect_list("key").alias("keys"))  # one key per band at most
-    own, deal = F.col("component") == F.col("top"), F.xxhash64("rep")
+    own, deal = F.coalesce(F.col("component") == F.col("top"), F.lit(False)), F.xxhash64("rep")
     cells = left.join(sizes, "key").withColumn("block", F.when(own, F.col("outer") + F.pmod(deal, "inner")).otherwise(F.pmod(deal, "outer")).cast("int"))
     meets = F.col("outer") + F.when(own, 0).otherwise(F.col("inner"))
     cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), meets - 1))).drop("top", "inner", "outer")
