@@ -23,7 +23,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title iframe".split())
 #: Elements that no reader sees, left out if they are closed; else they are ordinary ones, as in browsers.
 LEFT_OUT = frozenset("template annotation".split())
-BOILERPLATE = frozenset("nav footer aside form head menu dialog button select option fieldset search".split())
+BOILERPLATE = frozenset("nav footer aside head menu dialog button select option fieldset search".split())
 CONTENT = frozenset("article main".split())
 #: Words in class, id and role that mark boilerplate or content.
 MARKS = re.compile(
@@ -78,8 +78,10 @@ def _marked(marks: str, inside: bool) -> bool:
     return bad and _CANCEL.isdisjoint(words)
 
 
-def _role(name: str, attributes: str, inside: bool) -> int:
-    """-2 for an element of boilerplate, -1 for one marked as such, 1 for one of content, else 0."""
+def _role(name: str, attributes: str, inside: bool, forms: bool) -> int:
+    """-2 for an element of boilerplate, -1 for a form or one marked as such, 1 for one of content, else 0."""
+    if name == "form":
+        return -1 if forms else 0
     if name in BOILERPLATE or name == "header" and not inside:
         return -2
     marks = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)) if "=" in attributes else ""
@@ -88,8 +90,11 @@ def _role(name: str, attributes: str, inside: bool) -> int:
     return 1 if name in CONTENT or marks and GOOD.search(marks) else 0
 
 
-def blocks(page: str) -> list[Block]:
-    """Text blocks in page order. Unclosed, stray and crossed tags are taken as browsers do, roughly."""
+def blocks(page: str, forms: bool = True) -> list[Block]:
+    """Text blocks in page order; ``forms`` tells whether a form is boilerplate.
+
+    Unclosed, stray and crossed tags are taken as browsers do, roughly.
+    """
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # name, role, number of the element
     count = bad = good = links = 0
@@ -179,7 +184,7 @@ def blocks(page: str) -> list[Block]:
                 if stack[i][0] in BLOCKS:
                     break
         count += 1
-        role = _role(name, m[4] or "", good > 0)
+        role = _role(name, m[4] or "", good > 0, forms)
         if name in CONTENT:
             held.append(bad if bad and not hard and not held and not outside else 0)
             outside = outside or not bad
@@ -301,12 +306,8 @@ def label(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     return [bool(s) for s in settled]
 
 
-def main_text(page: str | None, weights: tuple[float, ...] = WEIGHTS) -> str:
-    """Content blocks in page order, joined by an empty line; empty if there are none.
-
-    If the cut finds none, as on a page of one short line, the unmarked blocks that are mostly not links are the text.
-    """
-    found = blocks(page or "")
+def _labelled(found: list[Block], weights: tuple[float, ...]) -> list[bool]:
+    """Cut the graph of a page's blocks; True for content."""
     edges: list[tuple[int, int, float]] = []
     last: dict[int, int] = {}
     for i, b in enumerate(found):
@@ -315,7 +316,23 @@ def main_text(page: str | None, weights: tuple[float, ...] = WEIGHTS) -> str:
         if (j := last.get(b.parent)) is not None:
             edges.append((j, i, SIBLINGS))
         last[b.parent] = i
-    yes = label([evidence(b, weights) for b in found], edges)
+    return label([evidence(b, weights) for b in found], edges)
+
+
+def main_text(page: str | None, weights: tuple[float, ...] = WEIGHTS) -> str:
+    """Content blocks in page order, joined by an empty line; empty if there are none.
+
+    If the cut finds none, forms may hold the article, as where one stands around the whole page, so they count as
+    ordinary elements. If there is still none, as on a page of one short line, the unmarked blocks that are mostly not
+    links are the text.
+    """
+    page = page or ""
+    found = blocks(page)
+    yes = _labelled(found, weights)
+    if not any(yes) and "<form" in page.lower():
+        wide = blocks(page, forms=False)
+        if any(inside := _labelled(wide, weights)):
+            found, yes = wide, inside
     if not any(yes):
         yes = [not b.bad and 2 * b.linked < len(b.text) for b in found]
     return "\n\n".join(b.text for b, keep in zip(found, yes, strict=True) if keep)

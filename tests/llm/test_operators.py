@@ -298,6 +298,15 @@ def test_varied_pages(page, want):
     assert extract.main_text(page) == want
 
 
+def test_main_text_within_a_form_around_the_page():
+    text = "This is a long paragraph of the article, with some words, and a full stop at its end."
+    menu, login = '<nav><a href="/">Home</a></nav>', '<form><label>User name</label><input><button>Send</button></form>'
+    assert extract.main_text(f"<body><form>{menu}<div><p>{text}</p><p>{text}</p></div></form></body>") == f"{text}\n\n{text}"
+    assert extract.main_text(f"<form>{menu}<article><p>{text}</p></article><p>Fill in, please.</p></form>") == text
+    assert extract.main_text(f"<article><p>{text}</p>{login}</article>{login}") == text
+    assert extract.main_text(login) == ""
+
+
 def test_classifier_is_learned_from_marked_blocks(spark):
     rng = random.Random(15)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
