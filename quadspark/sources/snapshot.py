@@ -47,8 +47,9 @@ class Store:
         return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
 
     def _versions(self) -> list[int]:
+        """Published versions; an entry that is still empty is being written, and readers don't see it yet."""
         files, at = self._files(f"{self.path}/log/*.json")
-        return sorted(int(f.getPath().getName()[:-5]) for f in files.globStatus(at) or [])
+        return sorted(int(f.getPath().getName()[:-5]) for f in files.globStatus(at) or [] if f.getLen())
 
     def _entry(self, v: int) -> dict:
         files, at = self._files(f"{self.path}/log/{v:012d}.json")
@@ -170,8 +171,9 @@ class Store:
         more, less = added.count(), removed.count()
         before = (self._entries() or [{"quads": 0, "chunks": 0, "tokens": 0}])[-1]
         if less:
-            lost = self.postings().join(removed, "quad_id", "left_semi").agg(F.count_distinct("chunk_id"), F.coalesce(F.sum("tf"), F.lit(0))).first()
-            n, tokens = n - lost[0], tokens - lost[1]
+            # Chunks without a term have no postings, but count.
+            n -= self.chunks().join(removed, "quad_id", "left_semi").count()
+            tokens -= self.postings().join(removed, "quad_id", "left_semi").agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0]
         if v == 1 or policy == "deferred" and importing:
             state = self.quads().join(removed, "quad_id", "left_anti").unionByName(added)
             kept = None if policy == "disabled" else project(state, splitter, whole=whole)

@@ -254,6 +254,19 @@ def test_of_two_writers_one_is_told(spark, tmp_path, monkeypatch):
     assert store.size() == 1 and n(store.quads()) == 1
 
 
+def test_counts_of_chunks_without_a_term_and_entries_that_are_being_written(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    bare, rest = make(spark, ("a", "p", literal("..."))), make(spark, ("b", "p", literal("one two")), ("c", "p", literal("!")))
+    store.commit(logged(bare.union(rest), "add"))
+    assert store.corpus() == (3, 2 / 3)
+    store.commit(logged(bare, "delete"))
+    assert store.corpus() == (2, 1.0) and n(store.chunks()) == 2
+    (tmp_path / "log" / f"{3:012d}.json").touch()
+    assert store.version() == 2 and n(store.quads()) == store.size() == 2
+    with pytest.raises(Conflict):
+        store.commit(logged(bare, "add"))
+
+
 def test_a_failing_projection_publishes_nothing(spark, tmp_path):
     def broken(text):
         raise RuntimeError("no")
