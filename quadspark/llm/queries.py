@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadspark.llm import bpe, extract, fingerprints, minhash, mixing, pii, tokenfile, toxicity, vectors, warc
+from quadspark.llm import bpe, extract, fingerprints, minhash, mixing, pii, sharding, tokenfile, toxicity, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,5 +68,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_minhash, op3_tokenfile, op4_extract, op5_bpe, op6_mixing, op7_vectors, op8_toxicity, op9_pii, op10_fingerprints)}
-ORACLES = {"op1_warc": warc.ORACLE_SQL, "op6_mixing": mixing.ORACLE_SQL}
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, its place there, and its shard with one more of them."""
+    return sharding.plan(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_minhash, op3_tokenfile, op4_extract, op5_bpe, op6_mixing, op7_vectors, op8_toxicity, op9_pii, op10_fingerprints, op13_sharding)}
+ORACLES = {"op1_warc": warc.ORACLE_SQL, "op6_mixing": mixing.ORACLE_SQL, "op13_sharding": sharding.ORACLE_SQL}
