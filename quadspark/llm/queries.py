@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadspark.llm import bpe, extract, fingerprints, lexical, minhash, mixing, pii, sharding, tokenfile, toxicity, vectors, warc
+from quadspark.llm import bpe, extract, fingerprints, lexical, minhash, mixing, phrases, pii, sharding, tokenfile, toxicity, vectors, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best documents for every benchmark item."""
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -78,5 +83,5 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.plan(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_minhash, op3_tokenfile, op4_extract, op5_bpe, op6_mixing, op7_vectors, op8_toxicity, op9_pii, op10_fingerprints, op12_lexical, op13_sharding)}
-ORACLES = {"op1_warc": warc.ORACLE_SQL, "op6_mixing": mixing.ORACLE_SQL, "op12_lexical": lexical.ORACLE_SQL, "op13_sharding": sharding.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_minhash, op3_tokenfile, op4_extract, op5_bpe, op6_mixing, op7_vectors, op8_toxicity, op9_pii, op10_fingerprints, op11_phrases, op12_lexical, op13_sharding)}
+ORACLES = {"op1_warc": warc.ORACLE_SQL, "op6_mixing": mixing.ORACLE_SQL, "op11_phrases": phrases.ORACLE_SQL, "op12_lexical": lexical.ORACLE_SQL, "op13_sharding": sharding.ORACLE_SQL}
