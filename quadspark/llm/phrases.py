@@ -20,7 +20,7 @@ NO_LANG = "und"
 #: A word starts a chunk if its hash is divisible by this.
 EVERY = 16
 #: Bytes that are parsed at once, but for a word or chunk that has more; rows of partial counts that a task holds.
-WINDOW, HELD = 4 << 20, 400_000
+WINDOW, HELD = 1 << 20, 300_000
 #: Bits of the bitmap that tells which shorter phrases are frequent: 8 MB at any size of the input. When it gets full
 #: it keeps more phrases than it need, which are counted and then found to be too few; counts are exact all the same.
 BITS = 26

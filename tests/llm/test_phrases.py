@@ -52,7 +52,7 @@ def corpus(seed, size):
     return [*docs, ("en", None), ("fr", None), (None, ""), ("de", "..,"), ("en", "the of " * 3000), ("de", "New York " * 50)]
 
 
-@pytest.mark.parametrize("window", [50, 4 << 20])
+@pytest.mark.parametrize("window", [50, phrases.WINDOW])
 def test_collocations_equal_brute_force(spark, window):
     docs = corpus(3, 200)
     got = phrases.collocations(table(spark, docs), window=window).collect()
