@@ -20,8 +20,8 @@ def project(quads: DataFrame, splitter: Callable[[str], list[str]] | None = None
     rows = quads.where(F.col("o_type") == LITERAL)
     if datatypes:
         rows = rows.where(F.coalesce("o_datatype", F.lit("")).isin(*datatypes))
-    cut = rows.select("quad_id", F.col("s").alias("subject"), F.col("p").alias("predicate"), F.col("g").alias("graph"), F.posexplode(chunked(F.col("o"), splitter, whole)).alias("pos", "value"))
-    return cut.select(F.concat("quad_id", F.lit("#"), F.lpad(F.col("pos").cast("string"), 6, "0")).alias("chunk_id"), "quad_id", "pos", "subject", "predicate", "graph", "value", F.col("value").alias("fts_value"), F.lit(None).cast("array<float>").alias("vector"))
+    cut = rows.select("quad_id", F.col("s").alias("subject"), F.col("p").alias("predicate"), F.col("g").alias("graph"), "g_type", F.posexplode(chunked(F.col("o"), splitter, whole)).alias("pos", "value"))
+    return cut.select(F.concat("quad_id", F.lit("#"), F.lpad(F.col("pos").cast("string"), 6, "0")).alias("chunk_id"), "quad_id", "pos", "subject", "predicate", "graph", "value", F.col("value").alias("fts_value"), F.lit(None).cast("array<float>").alias("vector"), "g_type")
 
 
 def refresh(chunks: DataFrame, quads: DataFrame, splitter: Callable[[str], list[str]] | None = None, whole: bool = False) -> DataFrame:

@@ -1,199 +1,578 @@
-"""A store of quads, chunks and postings in a shared folder: full versions and small ones on top of them."""
+"""A store of quads, chunks and postings in a shared folder: runs of like size, merged by tiers."""
 
 from __future__ import annotations
 
-import json
+import math
+import time
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import InheritableThread
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quadspark.functions.terms import COLUMNS, QUADS
+from quadspark.functions.terms import COLUMNS, DEFAULT, NAMED, QUADS, Term, valid
+from quadspark.functions.text import index_terms
 from quadspark.operators.chunks import project
-from quadspark.operators.match import MOST_INLINE, Pattern, match
+from quadspark.operators.match import MOST_INLINE, Pattern, QuadFilter, match
 from quadspark.operators.patch import net_effect
-from quadspark.operators.search import postings
+from quadspark.sources.log import Log, Taken
 
-#: Orders in which a full version keeps its quads, by the slot that a pattern binds.
-LAYOUTS = {"s": ("s", "p"), "o": ("o", "p"), "p": ("p", "s")}
-#: Removed quads up to which their ids are broadcast; small versions after which a full one is due.
-BROADCAST_REMOVED, COMPACT_EVERY = 1_000_000, 16
-_CHUNKS = T.StructType([*[T.StructField(c, T.StringType()) for c in ("chunk_id", "quad_id")], T.StructField("pos", T.IntegerType()), *[T.StructField(c, T.StringType()) for c in ("subject", "predicate", "graph", "value", "fts_value")], T.StructField("vector", T.ArrayType(T.FloatType()))])
-_POSTINGS = "term string, chunk_id string, quad_id string, length int, tf long"
+#: Orders in which a large run keeps its quads beside that by id, by the slot that a pattern binds.
+LAYOUTS = {"s": ("s", "p"), "o": ("o", "p"), "p": ("p", "s"), "g": ("g", "p")}
+#: Quads of a bucket of ids, runs of like size that are merged into one, and rows from which a run has all layouts and
+#: a filter of its ids.
+BUCKET_ROWS, FANOUT, LARGE_ROWS = 1_000_000, 8, 1_000_000
+#: Rows up to which runs are of the lowest tier.
+SMALLEST = 1000
+#: Removed ids up to which they are broadcast, some 10 MB; combinations of predicate and graph that are counted in the log.
+BROADCAST_REMOVED, COUNTED = 100_000, 2_000
+#: Hex digits of an id that a bucket or the choice of buckets goes by, at most; rows of a filter hold 32,768 bits.
+MOST_DIGITS, FILTER_BITS_A_ROW = 3, 16
+#: Age in seconds from which folders that no version names count as left behind.
+ORPHAN_AGE = 86_400.0
+
+_CHUNKS = T.StructType([*[T.StructField(c, T.StringType()) for c in ("chunk_id", "quad_id")], T.StructField("pos", T.IntegerType()), *[T.StructField(c, T.StringType()) for c in ("subject", "predicate", "graph", "value", "fts_value")], T.StructField("vector", T.ArrayType(T.FloatType())), T.StructField("g_type", T.StringType())])
+_KEPT_CHUNKS = T.StructType([*_CHUNKS.fields, T.StructField("length", T.IntegerType())])
+_POSTINGS = "term string, chunk_id string, length int, tf long, predicate string, graph string, g_type string"
 
 
 class Conflict(RuntimeError):
-    """Another writer has published the version that this one was about to publish."""
+    """Another writer has changed what this one builds on."""
+
+
+def _bucket(digits: int, id_col: str = "quad_id") -> Column:
+    return F.concat(F.lit("i"), F.substring(id_col, 1, digits))
+
+
+def _digits(rows: int, bucket_rows: int) -> int:
+    return min(MOST_DIGITS, math.ceil(math.log(max(1, rows / bucket_rows), 16)))
 
 
 class Store:
     """Quads with their chunks and postings, by version; readers see what is published.
 
-    A full version holds everything: quads in the orders of LAYOUTS, chunks by id, postings by term, so that patterns
-    and searches read few files. A small one holds what a commit added and the ids that it removed, so a commit
-    writes as much as it changes. Each version is written to a folder of its own and counts once its entry exists in
-    the log, which is created only if it is not there: of two writers one gets a Conflict, and a failure before that
-    leaves the version before it in force. Entries hold the counts that ``size`` and relevance need.
+    A version lists its runs, oldest first. A run holds quads that were added, by id in buckets of hash prefixes, ids
+    that were removed, chunks by id and postings by term; what a run removes counts against the runs before it. Large
+    runs also hold their quads by each slot and a filter of their ids. A commit writes one run; when there are FANOUT
+    runs of like size they are merged, so a quad is written as often as the store has tiers. Predicates and graphs are
+    removed by a note in the log. The log also has the counts by predicate and graph.
+
+    Writers publish by the next number of the log. Who finds it taken goes on top of the other's version if that
+    touched no id of this one, and is told of a Conflict otherwise; a failure before that leaves no trace but files.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, bucket_rows: int = BUCKET_ROWS, large_rows: int = LARGE_ROWS, fanout: int = FANOUT, at: dict | None = None):
         self.spark, self.path = spark, path
+        self.bucket_rows, self.large_rows, self.fanout = bucket_rows, large_rows, fanout
+        self.log, self._at, self._busy = Log(spark, f"{path}/log"), at, None
+
+    # Versions
 
-    def _files(self, path: str):
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
-
-    def _versions(self) -> list[int]:
-        """Published versions; an entry that is still empty is being written, and readers don't see it yet."""
-        files, at = self._files(f"{self.path}/log/*.json")
-        return sorted(int(f.getPath().getName()[:-5]) for f in files.globStatus(at) or [] if f.getLen())
-
-    def _entry(self, v: int) -> dict:
-        files, at = self._files(f"{self.path}/log/{v:012d}.json")
-        stream = files.open(at)
-        try:
-            return {"v": v, **json.loads(bytes(stream.readAllBytes()))}
-        finally:
-            stream.close()
-
-    def _entries(self) -> list[dict]:
-        """The newest full version and the small ones after it, oldest first."""
-        found: list[dict] = []
-        for v in reversed(self._versions()):
-            found.insert(0, self._entry(v))
-            if found[0]["full"]:
-                break
-        return found
+    def _entry(self) -> dict:
+        return self._at or self.log.newest() or {"v": 0, "runs": [], "quads": 0, "chunks": 0, "tokens": 0, "counts": [], "delta": None, "whole": False}
 
     def version(self) -> int:
         """The newest published version, 0 if there is none."""
-        return max(self._versions(), default=0)
+        return self._entry()["v"]
+
+    def at(self, version: int) -> Store:
+        """The store as it was; versions stay until ``vacuum`` takes them."""
+        entry = self.log.read(version)
+        if entry is None:
+            raise ValueError(f"there is no version {version}")
+        return Store(self.spark, self.path, self.bucket_rows, self.large_rows, self.fanout, entry)
 
     def size(self) -> int:
         """Number of stored quads, from the log alone."""
-        found = self._entries()
-        return found[-1]["quads"] if found else 0
+        return self._entry()["quads"]
 
-    def _read(self, kind: str, schema: T.StructType | str, layout: str = "") -> DataFrame:
-        """Rows of all versions without those of quads that a later version removed."""
-        found = self._entries()
-        if not found:
-            return self.spark.createDataFrame([], schema)
-        parts = [self.spark.read.schema(schema).parquet(f"{e['folder']}/{kind}{layout if e['full'] else ''}").withColumn("_v", F.lit(e["v"])) for e in found]
-        rows, removals = reduce(DataFrame.unionByName, parts), [e for e in found if e["removed"]]
-        if removals:
-            gone = reduce(DataFrame.unionByName, [self.spark.read.schema("quad_id string").parquet(f"{e['folder']}/removed").withColumn("_gone", F.lit(e["v"])) for e in removals])
-            gone = gone.groupBy("quad_id").agg(F.max("_gone").alias("_gone"))
-            if sum(e["removed"] for e in removals) <= BROADCAST_REMOVED:
-                gone = F.broadcast(gone)
-            rows = rows.alias("r").join(gone.alias("x"), F.expr("r.quad_id = x.quad_id and x._gone > r._v"), "left_anti")
-        return rows.drop("_v")
+    def corpus(self) -> tuple[int, float]:
+        """Number of chunks and their mean length in terms, from the log alone."""
+        entry = self._entry()
+        return entry["chunks"], entry["tokens"] / entry["chunks"] if entry["chunks"] else 0.0
+
+    def deltas(self) -> int:
+        """Runs beside the first one."""
+        return max(0, len(self._entry()["runs"]) - 1)
+
+    # Reading
+
+    def _table(self, path: str, schema: T.StructType | str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(path).drop("b")
+
+    def _gone(self, runs: list[dict], kinds: tuple[str, ...], ids: DataFrame | None = None) -> tuple[DataFrame | None, int]:
+        """``quad_id, _gone``: the last run that took a quad away, and how many ids there are at most."""
+        found, n = [], 0
+        for run in runs:
+            for kind in kinds:
+                if run[kind]:
+                    rows = self._table(f"{run['folder']}/{kind}", "quad_id string")
+                    found.append((rows if ids is None else rows.join(ids, "quad_id", "left_semi")).withColumn("_gone", F.lit(run["seq"])))
+                    n += run[kind]
+        return (reduce(DataFrame.unionByName, found).groupBy("quad_id").agg(F.max("_gone").alias("_gone")), n) if found else (None, 0)
+
+    def _live(self, rows: DataFrame, runs: list[dict], kinds: tuple[str, ...], ids: DataFrame | None = None) -> DataFrame:
+        """Rows (with ``_seq``) that no later run took away, by id or by a note of predicate and graph."""
+        gone, n = self._gone(runs, kinds, ids)
+        if gone is not None:
+            gone = F.broadcast(gone) if n <= BROADCAST_REMOVED else gone
+            rows = rows.alias("r").join(gone.alias("x"), F.expr("r.quad_id = x.quad_id and x._gone > r._seq"), "left_anti")
+        predicate, graph = ("p", "g") if "p" in rows.columns else ("predicate", "graph")
+        for run in runs:
+            for p, g, g_type in run["notes"]:
+                hit = F.col("_seq") < run["seq"]
+                hit = hit & (F.col(predicate) == p) if p is not None else hit
+                hit = hit & (F.col(graph) == g) & (F.col("g_type") == g_type) if g is not None else hit
+                rows = rows.where(~F.coalesce(hit, F.lit(False)))
+        return rows
+
+    def _read(self, runs: list[dict], layout: str = "") -> DataFrame:
+        """Quads of some runs, one after the other, that these have not taken away again; with ``_seq``."""
+        parts = [self._table(f"{r['folder']}/quads-{layout}" if layout and r["layouts"] else f"{r['folder']}/quads", QUADS).withColumn("_seq", F.lit(r["seq"])) for r in runs if r["quads"]]
+        none = self.spark.createDataFrame([], QUADS).withColumn("_seq", F.lit(0))
+        return self._live(reduce(DataFrame.unionByName, parts) if parts else none, runs, ("removed",))
 
     def quads(self) -> DataFrame:
-        return self._read("quads", QUADS, "-p")
+        return self._read(self._entry()["runs"]).drop("_seq")
+
+    def _rarest(self, pattern: Pattern, entry: dict) -> str:
+        """The bound slot whose values have fewest quads on average, as far as the runs were counted."""
+        totals, values = Counter(), Counter()
+        for run in entry["runs"]:
+            for slot, n in run["distinct"].items():
+                totals[slot] += run["quads"]
+                values[slot] = max(values[slot], n)
+        bound = [slot for slot in LAYOUTS if getattr(pattern, slot) is not None]
+        return min(bound, key=lambda slot: totals[slot] / max(1, values[slot]), default="")
 
     def match(self, pattern: Pattern) -> DataFrame:
         """Quads that match, read in the order in which the pattern's rarest bound slot is clustered."""
-        bound = next((slot for slot in LAYOUTS if getattr(pattern, slot) is not None), "p")
-        return match(self._read("quads", QUADS, f"-{bound}"), pattern)
+        entry = self._entry()
+        return match(self._read(entry["runs"], self._rarest(pattern, entry)).drop("_seq"), pattern)
+
+    def count(self, pattern: Pattern = Pattern()) -> int:
+        """Number of quads that match; by predicate, graph or both it comes from the log and reads no data."""
+        entry = self._entry()
+        if pattern.s is None and pattern.o is None and entry["counts"] is not None:
+            graph = None if pattern.g is None else (pattern.g.value, pattern.g.type)
+            return sum(n for p, g, g_type, n in entry["counts"] if (pattern.p is None or p == pattern.p.value) and graph in (None, (g, g_type)))
+        return self.match(pattern).count()
+
+    def _index(self, runs: list[dict], kind: str, schema: T.StructType | str, only: Column | None = None) -> DataFrame:
+        parts = [self._table(f"{r['folder']}/{kind}", schema).withColumn("_seq", F.lit(r["seq"])) for r in runs if r["chunks"]]
+        rows = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema).withColumn("_seq", F.lit(0))
+        rows = rows if only is None else rows.where(only)
+        rows = rows if "quad_id" in rows.columns else rows.withColumn("quad_id", F.substring_index("chunk_id", "#", 1))
+        return self._live(rows, runs, ("removed", "voided")).drop("_seq")
 
     def chunks(self) -> DataFrame:
-        return self._read("chunks", _CHUNKS)
+        return self._index(self._entry()["runs"], "chunks", _CHUNKS)
+
+    def chunks_of(self, ids: DataFrame) -> DataFrame:
+        """Chunks of quads that have an id of ``ids``; only the buckets of these ids are read."""
+        runs = self._entry()["runs"]
+        heads = self._heads(ids)
+        parts = [self._bucketed(r, "chunks", _CHUNKS, heads).withColumn("_seq", F.lit(r["seq"])).join(ids, "quad_id", "left_semi") for r in runs if r["chunks"]]
+        rows = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], _CHUNKS).withColumn("_seq", F.lit(0))
+        return self._live(rows, runs, ("removed", "voided"), ids).drop("_seq")
 
     def postings(self, terms: list[str] | None = None) -> DataFrame:
         """``term, chunk_id, quad_id, length, tf``; with a list of terms only the files that may hold them are read."""
-        rows = self._read("postings", _POSTINGS)
-        if terms is None:
-            return rows
-        if len(terms) <= MOST_INLINE:
-            return rows.where(F.col("term").isin(*terms))
-        return rows.join(self.spark.createDataFrame([(t,) for t in set(terms)], "term string"), "term", "left_semi")
+        own = F.col("term").isin(*terms) if terms is not None and len(terms) <= MOST_INLINE else None
+        rows = self._index(self._entry()["runs"], "postings", _POSTINGS, own).select("term", "chunk_id", "quad_id", "length", "tf")
+        if terms is not None and own is None:
+            rows = rows.join(self.spark.createDataFrame([(t,) for t in set(terms)], "term string"), "term", "left_semi")
+        return rows
 
-    def corpus(self) -> tuple[int, float]:
-        """Number of chunks and their mean length in terms, from the log alone."""
-        found = self._entries()
-        last = found[-1] if found else {"chunks": 0, "tokens": 0}
-        return last["chunks"], last["tokens"] / last["chunks"] if last["chunks"] else 0.0
-
-    def _write_index(self, chunks: DataFrame, into: str) -> tuple[int, int]:
-        """Write chunks and their postings; returns how many chunks and terms there are."""
-        chunks.select(*_CHUNKS.fieldNames()).repartitionByRange("chunk_id").sortWithinPartitions("chunk_id").write.parquet(f"{into}/chunks")
-        own = self.spark.read.schema(_CHUNKS).parquet(f"{into}/chunks")
-        postings(own).repartitionByRange("term", "chunk_id").sortWithinPartitions("term").write.parquet(f"{into}/postings")
-        tokens = self.spark.read.schema(_POSTINGS).parquet(f"{into}/postings").agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0]
-        return own.count(), tokens
-
-    def _publish(self, v: int, entry: dict) -> int:
-        files, at = self._files(f"{self.path}/log/{v:012d}.json")
-        try:
-            stream = files.create(at, False)
-        except Exception as error:
-            raise Conflict(f"version {v} is there already") from error
-        stream.write(bytearray(json.dumps(entry).encode()))
-        stream.close()
-        return v
+    # Presence
+
+    def _heads(self, ids: DataFrame) -> list[str]:
+        """First digits of ids, 4,096 different ones at most."""
+        return [r[0] for r in ids.select(F.substring("quad_id", 1, MOST_DIGITS)).distinct().collect()]
+
+    def _bucketed(self, run: dict, kind: str, schema: T.StructType, heads: list[str]) -> DataFrame:
+        """Rows of the buckets that ids with these first digits fall into; other folders are not opened."""
+        wanted = sorted({f"i{h[: run['digits']]}" for h in heads})
+        rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("b", T.StringType())])).parquet(f"{run['folder']}/{kind}")
+        return rows.where(F.col("b").isin(*wanted)).drop("b")
+
+    def _maybe(self, run: dict, ids: DataFrame) -> DataFrame:
+        """Ids that may be in a run by its filter: a bit that is set for each of its own."""
+        bits = run["filter"]
+        asked = ids.select("quad_id", *_filter_place(bits))
+        rows = self._table(f"{run['folder']}/filter", "block long, bits binary")
+        byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+        return asked.join(rows, "block").withColumn("byte", byte).where(F.expr("getbit(byte, cast(bit % 8 as int)) = 1")).select("quad_id")
+
+    def stored(self, ids: DataFrame) -> DataFrame:
+        """Stored quads that have an id of ``ids`` (quad_id).
+
+        A run is asked by its filter, if it has one, and then only the buckets of the ids that are left are opened.
+        """
+        return self._stored(self._entry()["runs"], ids)
+
+    def _stored(self, runs: list[dict], ids: DataFrame) -> DataFrame:
+        own = [r for r in runs if r["quads"]]
+        if not own:
+            return self.spark.createDataFrame([], QUADS)
+        ids = ids.select("quad_id").distinct()
+        heads, parts = None, []
+        for run in own:
+            asked = ids
+            if run["filter"]:
+                path = f"{self.path}/data/asked-{uuid.uuid4().hex}"
+                self._maybe(run, ids).write.parquet(path)
+                asked = self._table(path, "quad_id string")
+                found = self._heads(asked)
+            else:
+                heads = found = self._heads(ids) if heads is None else heads
+            if found:
+                parts.append(self._bucketed(run, "quads", QUADS, found).join(asked, "quad_id", "left_semi").withColumn("_seq", F.lit(run["seq"])))
+        if not parts:
+            return self.spark.createDataFrame([], QUADS)
+        return self._live(reduce(DataFrame.unionByName, parts), runs, ("removed",), ids).select(*COLUMNS)
+
+    # Writing
+
+    def _new(self) -> str:
+        return f"{self.path}/data/{uuid.uuid4().hex}"
+
+    def _write(self, into: str, added: DataFrame | None, removed: DataFrame | None = None, chunks: DataFrame | None = None, layouts: bool | None = None, notes: tuple = (), digits: int = 0) -> dict:
+        """Write a run; ``added`` is read several times, so it comes from files."""
+        run = {"folder": into, "quads": 0, "removed": 0, "voided": 0, "chunks": 0, "tokens": 0, "digits": digits, "layouts": False, "filter": 0, "distinct": {}, "notes": [list(x) for x in notes]}
+        if added is not None and (n := added.count()):
+            run |= {"quads": n, "digits": _digits(n, self.bucket_rows), "layouts": n >= self.large_rows if layouts is None else layouts}
+            placed = added.select(*COLUMNS, _bucket(run["digits"]).alias("b")).repartitionByRange("quad_id").sortWithinPartitions("b", "quad_id")
+            placed.write.partitionBy("b").parquet(f"{into}/quads")
+            if run["layouts"]:
+                for layout, order in LAYOUTS.items():
+                    added.select(*COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{into}/quads-{layout}")
+                run["distinct"] = added.agg(*[F.approx_count_distinct(slot).alias(slot) for slot in LAYOUTS]).first().asDict()
+            if n >= self.large_rows:
+                run["filter"] = max(15, math.ceil(math.log2(FILTER_BITS_A_ROW * n)))
+                blocks = added.select(*_filter_place(run["filter"])).groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+                blocks.repartitionByRange("block").sortWithinPartitions("block").write.parquet(f"{into}/filter")
+        if removed is not None:
+            removed.select(*COLUMNS).write.parquet(f"{into}/removed")
+            run["removed"] = self._table(f"{into}/removed", QUADS).count()
+        if chunks is not None:
+            run |= self._write_index(chunks, into, run["digits"])
+        return run
+
+    def _write_index(self, chunks: DataFrame, into: str, digits: int) -> dict:
+        """Write chunks by id and their postings by term."""
+        if "g_type" not in chunks.columns:
+            chunks = chunks.withColumn("g_type", F.when(F.col("graph") == "", DEFAULT).otherwise(NAMED))
+        own = chunks.select(*_CHUNKS.fieldNames(), F.size(index_terms(F.col("fts_value"))).alias("length"), _bucket(digits).alias("b"))
+        own.repartitionByRange("chunk_id").sortWithinPartitions("b", "chunk_id").write.partitionBy("b").parquet(f"{into}/chunks")
+        kept = self._table(f"{into}/chunks", _KEPT_CHUNKS) if self._any(f"{into}/chunks") else self.spark.createDataFrame([], _KEPT_CHUNKS)
+        n, tokens = kept.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        if n:
+            words = kept.select("chunk_id", "length", "predicate", "graph", "g_type", F.explode(index_terms(F.col("fts_value"))).alias("term"))
+            words = words.groupBy("term", "chunk_id", "length", "predicate", "graph", "g_type").agg(F.count("*").alias("tf"))
+            words.repartitionByRange("term", "chunk_id").sortWithinPartitions("term").write.parquet(f"{into}/postings")
+        return {"chunks": n, "tokens": tokens}
+
+    def _any(self, path: str) -> bool:
+        """Whether a partitioned write left a folder of rows."""
+        files, at = self.log.files(f"{path}/b=*")
+        return bool(files.globStatus(at))
+
+    def _counts(self, rows: DataFrame, sign: int = 1) -> list | None:
+        """Quads by predicate and graph, None if there are too many of these."""
+        found = rows.groupBy("p", "g", "g_type").count().limit(COUNTED + 1).collect()
+        return [[*r[:3], sign * r[3]] for r in found] if len(found) <= COUNTED else None
+
+    @staticmethod
+    def _summed(*parts: list | None) -> list | None:
+        if any(p is None for p in parts):
+            return None
+        total: Counter = Counter()
+        for p in parts:
+            for *key, n in p:
+                total[tuple(key)] += n
+        found = [[*key, n] for key, n in sorted(total.items(), key=str) if n]
+        return found if len(found) <= COUNTED else None
+
+    def _put(self, entry: dict) -> int:
+        return self.log.put(max(self.log.numbers(), default=0) + 1, {"time": time.time(), **{k: v for k, v in entry.items() if k not in ("v", "time")}})
+
+    def _on_top(self, base: dict, run: dict | None, change: dict) -> dict:
+        """The version after ``base`` with one more run; ``change`` holds what it adds to the counts."""
+        seq = max((r["seq"] for r in base["runs"]), default=0) + 1
+        runs = base["runs"] + ([{**run, "seq": seq}] if run else [])
+        total = {k: base[k] + change[k] for k in ("quads", "chunks", "tokens")}
+        return {"runs": runs, **total, "counts": self._summed(base["counts"], change["counts"]), "delta": run["folder"] if run else None, "whole": False, "on": base["v"]}
+
+    def _meet(self, base: dict, newest: dict, ids: DataFrame) -> bool:
+        """Whether a version after ``base`` touched one of ``ids``, or more than ids can tell."""
+        for v in self.log.numbers():
+            if not base["v"] < v <= newest["v"]:
+                continue
+            entry = self.log.read(v)
+            if entry is None or entry["delta"] is None and not entry["whole"]:
+                continue
+            run = next((r for r in entry["runs"] if r["folder"] == entry["delta"]), None)
+            if entry["whole"] or run is None or run["notes"] or run["voided"] or entry.get("reset"):
+                return True
+            for kind in ("quads", "removed"):
+                if run[kind] and not self._table(f"{run['folder']}/{kind}", QUADS).join(ids, "quad_id", "left_semi").isEmpty():
+                    return True
+        return False
+
+    def _publish(self, base: dict, ids: DataFrame | None, made: Callable[[dict], dict]) -> int:
+        """Publish ``made(base)``; if others were first, on top of theirs unless they touched ``ids``."""
+        if self._at is not None:
+            raise ValueError("an old version can't be changed")
+        while True:
+            try:
+                newest = self._entry()
+                if newest["v"] != base["v"]:
+                    if ids is None or self._meet(base, newest, ids):
+                        raise Conflict(f"version {newest['v']} changes what this one builds on")
+                    base = newest
+                return self._put(made(base))
+            except Taken:
+                continue
 
     def publish(self, quads: DataFrame, chunks: DataFrame | None = None) -> int:
-        """Write everything as the next version; the chunks stay as they are unless given."""
-        v = self.version() + 1
-        into = f"{self.path}/data/{v}-{uuid.uuid4().hex}"
-        for layout, order in LAYOUTS.items():
-            quads.select(*COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{into}/quads-{layout}")
-        count = self.spark.read.schema(QUADS).parquet(f"{into}/quads-p").count()
-        n, tokens = self._write_index(self.chunks() if chunks is None else chunks, into)
-        return self._publish(v, {"full": True, "folder": into, "quads": count, "chunks": n, "tokens": tokens, "removed": 0})
-
-    def commit(self, log: DataFrame, policy: str = "incremental", splitter: Callable[[str], list[str]] | None = None, importing: bool = False, whole: bool = False) -> int:
+        """Write everything as the next version, in one run; the chunks stay as they are unless given."""
+        base, into = self._entry(), self._new()
+        kept = self.chunks() if chunks is None else chunks
+        quads.select(*COLUMNS).write.parquet(f"{into}/staged")
+        staged = self._table(f"{into}/staged", QUADS)
+        run = self._write(into, staged, chunks=kept, layouts=True) | {"seq": 1}
+        counts = self._counts(staged)
+        self._drop(f"{into}/staged")
+        return self._publish(base, None, lambda _: {"runs": [run], "quads": run["quads"], "chunks": run["chunks"], "tokens": run["tokens"], "counts": counts, "delta": into, "whole": True})
+
+    def _index_of(self, ids: DataFrame, runs: list[dict]) -> tuple[int, int]:
+        """Chunks and terms of the quads of ``ids``, read from their buckets only."""
+        heads = self._heads(ids)
+        parts = [self._bucketed(r, "chunks", _KEPT_CHUNKS, heads).withColumn("_seq", F.lit(r["seq"])).join(ids, "quad_id", "left_semi") for r in runs if r["chunks"]]
+        if not parts or not heads:
+            return 0, 0
+        rows = self._live(reduce(DataFrame.unionByName, parts), runs, ("removed", "voided"), ids)
+        return tuple(rows.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first())
+
+    def commit(self, log: DataFrame, policy: str = "incremental", splitter: Callable[[str], list[str]] | None = None, importing: bool = False, whole: bool = False, keep: QuadFilter | None = None) -> int:
         """Apply a log of quads (seq, op 'add' or 'delete') and write what changes as the next version.
 
         Quads that are stored already are not added and those that are not are not removed, so a log applied twice
-        changes nothing. The chunks of removed quads go with them; 'disabled' makes none for new quads, 'deferred'
+        changes nothing; ``changes`` tells what a version added and removed. A filter drops both sides of the log
+        outside of it. The chunks of removed quads go with them; 'disabled' makes none for new quads, 'deferred'
         rebuilds all after an import.
         """
         if policy not in ("incremental", "deferred", "disabled"):
             raise ValueError(policy)
-        v = self.version() + 1
-        into = f"{self.path}/data/{v}-{uuid.uuid4().hex}"
-        net_effect(log).write.parquet(f"{into}/net")
-        net = self.spark.read.schema("op string, " + ", ".join(f"{c} string" for c in COLUMNS)).parquet(f"{into}/net")
-        stored = self.quads().select("quad_id").join(net.select("quad_id"), "quad_id", "left_semi")
-        stored.write.parquet(f"{into}/stored")
-        stored = self.spark.read.schema("quad_id string").parquet(f"{into}/stored")
-        net.where("op = 'add'").join(stored, "quad_id", "left_anti").select(*COLUMNS).write.parquet(f"{into}/quads")
-        net.where("op = 'delete'").join(stored, "quad_id", "left_semi").select("quad_id").write.parquet(f"{into}/removed")
-        added = self.spark.read.schema(QUADS).parquet(f"{into}/quads")
-        removed = self.spark.read.schema("quad_id string").parquet(f"{into}/removed")
-        fresh = project(added, splitter, whole=whole)
-        n, tokens = self._write_index(fresh.limit(0) if policy == "disabled" else fresh, into)
-        more, less = added.count(), removed.count()
-        before = (self._entries() or [{"quads": 0, "chunks": 0, "tokens": 0}])[-1]
-        if less:
-            # Chunks without a term have no postings, but count.
-            n -= self.chunks().join(removed, "quad_id", "left_semi").count()
-            tokens -= self.postings().join(removed, "quad_id", "left_semi").agg(F.coalesce(F.sum("tf"), F.lit(0))).first()[0]
-        if v == 1 or policy == "deferred" and importing:
-            state = self.quads().join(removed, "quad_id", "left_anti").unionByName(added)
-            kept = None if policy == "disabled" else project(state, splitter, whole=whole)
-            return self.publish(state, kept)
-        return self._publish(v, {"full": False, "folder": into, "quads": before["quads"] + more - less, "chunks": before["chunks"] + n, "tokens": before["tokens"] + tokens, "removed": less})
+        base, into = self._entry(), self._new()
+        net_effect(keep.apply(log) if keep else log).write.parquet(f"{into}/net")
+        net = self._table(f"{into}/net", "op string, " + ", ".join(f"{c} string" for c in COLUMNS))
+        ids = net.select("quad_id")
+        self._stored(base["runs"], ids).write.parquet(f"{into}/stored")
+        there = self._table(f"{into}/stored", QUADS)
+        net.where("op = 'add'").join(there, "quad_id", "left_anti").select(*COLUMNS).write.parquet(f"{into}/staged")
+        added = self._table(f"{into}/staged", QUADS)
+        removed = there.join(net.where("op = 'delete'").select("quad_id"), "quad_id", "left_semi")
+        rebuilt = policy == "deferred" and importing
+        first = not base["runs"]
+        run = self._write(into, added, removed, None if policy == "disabled" or rebuilt else project(added, splitter, whole=whole), layouts=True if first else None)
+        gone = self._table(f"{into}/removed", QUADS)
+        n, tokens = self._index_of(gone.select("quad_id"), base["runs"]) if run["removed"] else (0, 0)
+        change = {"quads": run["quads"] - run["removed"], "chunks": run["chunks"] - n, "tokens": run["tokens"] - tokens, "counts": self._summed(self._counts(added), self._counts(gone, -1))}
+        v = self._publish(base, ids, lambda on: self._on_top(on, run if run["quads"] or run["removed"] else None, change))
+        self._drop(f"{into}/staged", f"{into}/stored")
+        return self.reindex(splitter=splitter, whole=whole) if rebuilt else v
+
+    def remove_matches(self, pattern: Pattern) -> int:
+        """Remove the quads that match, as the next version.
+
+        By predicate, graph or both this is a note in the log and no list of ids: reads leave such rows of earlier runs
+        out and merges drop them.
+        """
+        base = self._entry()
+        if pattern.s is not None or pattern.o is not None:
+            return self.commit(self.match(pattern).withColumn("op", F.lit("delete")).withColumn("seq", F.lit(0)), "disabled")
+        into, note = self._new(), (pattern.p and pattern.p.value, pattern.g and pattern.g.value, pattern.g and pattern.g.type)
+        hit = F.lit(True) if pattern.p is None else F.col("predicate") == pattern.p.value
+        hit = hit if pattern.g is None else hit & (F.col("graph") == pattern.g.value) & (F.col("g_type") == pattern.g.type)
+        n, tokens = self._index(base["runs"], "chunks", _KEPT_CHUNKS, hit).agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        counts = base["counts"]
+        less = None if counts is None else [[p, g, t, -k] for p, g, t, k in counts if note[0] in (None, p) and (note[1] is None or note[1:] == (g, t))]
+        change = {"quads": -self.count(pattern), "chunks": -n, "tokens": -tokens, "counts": less}
+        return self._publish(base, None, lambda on: self._on_top(on, self._write(into, None, notes=(note,)), change))
+
+    def delete_graph(self, graph: str | Term) -> int:
+        """Remove a graph; a string names a node."""
+        return self.remove_matches(Pattern(g=Term(graph, NAMED) if isinstance(graph, str) else graph))
+
+    def reindex(self, keep: QuadFilter | None = None, full: bool = False, splitter: Callable[[str], list[str]] | None = None, whole: bool = False) -> int:
+        """Rebuild chunks and postings from the stored quads, as a version that leaves the quads alone.
+
+        A filter replaces the chunks of the quads that pass it and keeps the others; ``full`` drops those as well.
+        """
+        base, into = self._entry(), self._new()
+        sound = self.quads().where(valid())
+        chosen = keep.apply(sound) if keep else sound
+        reset = keep is None or full
+        run = self._write(into, None, chunks=project(chosen, splitter, whole=whole), digits=_digits(base["quads"], self.bucket_rows))
+        change = {"quads": 0, "chunks": run["chunks"], "tokens": run["tokens"], "counts": []}
+        if reset:
+            base_runs = [{**r, "chunks": 0, "tokens": 0} for r in base["runs"]]
+            change |= {k: change[k] - base[k] for k in ("chunks", "tokens")}
+        else:
+            base_runs = base["runs"]
+            old = keep.apply(self._index(base["runs"], "chunks", _KEPT_CHUNKS), "subject", "predicate", "graph")
+            old.groupBy("quad_id").agg(F.count("*").alias("n"), F.sum("length").alias("tokens")).write.parquet(f"{into}/voided")
+            k, n, tokens = self._table(f"{into}/voided", "quad_id string, n long, tokens long").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+            run["voided"] = k
+            change |= {"chunks": change["chunks"] - n, "tokens": change["tokens"] - tokens}
+        return self._publish(base, None, lambda on: self._on_top({**on, "runs": base_runs}, run, change) | {"reset": reset})
+
+    # Upkeep
+
+    def _tier(self, run: dict) -> int:
+        """Runs of a tier have up to FANOUT times the rows of those of the tier before."""
+        rows = sum(run[k] for k in ("quads", "removed", "chunks", "voided"))
+        return max(0, math.floor(math.log(max(1, rows) / SMALLEST, self.fanout)) + 1)
+
+    def _due(self, entry: dict) -> list[dict]:
+        """The last runs, if there are FANOUT of like size or less among them."""
+        for tier in sorted({self._tier(r) for r in entry["runs"]}):
+            last: list[dict] = []
+            for run in reversed(entry["runs"]):
+                if self._tier(run) > tier:
+                    break
+                last.insert(0, run)
+            if len(last) >= self.fanout:
+                return last
+        return []
+
+    def due(self) -> bool:
+        """Whether there are runs to merge, by the log alone."""
+        return bool(self._due(self._entry()))
+
+    def _merge(self, entry: dict, runs: list[dict]) -> int:
+        """Replace neighbouring runs by one; commits of others in the meantime stay."""
+        into, first = self._new(), runs[0]["folder"] == entry["runs"][0]["folder"]
+        self._read(runs).drop("_seq").write.parquet(f"{into}/staged")
+        gone = None
+        if not first and any(r["removed"] for r in runs):
+            gone = reduce(DataFrame.unionByName, [self._table(f"{r['folder']}/removed", QUADS) for r in runs if r["removed"]]).dropDuplicates(["quad_id"])
+        notes = () if first else tuple(tuple(x) for r in runs for x in r["notes"])
+        run = self._write(into, self._table(f"{into}/staged", QUADS), gone, self._index(runs, "chunks", _CHUNKS), layouts=True if first else None, notes=notes)
+        if not first and any(r["voided"] for r in runs):
+            voided = reduce(DataFrame.unionByName, [self._table(f"{r['folder']}/voided", "quad_id string") for r in runs if r["voided"]]).distinct()
+            voided.write.parquet(f"{into}/voided")
+            run["voided"] = self._table(f"{into}/voided", "quad_id string").count()
+        run["seq"] = runs[-1]["seq"]
+        self._drop(f"{into}/staged")
+        folders = [r["folder"] for r in runs]
+        while True:
+            newest = self._entry()
+            there = [r["folder"] for r in newest["runs"]]
+            at = there.index(folders[0]) if folders[0] in there else -1
+            if at < 0 or newest["runs"][at : at + len(runs)] != runs:
+                raise Conflict("runs that were merged are there no more")
+            try:
+                return self._put(newest | {"runs": newest["runs"][:at] + [run] + newest["runs"][at + len(runs) :], "delta": None, "whole": False, "reset": False})
+            except Taken:
+                continue
+
+    def maintain(self) -> int:
+        """Merge runs of like size until none are due; returns how many merges there were."""
+        done = 0
+        while due := self._due(entry := self._entry()):
+            self._merge(entry, due)
+            done += 1
+        return done
 
     def compact(self) -> int:
-        """Write what is stored as a full version, so that reads need no small ones."""
-        return self.publish(self.quads(), self.chunks())
+        """Merge all runs into one."""
+        entry = self._entry()
+        return self._merge(entry, entry["runs"]) if entry["runs"] else entry["v"]
 
-    def deltas(self) -> int:
-        """Small versions since the last full one."""
-        return sum(not e["full"] for e in self._entries())
-
-    def vacuum(self) -> int:
-        """Delete the versions before the newest full one, which nobody may be reading any more; returns how many."""
-        first = min((e["v"] for e in self._entries()), default=0)
-        old = [self._entry(v) for v in self._versions() if v < first]
-        for entry in old:
-            for path in (entry["folder"], f"{self.path}/log/{entry['v']:012d}.json"):
-                files, at = self._files(path)
-                files.delete(at, True)
+    def maintain_beside(self, keep_seconds: float | None = None) -> None:
+        """Merge what is due, and vacuum, beside further commits; no more than one such thread runs at a time."""
+        if self._busy is None or not self._busy.is_alive():
+
+            def work() -> None:
+                try:
+                    self.maintain()
+                except Conflict:  # what was to be merged has changed; the next turn merges what is there then
+                    return
+                if keep_seconds is not None:
+                    self.vacuum(keep_seconds)
+
+            self._busy = InheritableThread(target=work, daemon=True)
+            self._busy.start()
+
+    def settle(self) -> None:
+        """Wait for upkeep beside commits."""
+        if self._busy is not None:
+            self._busy.join()
+
+    def _drop(self, *paths: str) -> None:
+        for path in paths:
+            files, at = self.log.files(path)
+            files.delete(at, True)
+
+    def vacuum(self, keep_seconds: float = 0.0) -> int:
+        """Delete versions but the newest that were published so long ago, and files that no other version names.
+
+        Nobody may be reading these versions any more. Folders that no version names, as writers leave that die, go
+        when they are older than ORPHAN_AGE as well. Returns how many versions were deleted.
+        """
+        now, entries = time.time(), {v: self.log.read(v) for v in self.log.numbers()}
+        newest = max((v for v, e in entries.items() if e), default=0)
+        old = [v for v, e in entries.items() if v < newest and (e is None or e["time"] <= now - keep_seconds)]
+        named = lambda e: {r["folder"] for r in e["runs"]} | ({e["delta"]} if e["delta"] else set())
+        kept = set().union(*(named(e) for v, e in entries.items() if e and v not in old)) if newest else set()
+        for v in old:
+            self.log.drop(v)
+            self._drop(*((named(entries[v]) if entries[v] else set()) - kept))
+        files, at = self.log.files(f"{self.path}/data/*")
+        ours = {f.rsplit("/", 1)[-1] for f in kept}
+        for found in files.globStatus(at) or []:
+            if found.getPath().getName() not in ours and found.getModificationTime() / 1000 < now - max(keep_seconds, ORPHAN_AGE):
+                files.delete(found.getPath(), True)
         return len(old)
+
+    # Changes
+
+    def changes(self, before: int, after: int) -> DataFrame:
+        """Quads that came and went from one version to a later one, as ``op`` ('add' or 'delete') and the quad's columns.
+
+        Read from what the versions between wrote; where one wrote everything anew, by comparing the two.
+        """
+        schema = T.StructType([T.StructField("op", T.StringType()), *QUADS.fields])
+        found, steps = [e for v in self.log.numbers() if before < v <= after and (e := self.log.read(v))], []
+        if any(e["whole"] for e in found) and before:
+            old, new = self.at(before).quads(), self.at(after).quads()
+            gone = old.join(new.select("quad_id"), "quad_id", "left_anti").withColumn("op", F.lit("delete"))
+            return new.join(old.select("quad_id"), "quad_id", "left_anti").withColumn("op", F.lit("add")).unionByName(gone).select("op", *COLUMNS)
+        for entry in found:
+            run = next((r for r in entry["runs"] if r["folder"] == entry["delta"]), None)
+            if run is None:
+                continue
+            for kind, op in (("removed", "delete"), ("quads", "add")):
+                if run[kind]:
+                    steps.append(self._table(f"{run['folder']}/{kind}", QUADS).select(F.lit(op).alias("op"), F.lit(entry["v"]).alias("_v"), *COLUMNS))
+            for p, g, g_type in run["notes"]:
+                pattern = Pattern(p=Term(p) if p is not None else None, g=Term(g, g_type) if g is not None else None)
+                steps.append(self.at(entry["on"]).match(pattern).select(F.lit("delete").alias("op"), F.lit(entry["v"]).alias("_v"), *COLUMNS))
+        if not steps:
+            return self.spark.createDataFrame([], schema)
+        rows = reduce(DataFrame.unionByName, steps)
+        own = rows.groupBy("quad_id").agg(F.min_by("op", "_v").alias("first"), F.max_by("op", "_v").alias("op"), F.max_by(F.struct(*[c for c in COLUMNS if c != "quad_id"]), "_v").alias("quad"))
+        return own.where("first = op").select("op", "quad_id", "quad.*").select("op", *COLUMNS)
+
+
+def _filter_place(bits: int) -> tuple[Column, Column]:
+    """Row and bit of an id in a filter of 2^bits bits; rows follow the order of ids."""
+    place = F.shiftrightunsigned(F.conv(F.substring("quad_id", 1, 15), 16, 10).cast("long"), 60 - bits)
+    return F.shiftrightunsigned(place, 15).alias("block"), place.bitwiseAND(F.lit(32767)).alias("bit")

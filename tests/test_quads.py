@@ -10,6 +10,7 @@ from quadspark.operators import chunks, match, patch, search
 from quadspark.operators.bgp import Var, bgp
 from quadspark.operators.match import Pattern, QuadFilter
 from quadspark.sources import nquads
+from quadspark.sources.log import Taken
 from quadspark.sources.snapshot import Conflict, Store
 from quadspark.streaming import ingest
 
@@ -244,17 +245,46 @@ def test_store_keeps_what_commits_change(spark, tmp_path):
     assert store.vacuum() == 4 and n(store.quads()) == 22 and store.version() == 5
 
 
-def test_of_two_writers_one_is_told(spark, tmp_path, monkeypatch):
-    store, other = Store(spark, f"file://{tmp_path}"), Store(spark, f"file://{tmp_path}")
-    monkeypatch.setattr(other, "version", lambda: 0)
-    q = make(spark, ("a", "p", literal("x")))
+def behind(store, entry):
+    """The store as a writer sees it that read this entry before others published; later reads see theirs."""
+    seen, newest = [entry], store._entry
+    store._entry = lambda: seen.pop() if seen else newest()
+    return store
+
+
+def test_of_two_writers_one_is_told(spark, tmp_path):
+    path = f"file://{tmp_path}"
+    store, q = Store(spark, path), make(spark, ("a", "p", literal("x")), ("b", "p", literal("y")))
+    before = store._entry()
     store.publish(q)
     with pytest.raises(Conflict):
-        other.publish(q.limit(0))
-    assert store.size() == 1 and n(store.quads()) == 1
+        behind(Store(spark, path), before).publish(q.limit(0))
+    assert store.size() == 2 and n(store.quads()) == 2
+    with pytest.raises(Taken):
+        store.log.put(1, {})
+
+
+def test_writers_of_other_quads_go_on_top(spark, tmp_path):
+    path = f"file://{tmp_path}"
+    store = Store(spark, path)
+    store.commit(logged(make(spark, ("a", "p", literal("one")), ("b", "p", literal("two"))), "add"))
+    before = store._entry()
+    store.commit(logged(make(spark, ("c", "p", literal("three"))), "add").union(logged(make(spark, ("a", "p", literal("one"))), "delete")))
+    store.compact()
+    late = behind(Store(spark, path), before)
+    assert late.commit(logged(make(spark, ("d", "p", literal("four"))), "add").union(logged(make(spark, ("b", "p", literal("two"))), "delete"))) == 4
+    assert sorted(r.o for r in store.quads().collect()) == sorted(r.value for r in store.chunks().collect()) == ["four", "three"]
+    assert store.size() == 2 and store.corpus() == (2, 1.0) and store.count(Pattern(p=node("p"))) == 2
+    with pytest.raises(Conflict):
+        behind(Store(spark, path), before).commit(logged(make(spark, ("a", "p", literal("one"))), "add"))
+    merging = store._entry()
+    store.commit(logged(make(spark, ("e", "p", literal("five"))), "add"))
+    assert Store(spark, path)._merge(merging, merging["runs"]) == 6 and n(store.quads()) == store.size() == 3
+    with pytest.raises(Conflict):
+        behind(Store(spark, path), before).reindex()
 
 
-def test_counts_of_chunks_without_a_term_and_entries_that_are_being_written(spark, tmp_path):
+def test_counts_of_chunks_without_a_term_and_entries_of_dead_writers(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}")
     bare, rest = make(spark, ("a", "p", literal("..."))), make(spark, ("b", "p", literal("one two")), ("c", "p", literal("!")))
     store.commit(logged(bare.union(rest), "add"))
@@ -262,9 +292,11 @@ def test_counts_of_chunks_without_a_term_and_entries_that_are_being_written(spar
     store.commit(logged(bare, "delete"))
     assert store.corpus() == (2, 1.0) and n(store.chunks()) == 2
     (tmp_path / "log" / f"{3:012d}.json").touch()
+    (tmp_path / "log" / f"{4:012d}.json").write_text('{"runs": [')
     assert store.version() == 2 and n(store.quads()) == store.size() == 2
-    with pytest.raises(Conflict):
-        store.commit(logged(bare, "add"))
+    assert store.commit(logged(bare, "add")) == 5 and store.size() == 3
+    assert not [f for f in (tmp_path / "log").iterdir() if "beside" in f.name]
+    assert store.vacuum() == 4 and n(store.quads()) == 3
 
 
 def test_a_failing_projection_publishes_nothing(spark, tmp_path):
@@ -281,13 +313,13 @@ def test_a_failing_projection_publishes_nothing(spark, tmp_path):
 
 
 def test_streams_are_applied_in_batches_and_flushed(spark, tmp_path):
-    store = Store(spark, f"file://{tmp_path}/store")
+    store = Store(spark, f"file://{tmp_path}/store", fanout=2)
     schema = "quad_id string, s string, s_type string, p string, o string, o_type string, o_datatype string, o_lang string, g string, g_type string, op string"
     (tmp_path / "in").mkdir()
     stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
     put = lambda k, rows, op: rows.withColumn("op", F.lit(op)).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     put(0, make(spark, ("a", "p", literal("one")), ("b", "p", literal("two"))), "add")
-    query = ingest.ingest(stream, store, f"{tmp_path}/progress", compact_every=2, processingTime="1 second")
+    query = ingest.ingest(stream, store, f"{tmp_path}/progress", keep_seconds=0.0, processingTime="1 second")
     try:
         ingest.flush(query)
         assert store.size() == 2 and n(store.chunks()) == 2
@@ -296,7 +328,8 @@ def test_streams_are_applied_in_batches_and_flushed(spark, tmp_path):
         assert store.size() == 1 and [r.value for r in store.chunks().collect()] == ["two"]
         put(2, make(spark, ("c", "p", literal("three"))), "add")
         ingest.flush(query)
-        assert store.size() == 2 and store.deltas() == 0 and n(search.search_stored(store, search.one_query(spark, "three"))) == 1
+        store.settle()
+        assert store.size() == 2 and store.deltas() == 0 and len(store.log.numbers()) < 4 and n(search.search_stored(store, search.one_query(spark, "three"))) == 1
     finally:
         query.stop()
 
