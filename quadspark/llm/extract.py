@@ -5,7 +5,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from bisect import bisect_left
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,17 +28,18 @@ BOILERPLATE = frozenset("nav footer aside head menu dialog button select option
 CONTENT = frozenset("article main".split())
 #: Words in class, id and role that mark boilerplate or content.
 MARKS = re.compile(
-    r"ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|side|widget|footer|masthead|header|topbar|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend(?:ed|ations)?|comments?|commentlist|disqus|replies|reply|respond|pagination|pager|tags|toolbar|contentinfo|complementary|search",
+    r"ads?|adverts?|advertisement|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|copyright|legal|disclaimer|cc|reviews?|nav(?:bar|igation)?|menu|breadcrumbs?|sidebar|side|widget|footer|masthead|header|topbar|cookies?|cookiebar|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommend(?:ed|ations)?|comments?|commentlist|disqus|replies|reply|respond|pagination|pager|tags|toolbar|contentinfo|complementary|search",
     re.I,
 )
 #: Parts before a mark that make it a property of the page, and parts after one that leave it what it is.
 _HAVING = frozenset("has have no not with without hide hidden show".split())
-_KINDS = frozenset("left right top bottom primary secondary list item items link links area section block box container wrapper wrap inner content slot unit posts articles buttons icons bar form text".split())
+_KINDS = frozenset("window left right top bottom primary secondary list item items link links area section block box container wrapper wrap inner content slot unit posts articles buttons icons bar form text".split())
 #: Whole words that cancel marks.
 _CANCEL = frozenset("article articlebody main post entry story content".split())
-GOOD = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|post|entry|story|content|text|body)(?:$|[\s_-])", re.I)
+GOOD = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|post|entry|story|content)(?:$|[\s_-])|(?:^|[\s_-])(?:text|body)(?:$|\s)", re.I)
 
-_TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|(/?)([a-zA-Z][^\s/>]*)[^>]*>|[!?/][^>]*>)""")
+_OPEN = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)|[!?/])")
+_EVENT = re.compile(r"""[>"']""")
 _NAMED = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 #: Log odds of a block by its shape, where nothing was learned: a constant, then one weight for each number of ``shape``.
@@ -45,7 +47,8 @@ WEIGHTS = (-1.0, 1.0, 1.0, -4.0, 0.0)
 #: The classifier's log odds stay within this; it learns from the blocks of so many pages at most.
 MOST_ODDS, FIT_PAGES = 3.5, 2000
 #: Smoothness between neighbours in page order, the more of it the closer they are in the tree, and between siblings.
-NEXT_TO, SIBLINGS = 1.2, 0.6
+#: Where one of two stands in marked boilerplate and the other doesn't, the page itself parts them.
+NEXT_TO, SIBLINGS, PARTED = 1.2, 0.6, 0.1
 
 
 @dataclass
@@ -90,6 +93,43 @@ def _role(name: str, attributes: str, inside: bool, forms: bool) -> int:
     return 1 if name in CONTENT or marks and GOOD.search(marks) else 0
 
 
+class _Ends:
+    """Where tags end: at the first ``>`` outside of quotes, or the first at all if quotes leave none.
+
+    Quotes and brackets are walked once from the end, and only if a tag has quotes that a look at it doesn't settle,
+    so a page of any shape takes time in proportion to its length.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.marks, self.out = page, None, None
+
+    def _walk(self) -> None:
+        self.marks = [m.start() for m in _EVENT.finditer(self.page)]
+        n = len(self.marks)
+        self.out = [-1] * (n + 1)
+        later = {'"': n, "'": n}
+        for i in range(n - 1, -1, -1):
+            mark = self.page[self.marks[i]]
+            if mark == ">":
+                self.out[i] = self.marks[i] + 1
+            else:
+                self.out[i] = self.out[later[mark] + 1] if later[mark] < n else -1
+                later[mark] = i
+
+    def after(self, at: int) -> int:
+        """The end of the tag whose name ends at ``at``; -1 if no ``>`` follows."""
+        first = self.page.find(">", at)
+        if first < 0:
+            return -1
+        inside = self.page[at:first]
+        if "'" not in inside and inside.count('"') % 2 == 0:
+            return first + 1
+        if self.out is None:
+            self._walk()
+        end = self.out[bisect_left(self.marks, at)]
+        return first + 1 if end < 0 else end
+
+
 def blocks(page: str, forms: bool = True) -> list[Block]:
     """Text blocks in page order; ``forms`` tells whether a form is boilerplate.
 
@@ -97,6 +137,9 @@ def blocks(page: str, forms: bool = True) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # name, role, number of the element
+    holders = [0]  # places in the stack of elements that hold blocks
+    opened: Counter[str] = Counter()
+    ends_of = _Ends(page)
     count = bad = good = links = 0
     held: list[int] = []  # marks around an <article> or <main>, which don't hold inside
     hard = outside = 0  # open elements of boilerplate; whether there was content outside marks
@@ -109,13 +152,17 @@ def blocks(page: str, forms: bool = True) -> list[Block]:
         if text:
             now.text = text
             out.append(now)
-        holder = next((s for s in reversed(stack) if s[0] in BLOCKS or not s[0]), stack[0])
-        now = Block(bad=bad > 0, good=good > 0, heading=holder[0] in ("h1", "h2", "h3", "h4", "h5", "h6"), parent=next((s[2] for s in reversed(stack[:-1]) if s[0] in BLOCKS), 0), depth=len(stack))
+        top = holders[-1]
+        around = holders[-2] if top == len(stack) - 1 and len(holders) > 1 else top
+        now = Block(bad=bad > 0, good=good > 0, heading=stack[top][0] in ("h1", "h2", "h3", "h4", "h5", "h6"), parent=stack[around][2], depth=len(stack))
 
     def pop(upto: int) -> None:
         nonlocal bad, good, links, hard
         while len(stack) > upto:
             name, role, _ = stack.pop()
+            opened[name] -= 1
+            if holders[-1] == len(stack):
+                holders.pop()
             bad -= role < 0
             hard -= role == -2
             if name in CONTENT:
@@ -133,26 +180,30 @@ def blocks(page: str, forms: bool = True) -> list[Block]:
             now.linked += (tag - at) * (links > 0)
         if tag >= size:
             break
-        m = _TAG.match(page, tag)
+        m = _OPEN.match(page, tag)
         if not m:
             now.parts.append("<")
             at = tag + 1
             continue
-        at = m.end()
         if m[1]:
             stop = page.find("-->", tag + 4)
             at = size if stop < 0 else stop + 3
             continue
-        name = (m[3] or m[6] or "").lower()
+        at = ends_of.after(m.end()) if m[3] else page.find(">", m.end()) + 1 or -1
+        if at < 0:  # no tag ends any more
+            now.parts.append(page[tag:])
+            now.linked += (size - tag) * (links > 0)
+            break
+        name = (m[3] or "").lower()
         if not name:
             continue
-        ends = bool(m[2] or m[5])
+        ends, attributes = bool(m[2]), page[m.end() : at - 1]
         if name in RAW:
-            if not ends and not (m[4] or "").endswith("/"):
+            if not ends and not attributes.endswith("/"):
                 stop = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
                 at = size if stop is None else (page.find(">", stop.end() - 1) + 1 or size)
             continue
-        if name in LEFT_OUT and name not in unclosed and not ends and not (m[4] or "").endswith("/"):
+        if name in LEFT_OUT and name not in unclosed and not ends and not attributes.endswith("/"):
             stop = re.compile(rf"<(/?){name}[\s/>]", re.I).search(page, at)
             if stop and stop[1]:
                 at = page.find(">", stop.end() - 1) + 1 or size
@@ -166,7 +217,7 @@ def blocks(page: str, forms: bool = True) -> list[Block]:
                 now.parts.append(" ")
             continue
         if ends:
-            found = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
+            found = next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name) if opened[name] else 0
             if found:
                 edge = name in BLOCKS or any(s[0] in BLOCKS for s in stack[found:])
                 pop(found)
@@ -177,14 +228,10 @@ def blocks(page: str, forms: bool = True) -> list[Block]:
             continue
         if name in BLOCKS:
             again = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}.get(name, ())
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p" or stack[i][0] in again:
-                    pop(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
+            if stack[holders[-1]][0] == "p" or stack[holders[-1]][0] in again:
+                pop(holders[-1])
         count += 1
-        role = _role(name, m[4] or "", good > 0, forms)
+        role = _role(name, attributes, good > 0, forms)
         if name in CONTENT:
             held.append(bad if bad and not hard and not held and not outside else 0)
             outside = outside or not bad
@@ -193,6 +240,9 @@ def blocks(page: str, forms: bool = True) -> list[Block]:
         hard += role == -2
         good += role > 0
         links += name == "a"
+        if name in BLOCKS:
+            holders.append(len(stack))
+        opened[name] += 1
         stack.append((name, role, count))
         if name in BLOCKS:
             close()
@@ -310,12 +360,19 @@ def _labelled(found: list[Block], weights: tuple[float, ...]) -> list[bool]:
     """Cut the graph of a page's blocks; True for content."""
     edges: list[tuple[int, int, float]] = []
     last: dict[int, int] = {}
+    before: dict[bool, int] = {}  # the last block within marks, and outside of them
+
+    def near(j: int, i: int) -> float:
+        return NEXT_TO / (1 + abs(found[i].depth - found[j].depth) + (found[i].parent != found[j].parent))
+
     for i, b in enumerate(found):
-        if i:
-            edges.append((i - 1, i, NEXT_TO / (1 + abs(b.depth - found[i - 1].depth) + (b.parent != found[i - 1].parent))))
+        if i and found[i - 1].bad != b.bad:
+            edges.append((i - 1, i, PARTED * near(i - 1, i)))
+        if (j := before.get(b.bad)) is not None:
+            edges.append((j, i, near(j, i)))
         if (j := last.get(b.parent)) is not None:
-            edges.append((j, i, SIBLINGS))
-        last[b.parent] = i
+            edges.append((j, i, SIBLINGS * (PARTED if b.bad != found[j].bad else 1.0)))
+        last[b.parent] = before[b.bad] = i
     return label([evidence(b, weights) for b in found], edges)
 
 

@@ -34,12 +34,12 @@ _FAMILY = rf"(?:\p{{Lu}}\. ){{0,3}}+{_WORD}(?: {_WORD})*+"
 #: Patterns by type, in order of precedence; every quantifier before a required character has a bound or gives nothing back.
 PATTERNS = {
     "secret": rf"(?<![A-Za-z0-9])AKIA[0-9A-Z]{{16}}(?![0-9A-Za-z])|{_SECRET}",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}+@[\p{L}\p{M}\p{N}-]{1,63}(?:\.[\p{L}\p{M}\p{N}-]{1,63}){0,6}\.[\p{L}\p{M}]{2,24}",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?[0-9])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])",
+    "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z+])0[0-9]{2,4}[ -][0-9]{3,4}[ -][0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])",
     "male": rf"(?<!\p{{L}})(?:{MALE})(?= \p{{Lu}}|-(?:{MALE}|{FEMALE}) \p{{Lu}})",
     "female": rf"(?<!\p{{L}})(?:{FEMALE})(?= \p{{Lu}}|-(?:{MALE}|{FEMALE}) \p{{Lu}})",
     "family": rf"(?<!\p{{L}})(?=\p{{Lu}})(?<=[\p{{L}}.] )(?<=(?<!\p{{L}})(?:(?:{TITLES})\.?|{MALE}|{FEMALE}) ){_FAMILY}",
@@ -51,7 +51,8 @@ _STARTS = {
         "[A-Z]": "secret email iban male female family",
         "[0-9]": "secret email ip card ssn phone",
         "[._%+(/=-]": "secret email phone",
-        r"[\p{Lu}&&[^A-Z]]": "male female family",
+        r"[\p{Lu}&&[^A-Z]]": "email male female family",
+        r"[\p{L}\p{M}\p{N}&&[^A-Za-z0-9\p{Lu}]]": "email",
         r"[\x21-\x7E&&[^A-Za-z0-9._%+(/=-]]": "secret",
     },
     "(?<=[A-Za-z])": {"[0-9]": "ip ssn"},
@@ -65,6 +66,8 @@ _CYRILLIC = "ба бе би бо да де ди до ка ке ки ко ла л
 #: Draws after which a format of fixed length takes letters for digits, so that it has more values than entities.
 _STRICT = 8
 _GLYPHS = {"[0-9]": "0123456789", "[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+#: The same for letters beyond ASCII, later ones first: Cyrillic ones stay Cyrillic, others become Latin ones or digits.
+_GLYPHS |= {r"[\p{L}\p{M}&&[^A-Za-z]]": _GLYPHS["[a-z]"], r"[\p{N}&&[^0-9]]": _GLYPHS["[0-9]"], r"\p{IsCyrillic}": "абвгдежзиклмнопрстуфхцчшэюя", r"[\p{IsCyrillic}&&\p{Lu}]": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"}
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -72,7 +75,7 @@ def _byte(stream: Column, i: Column) -> Column:
 
 
 def _reshape(value: Column, stream: Column) -> Column:
-    """Each digit, small or capital letter becomes another of its kind; what else there is stays."""
+    """Each digit or letter becomes another of its kind; what else there is stays."""
 
     def one(c: Column, i: Column) -> Column:
         b = _byte(stream, i)
@@ -110,6 +113,11 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str = KEY) -> Co
     from attempt _STRICT on numbers have letters among their digits and IPv4 addresses become IPv6 ones.
     """
     stream = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, norm, attempt.cast("string")), 512)
+    # Bound to a variable, or every character would hash the whole value again.
+    return F.transform(F.array(stream), lambda bound: _made(kind, norm, attempt, bound))[0]
+
+
+def _made(kind: Column, norm: Column, attempt: Column, stream: Column) -> Column:
     shaped = _reshape(norm, stream)
     length = F.length(norm)
     labels = F.split(F.substring_index(norm, "@", -1), r"\.")
@@ -174,18 +182,24 @@ def _words(cut: DataFrame) -> DataFrame:
 
 
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
-    """Give each distinct ``kind, norm`` its ``made``, redrawing until all differ and none is an entity itself."""
-    own = scratch.write(entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0)), "entities")
+    """Give each distinct ``kind, norm`` its ``made``; those that clash are drawn again until all differ and none is an entity itself."""
+    own = scratch.write(entities.select("kind", "norm").distinct(), "entities")
+    redo, settled = own.withColumn("attempt", F.lit(0)), None
     while True:
-        made = scratch.write(own.withColumn("made", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "surrogates")
+        made = scratch.write(redo.withColumn("made", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "surrogates")
         first = made.groupBy("kind", "made").agg(F.min("norm").alias("first"), F.count("*").alias("n")).where("n > 1").select("kind", "made", "first")
-        taken = made.select("kind", F.col("norm").alias("made")).join(made.select("kind", "made").distinct(), ["kind", "made"], "left_semi").withColumn("taken", F.lit(True))
-        clash = made.join(first, ["kind", "made"], "left").join(taken, ["kind", "made"], "left")
+        drawn = made.select("kind", "made").distinct()
+        taken = own.select("kind", F.col("norm").alias("made")).join(drawn, ["kind", "made"], "left_semi")
+        if settled is not None:
+            taken = taken.unionByName(settled.select("kind", "made").join(drawn, ["kind", "made"], "left_semi")).distinct()
+        clash = made.join(first, ["kind", "made"], "left").join(taken.withColumn("taken", F.lit(True)), ["kind", "made"], "left")
         again = (F.col("first").isNotNull() & (F.col("norm") != F.col("first"))) | F.col("taken").isNotNull()
-        redo = clash.where(again)
+        drawn = scratch.write(clash.select("kind", "norm", "attempt", "made", again.alias("again")), "drawn")
+        done = drawn.where("not again").select("kind", "norm", "made")
+        settled = done if settled is None else settled.unionByName(done)
+        redo = drawn.where("again").select("kind", "norm", (F.col("attempt") + 1).alias("attempt"))
         if redo.isEmpty():
-            return made.select("kind", "norm", "made")
-        own = scratch.write(clash.select("kind", "norm", (F.col("attempt") + F.when(again, 1).otherwise(0)).alias("attempt")), "entities")
+            return settled
 
 
 #: Words of a text, apostrophes and hyphens inside them included, and what stands between words.
