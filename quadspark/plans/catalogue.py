@@ -443,3 +443,88 @@ def store_compact(spark, d):
     store.compact()
     store.vacuum()
     return store.quads()
+
+
+def _log(adds: DataFrame, dels: DataFrame) -> DataFrame:
+    return adds.withColumn("op", F.lit("add")).unionByName(dels.withColumn("op", F.lit("delete"))).withColumn("seq", F.lit(0))
+
+
+@_query(_patched("select quad_id from quads where quad_id in (select quad_id from del) or quad_id in (select quad_id from ins)"))
+def store_presence(spark, d):
+    """Which of some ids are stored, from the buckets of these ids."""
+    store = Store(spark, new_folder(spark, "store"), bucket_rows=1000, large_rows=1000)
+    store.publish(quads(spark, d, "orders"))
+    new, old = _changes(spark, d)
+    return store.stored(new.unionByName(old)).select("quad_id")
+
+
+@_query(_patched(f"select {_LIST} from quads where quad_id not in (select quad_id from del) union select {_LIST} from ins"))
+def store_filtered_commit(spark, d):
+    """A commit whose filter leaves the nations out."""
+    store = Store(spark, new_folder(spark, "store"))
+    store.publish(quads(spark, d, "orders"))
+    new, old = _changes(spark, d)
+    store.commit(_log(new.unionByName(quads(spark, d, "nation")), old), "disabled", keep=QuadFilter(graphs=("urn:g:orders",)))
+    return store.quads()
+
+
+@_query(_patched("select 'add' as op, quad_id, s, p, o, g from ins where quad_id not in (select quad_id from quads) union all select 'delete', quad_id, s, p, o, g from quads where quad_id in (select quad_id from del) and quad_id not in (select quad_id from ins)"))
+def store_changes(spark, d):
+    """What a version changed, after a merge of all runs."""
+    store = _changed(spark, d)
+    store.compact()
+    return store.changes(1, store.version()).select("op", "quad_id", "s", "p", "o", "g")
+
+
+@_query(_with(f"select {_LIST} from quads where p <> 'urn:status' and g <> ''", "nation", "orders"))
+def store_remove_matches(spark, d):
+    """A predicate and the default graph are removed, each by a note in the log."""
+    store = Store(spark, new_folder(spark, "store"))
+    store.publish(quads(spark, d, "nation", "orders"))
+    store.remove_matches(Pattern(p=node("urn:status")))
+    store.delete_graph(matching.Term("", "DefaultGraph"))
+    return store.quads()
+
+
+@_query(f"with quads as (select * from ({quads_sql('documents')}) where g <> 'urn:src:src3') {_WHOLE_CHUNKS}")
+def store_delete_graph(spark, d):
+    """The chunks of a deleted graph go with it."""
+    store = Store(spark, new_folder(spark, "store"))
+    store.commit(_log(_docs(spark, d), _docs(spark, d).limit(0)), whole=True)
+    store.delete_graph("urn:src:src3")
+    return store.chunks().select("chunk_id", "quad_id", "subject", "predicate", "graph", "value")
+
+
+@_query(f"with quads as (select * from ({quads_sql('documents')}) where g in ('urn:src:src1', 'urn:src:src2')) {_WHOLE_CHUNKS}")
+def store_reindex(spark, d):
+    """Nothing is indexed by the commit, and two graphs are afterwards, one after the other."""
+    store = Store(spark, new_folder(spark, "store"))
+    store.commit(_log(_docs(spark, d), _docs(spark, d).limit(0)), "disabled")
+    for graph in ("urn:src:src1", "urn:src:src2"):
+        store.reindex(QuadFilter(graphs=(graph,)), whole=True)
+    return store.chunks().select("chunk_id", "quad_id", "subject", "predicate", "graph", "value")
+
+
+@_query(_patched("select p, count(*) as n from (select quad_id, p from quads where quad_id not in (select quad_id from del) union select quad_id, p from ins) group by p"))
+def store_counts(spark, d):
+    """Quads by predicate, from the log alone."""
+    store = _changed(spark, d)
+    found = [(p, store.count(Pattern(p=node(p)))) for p in ("urn:customer", "urn:status", "urn:date")]
+    return spark.createDataFrame(found, "p string, n long").where("n > 0")
+
+
+@_query(_with(f"select {_LIST} from quads", "orders"))
+def store_tiers(spark, d):
+    """Orders in six commits, with runs of like size merged in between."""
+    store = Store(spark, new_folder(spark, "store"), fanout=2)
+    for part in range(6):
+        rows = quads(spark, d, "orders", where=F.col("o_orderkey") % 6 == part)
+        store.commit(_log(rows, rows.limit(0)), "disabled")
+        store.maintain()
+    return store.quads()
+
+
+@_query(_with(f"select {_LIST} from quads where s = 'urn:order:7'", "orders"))
+def store_as_of(spark, d):
+    """A subject as it was before a commit."""
+    return _changed(spark, d).at(1).match(Pattern(s=node("urn:order:7")))

@@ -11,10 +11,15 @@ from pyspark.sql import types as T
 
 from quadspark.functions.terms import BLANK, COLUMNS, DEFAULT, LANG_STRING, LITERAL, NAMED, XSD_STRING, normalise
 
+# Characters of blank labels by the N-Quads grammar, first ones and all but dots.
+_FIRST = r"0-9A-Za-z_:\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{2FF}\x{370}-\x{37D}\x{37F}-\x{1FFF}\x{200C}-\x{200D}\x{2070}-\x{218F}\x{2C00}-\x{2FEF}\x{3001}-\x{D7FF}\x{F900}-\x{FDCF}\x{FDF0}-\x{FFFD}\x{10000}-\x{EFFFF}"
+_LABEL = rf"[{_FIRST}](?:[{_FIRST}.\x{{B7}}\x{{300}}-\x{{36F}}\x{{203F}}-\x{{2040}}-]*[{_FIRST}\x{{B7}}\x{{300}}-\x{{36F}}\x{{203F}}-\x{{2040}}-])?"
 # Fixed value: the shape of a statement. Groups: subject node, blank; predicate; object node, blank, literal's quote,
 # literal, datatype, language; graph's bracket, node, blank. Quantifiers inside a literal give nothing back, so lines of
 # any length match without recursion.
-LINE = r'^\s*(?:<([^>\n]*)>|_:(\w(?:[\w.·-]*[\w·-])?))\s*<([^>\n]*)>\s*(?:<([^>\n]*)>|_:(\w(?:[\w.·-]*[\w·-])?)|(")((?:[^"\\\n\r]++|\\[^\n\r])*+)"(?:\^\^<([^>\n]*)>|@([A-Za-z0-9-]+))?)\s*(?:(<)([^>\n]*)>|_:(\w(?:[\w.·-]*[\w·-])?))?\s*\.\s*(?:#[^\n]*)?$'
+LINE = rf'^\s*(?:<([^>\n]*)>|_:({_LABEL}))\s*<([^>\n]*)>\s*(?:<([^>\n]*)>|_:({_LABEL})|(")((?:[^"\\\n\r]++|\\[^\n\r])*+)"(?:\^\^<([^>\n]*)>|@([A-Za-z0-9-]+))?)\s*(?:(<)([^>\n]*)>|_:({_LABEL}))?\s*\.\s*(?:#[^\n]*)?$'
+# Fixed value: characters that stand in an IRI as escapes only.
+_NOT_IN_IRI = r'[\x00-\x20<>"{}|^`\\]'
 _GROUPS = 12
 
 _ESCAPES = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
@@ -53,7 +58,7 @@ def parse(lines: DataFrame, scope: str = "") -> tuple[DataFrame, DataFrame]:
         _unescape(g[3]).alias("p"),
         F.when(some(5), label(5)).otherwise(_unescape(F.when(literal, g[7]).otherwise(g[4]))).alias("o"),
         F.when(literal, LITERAL).when(some(5), BLANK).otherwise(NAMED).alias("o_type"),
-        F.when(literal, F.when(some(9), LANG_STRING).when(some(8), g[8]).otherwise(XSD_STRING)).alias("o_datatype"),
+        F.when(literal, F.when(some(9), LANG_STRING).when(some(8), _unescape(g[8])).otherwise(XSD_STRING)).alias("o_datatype"),
         F.when(literal & some(9), g[9]).alias("o_lang"),
         F.when(some(12), label(12)).otherwise(_unescape(g[11])).alias("g"),
         F.when(some(12), BLANK).when(some(10), NAMED).otherwise(DEFAULT).alias("g_type"),
@@ -71,13 +76,20 @@ def _escaped(value: Column) -> Column:
     return value
 
 
+def _iri(value: Column) -> Column:
+    """What an IRI may not hold, as \\u escapes; hardly any has such characters."""
+    one = lambda c: F.when(F.rlike(c, F.lit(_NOT_IN_IRI)), F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(c)), 4, "0"))).otherwise(c)
+    return F.when(F.rlike(value, F.lit(_NOT_IN_IRI)), F.array_join(F.transform(F.split(value, ""), one), "")).otherwise(value)
+
+
 def render(quads: DataFrame) -> DataFrame:
     """``line`` per quad; the datatype of plain and tagged literals is left out."""
-    term = lambda c: F.when(F.col(f"{c}_type") == BLANK, F.concat(F.lit("_:"), c)).otherwise(F.concat(F.lit("<"), c, F.lit(">")))
-    tail = F.when(F.coalesce("o_lang", F.lit("")) != "", F.concat(F.lit("@"), "o_lang")).when(F.coalesce(F.nullif("o_datatype", F.lit("")), F.lit(XSD_STRING)) != XSD_STRING, F.concat(F.lit("^^<"), "o_datatype", F.lit(">"))).otherwise("")
+    node = lambda c: F.concat(F.lit("<"), _iri(F.col(c)), F.lit(">"))
+    term = lambda c: F.when(F.col(f"{c}_type") == BLANK, F.concat(F.lit("_:"), c)).otherwise(node(c))
+    tail = F.when(F.coalesce("o_lang", F.lit("")) != "", F.concat(F.lit("@"), "o_lang")).when(F.coalesce(F.nullif("o_datatype", F.lit("")), F.lit(XSD_STRING)) != XSD_STRING, F.concat(F.lit("^^"), node("o_datatype"))).otherwise("")
     value = F.when(F.col("o_type") == LITERAL, F.concat(F.lit('"'), _escaped(F.col("o")), F.lit('"'), tail)).otherwise(term("o"))
     graph = F.when(F.col("g_type") == DEFAULT, "").otherwise(F.concat(F.lit(" "), term("g")))
-    return quads.select(F.concat(term("s"), F.lit(" <"), "p", F.lit("> "), value, graph, F.lit(" .")).alias("line"))
+    return quads.select(F.concat(term("s"), F.lit(" "), node("p"), F.lit(" "), value, graph, F.lit(" .")).alias("line"))
 
 
 def write(quads: DataFrame, path: str) -> None:

@@ -65,9 +65,9 @@ class Store:
     touched no id of this one, and is told of a Conflict otherwise; a failure before that leaves no trace but files.
     """
 
-    def __init__(self, spark: SparkSession, path: str, bucket_rows: int = BUCKET_ROWS, large_rows: int = LARGE_ROWS, fanout: int = FANOUT, at: dict | None = None):
+    def __init__(self, spark: SparkSession, path: str, bucket_rows: int = BUCKET_ROWS, large_rows: int = LARGE_ROWS, fanout: int = FANOUT, smallest: int = SMALLEST, at: dict | None = None):
         self.spark, self.path = spark, path
-        self.bucket_rows, self.large_rows, self.fanout = bucket_rows, large_rows, fanout
+        self.bucket_rows, self.large_rows, self.fanout, self.smallest = bucket_rows, large_rows, fanout, smallest
         self.log, self._at, self._busy = Log(spark, f"{path}/log"), at, None
 
     # Versions
@@ -84,7 +84,7 @@ class Store:
         entry = self.log.read(version)
         if entry is None:
             raise ValueError(f"there is no version {version}")
-        return Store(self.spark, self.path, self.bucket_rows, self.large_rows, self.fanout, entry)
+        return Store(self.spark, self.path, self.bucket_rows, self.large_rows, self.fanout, self.smallest, entry)
 
     def size(self) -> int:
         """Number of stored quads, from the log alone."""
@@ -438,17 +438,20 @@ class Store:
     def _tier(self, run: dict) -> int:
         """Runs of a tier have up to FANOUT times the rows of those of the tier before."""
         rows = sum(run[k] for k in ("quads", "removed", "chunks", "voided"))
-        return max(0, math.floor(math.log(max(1, rows) / SMALLEST, self.fanout)) + 1)
+        tier, least = 0, self.smallest
+        while rows >= least:
+            tier, least = tier + 1, least * self.fanout
+        return tier
 
     def _due(self, entry: dict) -> list[dict]:
-        """The last runs, if there are FANOUT of like size or less among them."""
+        """The last runs, if FANOUT of them are of like size and the others smaller."""
         for tier in sorted({self._tier(r) for r in entry["runs"]}):
             last: list[dict] = []
             for run in reversed(entry["runs"]):
                 if self._tier(run) > tier:
                     break
                 last.insert(0, run)
-            if len(last) >= self.fanout:
+            if sum(self._tier(r) == tier for r in last) >= self.fanout:
                 return last
         return []
 

@@ -166,6 +166,18 @@ def test_statements_of_any_length_are_read_alike(spark):
     assert sorted(len(r.o) for r in good.collect()) == [0, 4, 4, 3004, 30_000] and n(bad) == 2
 
 
+def test_labels_of_the_grammar_and_odd_iris_come_back(spark):
+    rows = ["_:é <urn:p> \"x\" .", "_:b1:c <urn:p> _:0.a-b .", "<a> <p> _:\u203fx .", "<a> <p> _:x. .", "_:-x <p> <o> .", "<a> <p> \"1\"^^<urn:\\u0041> _:g\u00b7 ."]
+    good, bad = nquads.parse(spark.createDataFrame([(r,) for r in rows], "value string"), scope="")
+    assert sorted((r.s, r.o, r.o_datatype, r.g) for r in good.collect()) == sorted([("é", "x", terms.XSD_STRING, ""), ("b1:c", "0.a-b", None, ""), ("a", "1", "urn:A", "g\u00b7")])
+    assert sorted(r.value for r in bad.collect()) == sorted([rows[2], rows[3], rows[4]])
+    odd = make(spark, ("urn:a>b", "urn:p q", "urn:{x}|\\^`"), ("urn:line\nfeed", "urn:p", literal("v", datatype="urn:d>\t")), (blank("b.1"), 'urn:"q"', blank("ü"), "urn:g<é>"))
+    lines = nquads.render(odd).withColumnRenamed("line", "value")
+    back, rest = nquads.parse(lines)
+    assert n(rest) == 0 and sorted(map(str, back.collect())) == sorted(map(str, odd.collect()))
+    assert all("\n" not in r.value for r in lines.collect())
+
+
 def test_corrupt_rows_are_left_out(spark):
     rows = [("a", NAMED, "p", "x", LITERAL, None, None, "", "DefaultGraph"), (None, NAMED, "p", "x", LITERAL, None, None, "", "DefaultGraph"), ("a", "Odd", "p", "x", LITERAL, None, None, "", "DefaultGraph"), ("a", LITERAL, "p", "x", NAMED, None, None, "", "DefaultGraph"), ("a", NAMED, None, "x", LITERAL, None, None, "", "DefaultGraph")]
     raw = spark.createDataFrame(rows, RAW)
