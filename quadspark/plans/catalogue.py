@@ -233,6 +233,15 @@ def bgp_3(spark, d):
     return bgp(quads(spark, d, "customer", "nation"), [(Var("customer"), node("urn:nation"), Var("nation"), None), (Var("nation"), node("urn:region"), Var("region"), None), (Var("nation"), node("urn:name"), Var("name"), None)])
 
 
+@_query(_with("select a.s as customer, a.o as name, b.o as segment, c.o as nation, d.o as nation_name from quads a join quads b on a.s = b.s join quads c on a.s = c.s join quads d on d.s = c.o where a.p = 'urn:name' and b.p = 'urn:segment' and c.p = 'urn:nation' and d.p = 'urn:name'", "customer", "nation"))
+def bgp_star(spark, d):
+    """Three patterns on one subject, and a fourth on its nation, joined by the counts in a store's log."""
+    store = Store(spark, new_folder(spark, "store"))
+    store.publish(quads(spark, d, "customer", "nation"))
+    own, nation = Var("customer"), Var("nation")
+    return store.bgp([(own, node("urn:name"), Var("name"), None), (own, node("urn:segment"), Var("segment"), None), (own, node("urn:nation"), nation, None), (nation, node("urn:name"), Var("nation_name"), None)])
+
+
 # Chunks and search. A literal is one chunk where SQL has to follow; chunks_long and search_chunked cut texts.
 
 _WHOLE_CHUNKS = "select quad_id || '#000000' as chunk_id, quad_id, s as subject, p as predicate, g as graph, trim(o, ' ') as value from quads where o_type = 'Literal' and trim(o, ' ') <> ''"

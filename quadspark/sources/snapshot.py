@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from quadspark.functions.terms import COLUMNS, DEFAULT, NAMED, QUADS, Term, valid
 from quadspark.functions.text import index_terms
+from quadspark.operators.bgp import Slot, bgp
 from quadspark.operators.chunks import project
 from quadspark.operators.match import MOST_INLINE, Pattern, QuadFilter, match
 from quadspark.operators.patch import net_effect
@@ -162,6 +163,21 @@ class Store:
             return sum(n for p, g, g_type, n in entry["counts"] if (pattern.p is None or p == pattern.p.value) and graph in (None, (g, g_type)))
         return self.match(pattern).count()
 
+    def estimate(self, pattern: Pattern) -> float:
+        """About how many quads match, from the log alone: those of predicate and graph, spread over the slot's values."""
+        entry = self._entry()
+        n = self.count(Pattern(p=pattern.p, g=pattern.g)) if entry["counts"] is not None else entry["quads"]
+        for slot in ("s", "o"):
+            if getattr(pattern, slot) is not None:
+                n /= max([1, *(run["distinct"].get(slot, 1) for run in entry["runs"])])
+        return n
+
+    def bgp(self, patterns: list[tuple[Slot, Slot, Slot, Slot]]) -> DataFrame:
+        """Bindings of patterns, smallest first by the counts in the log, each read in its best order."""
+        by_predicate = all(isinstance(p[1], Term) for p in patterns)
+        quads = self._read(self._entry()["runs"], "p" if by_predicate else "").drop("_seq")
+        return bgp(quads, patterns, self.estimate, self.match)
+
     def _index(self, runs: list[dict], kind: str, schema: T.StructType | str, only: Column | None = None) -> DataFrame:
         parts = [self._table(f"{r['folder']}/{kind}", schema).withColumn("_seq", F.lit(r["seq"])) for r in runs if r["chunks"]]
         rows = reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schema).withColumn("_seq", F.lit(0))
