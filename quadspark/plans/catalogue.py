@@ -537,3 +537,9 @@ def store_tiers(spark, d):
 def store_as_of(spark, d):
     """A subject as it was before a commit."""
     return _changed(spark, d).at(1).match(Pattern(s=node("urn:order:7")))
+
+
+@_query(_patched(f"select {_LIST} from (select * from quads where quad_id not in (select quad_id from del) union select * from ins) where quad_id > '8' order by quad_id limit 25"))
+def store_page(spark, d):
+    """A page of quads by id, from the buckets that follow the last one."""
+    return _changed(spark, d).page("8", 25.7)

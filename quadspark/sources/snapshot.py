@@ -252,6 +252,25 @@ class Store:
             return self.spark.createDataFrame([], QUADS)
         return self._live(reduce(DataFrame.unionByName, parts), runs, ("removed",), ids).select(*COLUMNS)
 
+    def page(self, after: str | None, limit: float) -> DataFrame:
+        """The next quads by id, at least one, from the buckets that follow ``after``; more of these if they hold too few."""
+        entry, limit = self._entry(), max(1, math.floor(limit))
+        runs, total = entry["runs"], 16**MOST_DIGITS
+        head = (after or "")[:MOST_DIGITS].ljust(MOST_DIGITS, "0")
+        first = int(head, 16) if all(c in "0123456789abcdef" for c in head) else 0
+        several = math.ceil(1.5 * limit * total / max(1, entry["quads"]))
+        while True:
+            heads = [f"{h:0{MOST_DIGITS}x}" for h in range(first, min(total, first + several))]
+            parts = [self._bucketed(r, "quads", QUADS, heads).withColumn("_seq", F.lit(r["seq"])) for r in runs if r["quads"]]
+            if not parts:
+                return self.spark.createDataFrame([], QUADS)
+            rows = reduce(DataFrame.unionByName, parts).where(F.substring("quad_id", 1, MOST_DIGITS) <= heads[-1])
+            rows = rows if after is None else rows.where(F.col("quad_id") > after)
+            found = self._live(rows, runs, ("removed",)).select(*COLUMNS).orderBy("quad_id").limit(limit)
+            if first + several >= total or found.count() >= limit:
+                return found
+            several *= 4
+
     # Writing
 
     def _new(self) -> str:

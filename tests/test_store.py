@@ -47,6 +47,21 @@ def test_a_commit_opens_only_the_buckets_of_its_ids(spark, tmp_path):
     assert sorted((r.op, r.s) for r in back) == [("add", "new"), ("delete", "s7"), ("delete", "s8")]
 
 
+def test_pages_open_the_buckets_that_follow(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}", bucket_rows=8)
+    q = many(spark, 600)
+    store.commit(logged(q, "add"), "disabled")
+    store.commit(logged(q.where("s in ('s1', 's2')"), "delete").union(logged(make(spark, ("new", "p", "o")), "add")), "disabled")
+    want = sorted(r.quad_id for r in store.quads().collect())
+    seen, after = [], None
+    while rows := store.page(after, 199).collect():
+        seen += [r.quad_id for r in rows]
+        after = seen[-1]
+    assert seen == want and len(store.page(None, 0).collect()) == 1 and store.page("zz", 5).count() == 0
+    spoil(tmp_path / "data" / store._entry()["runs"][0]["folder"].rsplit("/", 1)[-1] / "quads", {f"b=i{i:02x}" for i in range(0x80, 0x90)})
+    assert [r.quad_id for r in store.page("80", 5).collect()] == [i for i in want if i > "80"][:5]
+
+
 def test_a_filter_answers_for_ids_that_were_never_there(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}", bucket_rows=8, large_rows=100)
     q = many(spark, 1000)
