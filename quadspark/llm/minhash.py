@@ -22,6 +22,10 @@ SHINGLE_WORDS, SIMILARITY = 5, 75
 PERMUTATIONS, BANDS, ROWS = 128, 128, 8
 #: Rounds that compare the members of a bucket with one of them; then members of one block of a larger bucket.
 LEADER_ROUNDS, BLOCK = 2, 1024
+#: Shingles of the members of one block, so a cell is bounded in bytes as well: two blocks are 32 MB of hashes.
+BLOCK_SHINGLES = 2_000_000
+#: Partners of one leader that are one share of work; numbers that a large leader's pairs are dealt by before.
+PARTNERS, DEALS = 4096, 64
 
 _STEP = 2048
 
@@ -108,25 +112,44 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last, own = None, np.empty(0, np.uint64)
+    """Compare partners with the leader whose row stands before theirs; one batch and one set are held at a time."""
+    at, own = None, np.empty(0, np.uint64)
     for batch in batches:
-        yes = []
-        for text, other_text in zip(batch.column(2), batch.column(3), strict=True):
-            if (text := text.as_py()) != last:
-                last, own = text, shingles(text)
-            other = shingles(other_text.as_py())
-            both = len(np.intersect1d(own, other, assume_unique=True))
-            yes.append(100 * both >= SIMILARITY * (len(own) + len(other) - both))
-        keep = pa.array(yes, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+        a, b = [], []
+        for lead, variant, share, partner, text in zip(*(column.to_pylist() for column in batch.columns[:4]), batch.column(4), strict=True):
+            found = shingles(text.as_py())
+            if partner is None:
+                at, own = (lead, variant, share), found
+                continue
+            if at != (lead, variant, share):
+                raise ValueError(f"no text of document {lead}")
+            both = len(np.intersect1d(own, found, assume_unique=True))
+            if 100 * both >= SIMILARITY * (len(own) + len(found) - both):
+                a.append(lead)
+                b.append(partner)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full shingle sets reach the similarity; ``texts`` has doc_id and text."""
-    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(second, "b").join(first, "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed, "a long, b long")
+    """Those of ``pairs`` (a, b) whose full shingle sets reach the similarity; ``texts`` has doc_id, variant and text.
+
+    A text stands once before all its partners, which are read in order and never held together. Leaders of more than
+    PARTNERS pairs are dealt over shares of so many, so none is one task. An id of several texts, told apart by
+    ``variant``, is compared by each of them.
+    """
+    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("shares"))
+    several = texts.groupBy("doc_id").agg(F.min("variant").alias("low"), F.max("variant").alias("high")).where("low != high").select(F.col("doc_id").alias("a"))
+    variants = texts.select(F.col("doc_id").alias("a"), "variant").join(several, "a", "left_semi").distinct()
+    special = counts.where("shares > 1").join(variants, "a", "full").select("a", F.coalesce("shares", F.lit(1)).alias("shares"), "variant")
+    special = special.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    deal = F.pmod(F.xxhash64("b"), F.lit(DEALS)).cast("int").alias("deal")
+    share = F.pmod(F.xxhash64("b", F.lit(1)), F.coalesce("shares", F.lit(1))).cast("int").alias("share")
+    dealt = pairs.select("a", "b", deal).join(special, ["a", "deal"], "left").select("a", "variant", share, "b")
+    partners = dealt.join(texts.select(F.col("doc_id").alias("b"), "text"), "b").select("a", "variant", "share", "b", "text")
+    leaders = texts.withColumnRenamed("doc_id", "a").join(counts, "a").join(several.withColumn("several", F.lit(True)), "a", "left")
+    leaders = leaders.select("a", F.when(F.col("several"), F.col("variant")).alias("variant"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(None).cast("long").alias("b"), "text")
+    rows = leaders.unionByName(partners).repartition("a", "variant", "share")
+    return rows.sortWithinPartitions("a", "variant", "share", F.asc_nulls_first("b")).mapInArrow(_confirmed, "a long, b long")
 
 
 def _close(a: str, b: str) -> str:
@@ -155,15 +178,13 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _celled(table: pa.Table) -> pa.Table:
-    """Compare members of one bucket, or of two blocks of it, that are in different components; emit star edges.
+def _todo(table: pa.Table) -> np.ndarray:
+    """Which members of a cell, a bucket or two blocks of it, are to be compared: different components, likely sizes.
 
     A pair that shares several buckets is compared in the one of smallest key alone.
     """
     key, low, high = (table.column(c)[0].as_py() for c in ("key", "low", "high"))
-    table = table.sort_by("rep")
-    rep, part, block = (table.column(c).to_numpy() for c in ("rep", "component", "block"))
-    n = table.column("n").to_numpy()
+    part, block, n = (table.column(c).to_numpy() for c in ("component", "block", "n"))
     todo = part[:, None] != part[None, :]
     todo &= 100 * np.minimum.outer(n, n) >= SIMILARITY * np.maximum.outer(n, n)
     if low != high:
@@ -171,10 +192,22 @@ def _celled(table: pa.Table) -> pa.Table:
     earlier = [np.array([k for k in own if k < key], np.int64) for own in table.column("keys").to_pylist()]
     known = np.unique(np.concatenate(earlier))
     if len(known) and todo.any():
-        member = np.zeros((len(rep), len(known)), np.float32)
+        member = np.zeros((len(part), len(known)), np.float32)
         for i, own in enumerate(earlier):
             member[i, np.searchsorted(known, own)] = 1
         todo &= member @ member.T == 0
+    return todo
+
+
+def _needed(table: pa.Table) -> pa.Table:
+    """The members of a cell that have anything to be compared with there."""
+    return table.filter(pa.array(_todo(table).any(axis=1)))
+
+
+def _celled(table: pa.Table) -> pa.Table:
+    """Compare the members of a cell; emit star edges."""
+    table = table.sort_by("rep")
+    todo, rep, n = _todo(table), table.column("rep").to_numpy(), table.column("n").to_numpy()
     used = np.flatnonzero(todo.any(axis=1))
     if not len(used):
         return _LINK.empty_table()
@@ -197,21 +230,24 @@ def confirm_cells(left: DataFrame, texts: DataFrame) -> DataFrame:
 
     A bucket of one block is one cell. In a larger one the largest component is not compared with itself: its members
     go to blocks of their own, which meet the blocks of the others only, so a stray member beside a large group costs
-    as much as the group is long.
+    as much as the group is long. Cells are first formed of ids and sizes; a text goes only to those where it has
+    something to be compared with, so not to each bucket that it shares with the same others.
     """
-    parts = left.groupBy("key", "component").agg(F.count("*").alias("m"))
-    sizes = parts.groupBy("key").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("all"))
-    blocks = lambda count: F.ceil(count / BLOCK).cast("int")
-    apart = F.when(F.col("all") > BLOCK, F.col("top.m")).otherwise(0)
-    sizes = sizes.select("key", F.when(apart > 0, F.col("top.component")).alias("top"), blocks(apart).alias("inner"), blocks(F.col("all") - apart).alias("outer"))
+    parts = left.groupBy("key", "component").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
+    sizes = parts.groupBy("key").agg(F.max(F.struct("m", "component", "shingles")).alias("top"), F.sum("m").alias("all"), F.sum("shingles").alias("shingles"))
+    blocks = lambda count, shingles: F.greatest(F.ceil(count / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+    split = (F.col("all") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)
+    apart, long = F.when(split, F.col("top.m")).otherwise(0), F.when(split, F.col("top.shingles")).otherwise(0)
+    outer = F.when(F.col("all") > apart, blocks(F.col("all") - apart, F.col("shingles") - long)).otherwise(0)
+    sizes = sizes.select("key", F.when(split, F.col("top.component")).alias("top"), blocks(apart, long).alias("inner"), outer.alias("outer"))
     keys = left.groupBy("rep").agg(F.collect_list("key").alias("keys"))  # one key per band at most
     own, deal = F.coalesce(F.col("component") == F.col("top"), F.lit(False)), F.xxhash64("rep")
     cells = left.join(sizes, "key").withColumn("block", F.when(own, F.col("outer") + F.pmod(deal, "inner")).otherwise(F.pmod(deal, "outer")).cast("int"))
     meets = F.col("outer") + F.when(own, 0).otherwise(F.col("inner"))
     cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), meets - 1))).drop("top", "inner", "outer")
-    own = keys.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
-    cells = cells.join(own, "rep").select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "n", "component", "keys", "text")
-    return cells.groupBy("key", "low", "high").applyInArrow(_celled, "a long, b long")
+    cells = cells.join(keys, "rep").select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "n", "component", "keys")
+    used = cells.groupBy("key", "low", "high").applyInArrow(_needed, cells.schema)
+    return used.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep").groupBy("key", "low", "high").applyInArrow(_celled, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
-    texts = scratch.write(own.join(wanted, "doc_id", "left_semi"), "texts")
+    texts = scratch.write(own.join(wanted, "doc_id", "left_semi").select("doc_id", F.xxhash64("text").alias("variant"), "text"), "texts")
 
     size = buckets.select(F.col("rep").alias("lead"), F.col("n").alias("lead_n")).distinct()
     pairs = buckets.where("rep != lead").select(F.col("lead"), "rep", "n").distinct().join(size, "lead").where(_close("n", "lead_n"))

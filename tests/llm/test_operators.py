@@ -83,9 +83,25 @@ def test_near_duplicates_against_all_pairs(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block", [4, 16, 1024])
-def test_members_of_buckets_are_compared_but_for_those_of_the_largest_component(spark, monkeypatch, block):
+@pytest.mark.parametrize("partners", [2, 4096])
+def test_pairs_are_confirmed_over_shares_of_a_leader_and_by_each_text_of_an_id(spark, monkeypatch, partners):
+    monkeypatch.setattr(minhash, "PARTNERS", partners)
+    rng, base = random.Random(6), [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join(w if rng.random() > 0.01 * i else f"v{rng.randrange(99)}" for w in base)) for i in range(12)]
+    rows += [(0, "another text under the id of the first one"), (3, "another text under the id of the first one"), (5, rows[5][1])]
+    pairs = [(0, i) for i in range(1, 12)] + [(1, 2), (7, 9)]
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    alike = {(a, b) for a, b in pairs for i, x in sets for j, y in sets if (i, j) == (a, b) and 4 * len(x & y) >= 3 * len(x | y)}
+    texts = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) AS variant", "text")
+    found = minhash.confirm(spark.createDataFrame(pairs, "a long, b long"), texts)
+    assert {(r.a, r.b) for r in found.collect()} == alike and 2 < len(alike) < len(pairs)
+    assert minhash.confirm(spark.createDataFrame([], "a long, b long"), texts).count() == 0
+
+
+@pytest.mark.parametrize("block, shingles", [(4, 2_000_000), (16, 2_000_000), (1024, 2_000_000), (1024, 300)])
+def test_members_of_buckets_are_compared_but_for_those_of_the_largest_component(spark, monkeypatch, block, shingles):
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
     rng, texts, left = random.Random(4), {}, []
     for g in range(9):
         base = [f"w{rng.randrange(500)}" for _ in range(60)]
