@@ -242,10 +242,10 @@ def confirm_cells(left: DataFrame, texts: DataFrame) -> DataFrame:
     sizes = sizes.select("key", F.when(split, F.col("top.component")).alias("top"), blocks(apart, long).alias("inner"), outer.alias("outer"))
     keys = left.groupBy("rep").agg(F.collect_list("key").alias("keys"))  # one key per band at most
     own, deal = F.coalesce(F.col("component") == F.col("top"), F.lit(False)), F.xxhash64("rep")
-    cells = left.join(sizes, "key").withColumn("block", F.when(own, F.col("outer") + F.pmod(deal, "inner")).otherwise(F.pmod(deal, "outer")).cast("int"))
+    cells = left.join(keys, "rep").join(sizes, "key").withColumn("block", F.when(own, F.col("outer") + F.pmod(deal, "inner")).otherwise(F.pmod(deal, "outer")).cast("int"))
     meets = F.col("outer") + F.when(own, 0).otherwise(F.col("inner"))
     cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), meets - 1))).drop("top", "inner", "outer")
-    cells = cells.join(keys, "rep").select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "n", "component", "keys")
+    cells = cells.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "n", "component", "keys")
     used = cells.groupBy("key", "low", "high").applyInArrow(_needed, cells.schema)
     return used.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep").groupBy("key", "low", "high").applyInArrow(_celled, "a long, b long")
 
