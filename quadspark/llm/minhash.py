@@ -181,21 +181,19 @@ _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 def _todo(table: pa.Table) -> np.ndarray:
     """Which members of a cell, a bucket or two blocks of it, are to be compared: different components, likely sizes.
 
-    A pair that shares several buckets is compared in the one of smallest key alone.
+    A pair that shares several buckets is compared in the first of them alone, the largest; ``earlier`` are those
+    that stand before this one.
     """
-    key, low, high = (table.column(c)[0].as_py() for c in ("key", "low", "high"))
+    low, high = (table.column(c)[0].as_py() for c in ("low", "high"))
     part, block, n = (table.column(c).to_numpy() for c in ("component", "block", "n"))
     todo = part[:, None] != part[None, :]
     todo &= 100 * np.minimum.outer(n, n) >= SIMILARITY * np.maximum.outer(n, n)
     if low != high:
         todo &= block[:, None] != block[None, :]
-    earlier = [np.array([k for k in own if k < key], np.int64) for own in table.column("keys").to_pylist()]
-    known = np.unique(np.concatenate(earlier))
-    if len(known) and todo.any():
-        member = np.zeros((len(part), len(known)), np.float32)
-        for i, own in enumerate(earlier):
-            member[i, np.searchsorted(known, own)] = 1
-        todo &= member @ member.T == 0
+    used = np.flatnonzero(todo.any(axis=1))
+    if len(used):
+        earlier = table.column("earlier").take(pa.array(used))
+        todo[np.ix_(used, used)] &= _overlaps([own.values.to_numpy() for own in earlier]) == 0
     return todo
 
 
@@ -207,12 +205,13 @@ def _needed(table: pa.Table) -> pa.Table:
 def _celled(table: pa.Table) -> pa.Table:
     """Compare the members of a cell; emit star edges."""
     table = table.sort_by("rep")
-    todo, rep, n = _todo(table), table.column("rep").to_numpy(), table.column("n").to_numpy()
+    todo, rep = _todo(table), table.column("rep").to_numpy()
     used = np.flatnonzero(todo.any(axis=1))
     if not len(used):
         return _LINK.empty_table()
-    todo, rep, n = todo[np.ix_(used, used)], rep[used], n[used]
-    both = _overlaps([shingles(t) for t in table.column("text").take(pa.array(used)).to_pylist()])
+    todo, rep = todo[np.ix_(used, used)], rep[used]
+    sets = [shingles(t) for t in table.column("text").take(pa.array(used)).to_pylist()]
+    both, n = _overlaps(sets), np.array([len(s) for s in sets])
     close = todo & (100 * both >= SIMILARITY * (n[:, None] + n[None, :] - both))
     top = np.arange(len(rep))
     while True:
@@ -231,7 +230,9 @@ def confirm_cells(left: DataFrame, texts: DataFrame) -> DataFrame:
     A bucket of one block is one cell. In a larger one the largest component is not compared with itself: its members
     go to blocks of their own, which meet the blocks of the others only, so a stray member beside a large group costs
     as much as the group is long. Cells are first formed of ids and sizes; a text goes only to those where it has
-    something to be compared with, so not to each bucket that it shares with the same others.
+    something to be compared with. Buckets stand in one order, the largest first, and a pair counts in the first that
+    it shares, so pairs of a large group gather in few buckets and a text goes to few of those that it is in. A
+    document's buckets, one per band at most, are gathered and dealt out again with those that stand before each.
     """
     parts = left.groupBy("key", "component").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
     sizes = parts.groupBy("key").agg(F.max(F.struct("m", "component", "shingles")).alias("top"), F.sum("m").alias("all"), F.sum("shingles").alias("shingles"))
@@ -239,13 +240,16 @@ def confirm_cells(left: DataFrame, texts: DataFrame) -> DataFrame:
     split = (F.col("all") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)
     apart, long = F.when(split, F.col("top.m")).otherwise(0), F.when(split, F.col("top.shingles")).otherwise(0)
     outer = F.when(F.col("all") > apart, blocks(F.col("all") - apart, F.col("shingles") - long)).otherwise(0)
-    sizes = sizes.select("key", F.when(split, F.col("top.component")).alias("top"), blocks(apart, long).alias("inner"), outer.alias("outer"))
-    keys = left.groupBy("rep").agg(F.collect_list("key").alias("keys"))  # one key per band at most
+    sizes = sizes.select("key", "all", F.when(split, F.col("top.component")).alias("top"), blocks(apart, long).alias("inner"), outer.alias("outer"))
     own, deal = F.coalesce(F.col("component") == F.col("top"), F.lit(False)), F.xxhash64("rep")
-    cells = left.join(keys, "rep").join(sizes, "key").withColumn("block", F.when(own, F.col("outer") + F.pmod(deal, "inner")).otherwise(F.pmod(deal, "outer")).cast("int"))
-    meets = F.col("outer") + F.when(own, 0).otherwise(F.col("inner"))
-    cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), meets - 1))).drop("top", "inner", "outer")
-    cells = cells.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "n", "component", "keys")
+    block = F.when(own, F.col("outer") + F.pmod(deal, "inner")).otherwise(F.pmod(deal, "outer")).cast("int").alias("block")
+    meets = (F.col("outer") + F.when(own, 0).otherwise(F.col("inner"))).alias("meets")
+    place = F.struct((-F.col("all")).alias("order"), "key", block, meets)
+    places = left.join(sizes, "key").groupBy("rep", "n", "component").agg(F.sort_array(F.collect_list(place)).alias("places"))
+    placed = places.select("rep", "n", "component", F.col("places.key").alias("keys"), F.posexplode("places").alias("at", "place"))
+    placed = placed.select("rep", "n", "component", "place.*", F.slice("keys", 1, F.col("at")).alias("earlier"))
+    cells = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)))
+    cells = cells.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "rep", "n", "component", "earlier")
     used = cells.groupBy("key", "low", "high").applyInArrow(_needed, cells.schema)
     return used.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep").groupBy("key", "low", "high").applyInArrow(_celled, "a long, b long")
 
