@@ -33,12 +33,15 @@ SMALLEST = 1000
 BROADCAST_REMOVED, COUNTED = 100_000, 2_000
 #: Hex digits of an id that a bucket or the choice of buckets goes by, at most; rows of a filter hold 32,768 bits.
 MOST_DIGITS, FILTER_BITS_A_ROW = 3, 16
+#: Chunks of a range of the index, at most on average; ranges are by length first, two to each doubling, then by id.
+RANGE_CHUNKS = 256
 #: Age in seconds from which folders that no version names count as left behind.
 ORPHAN_AGE = 86_400.0
 
 _CHUNKS = T.StructType([*[T.StructField(c, T.StringType()) for c in ("chunk_id", "quad_id")], T.StructField("pos", T.IntegerType()), *[T.StructField(c, T.StringType()) for c in ("subject", "predicate", "graph", "value", "fts_value")], T.StructField("vector", T.ArrayType(T.FloatType())), T.StructField("g_type", T.StringType())])
 _KEPT_CHUNKS = T.StructType([*_CHUNKS.fields, T.StructField("length", T.IntegerType())])
-_POSTINGS = "term string, chunk_id string, length int, tf long, predicate string, graph string, g_type string"
+_POSTINGS = "term string, chunk_id string, length int, tf long, predicate string, graph string, g_type string, block string"
+_BOUNDS = "term string, block string, n long, most long, least int"
 
 
 class Conflict(RuntimeError):
@@ -204,6 +207,29 @@ class Store:
             rows = rows.join(self.spark.createDataFrame([(t,) for t in set(terms)], "term string"), "term", "left_semi")
         return rows
 
+    def bounds(self, terms: list[str]) -> DataFrame | None:
+        """``term, seq, block, n, most, least``: postings, greatest frequency and least length by term and range of chunks.
+
+        None if there are runs without bounds, or if runs take chunks of others away, which bounds don't know of.
+        """
+        runs = [r for r in self._entry()["runs"] if r["chunks"]]
+        if not runs or not all(r.get("bounds") for r in runs) or any(r["removed"] or r["voided"] or r["notes"] for r in self._entry()["runs"]):
+            return None
+        return reduce(DataFrame.unionByName, [self._table(f"{r['folder']}/bounds", _BOUNDS).where(F.col("term").isin(*terms)).withColumn("seq", F.lit(r["seq"])) for r in runs])
+
+    def postings_in(self, terms: list[str], ranges: DataFrame) -> DataFrame:
+        """``term, chunk_id, length, tf`` of some terms in ranges (seq, block) of chunks; what lies outside the spans of these ranges by run and length is not read."""
+        found, parts = self._entry()["runs"], []
+        spans = ranges.groupBy("seq", F.substring("block", 1, 2).alias("class")).agg(F.min("block").alias("low"), F.max("block").alias("high")).collect()  # at most 64 a run
+        for run in found:
+            own = [F.col("block").between(x.low, x.high) for x in spans if x.seq == run["seq"]]
+            if own:
+                rows = self._table(f"{run['folder']}/postings", _POSTINGS).where(F.col("term").isin(*terms) & reduce(Column.__or__, own))
+                parts.append(rows.withColumn("seq", F.lit(run["seq"])))
+        if not parts:
+            return self.spark.createDataFrame([], "term string, chunk_id string, length int, tf long")
+        return reduce(DataFrame.unionByName, parts).join(ranges, ["seq", "block"], "left_semi").select("term", "chunk_id", "length", "tf")
+
     # Presence
 
     def _heads(self, ids: DataFrame) -> list[str]:
@@ -309,8 +335,13 @@ class Store:
         if n:
             words = kept.select("chunk_id", "length", "predicate", "graph", "g_type", F.explode(index_terms(F.col("fts_value"))).alias("term"))
             words = words.groupBy("term", "chunk_id", "length", "predicate", "graph", "g_type").agg(F.count("*").alias("tf"))
-            words.repartitionByRange("term", "chunk_id").sortWithinPartitions("term").write.parquet(f"{into}/postings")
-        return {"chunks": n, "tokens": tokens}
+            by_length = F.lpad(F.floor(2 * F.log2("length")).cast("string"), 2, "0")
+            words = words.withColumn("block", F.concat(by_length, F.substring("chunk_id", 1, max(0, math.ceil(math.log(n / RANGE_CHUNKS, 16))))))
+            words.repartitionByRange("term", "block", "chunk_id").sortWithinPartitions("term", "block").write.parquet(f"{into}/postings")
+            kept = self._table(f"{into}/postings", _POSTINGS)
+            bounds = kept.groupBy("term", "block").agg(F.count("*").alias("n"), F.max("tf").alias("most"), F.min("length").alias("least"))
+            bounds.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{into}/bounds")
+        return {"chunks": n, "tokens": tokens, "bounds": bool(n)}
 
     def _any(self, path: str) -> bool:
         """Whether a partitioned write left a folder of rows."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quadspark.functions.terms import Term, blank, literal, node
 from quadspark.operators import chunks, search
 from quadspark.operators.match import Pattern, QuadFilter
+from quadspark.sources import snapshot
 from quadspark.sources.snapshot import Store
 from tests.test_quads import behind, logged, make, n
 
@@ -229,3 +230,29 @@ def test_random_histories_equal_a_plain_model(spark, tmp_path, seed):
     a, b = sorted(rng.sample(sorted(states), 2))
     got = {(r.op, r.quad_id) for r in store.changes(a, b).collect()}
     assert got == {("add", i) for i in states[b] - states[a]} | {("delete", i) for i in states[a] - states[b]}
+
+
+def test_search_reads_the_ranges_that_can_hold_a_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshot, "RANGE_CHUNKS", 4)
+    monkeypatch.setattr(search, "AHEAD", 1)
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices(["hand", "eye", "door", "sea", f"w{i}"], [9, 5, 2, 1, 3], k=rng.choice([2, 3, 5, 9, 40, 90]))) for i in range(600)]
+    rows = lambda part: make(spark, *[(f"s{i}", "text", literal(t), "g") for i, t in part])
+    store = Store(spark, f"file://{tmp_path}")
+    store.commit(logged(rows(list(enumerate(texts))[:400]), "add"), whole=True)
+    store.commit(logged(rows(list(enumerate(texts))[400:]), "add"), whole=True)
+    asked = spark.createDataFrame(list(enumerate(["hand", "hand eye", "sea door hand", "w5", "nowhere", "", "eye eye", "hand w7"])), "query_id long, query string")
+    read = []
+    plain = Store.postings_in
+    monkeypatch.setattr(Store, "postings_in", lambda self, *a: read.append((found := plain(self, *a)).count()) or found)
+    got = lambda k: sorted(map(str, search.search_stored(store, asked, top_k=k).collect()))
+    want = lambda k: sorted(map(str, search.search_batch(store.chunks(), asked, top_k=k).collect()))
+    assert got(20) == want(20)
+    for query, share in (("hand eye", 2), ("sea", 10)):
+        read.clear()
+        assert len(search.search_stored(store, search.one_query(spark, query), top_k=3).collect()) == 3
+        assert 0 < sum(read) < store.postings(query.split()).count() / share
+    store.commit(logged(rows([(i, t) for i, t in enumerate(texts) if i % 3 == 0]), "delete"))
+    assert store.bounds(["hand"]) is None
+    store.compact()
+    assert store.bounds(["hand"]) is not None and got(3) == want(3)
