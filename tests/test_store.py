@@ -256,3 +256,22 @@ def test_search_reads_the_ranges_that_can_hold_a_result(spark, tmp_path, monkeyp
     assert store.bounds(["hand"]) is None
     store.compact()
     assert store.bounds(["hand"]) is not None and got(3) == want(3)
+
+
+def test_layouts_deal_one_graph_over_several_files(spark, tmp_path, monkeypatch):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = Store(spark, f"file://{tmp_path}")
+        store.publish(make(spark, *[(f"s{i}", "p", literal("same"), "g") for i in range(400)]))
+        for slot in snapshot.LAYOUTS:
+            rows = spark.read.parquet(f"{store._entry()['runs'][0]['folder']}/quads-{slot}")
+            assert rows.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < 200, slot
+        monkeypatch.setattr(snapshot, "TASK_ROWS", 20)
+        monkeypatch.setattr(snapshot, "BROADCAST_REMOVED", 0)
+        store.publish(store.quads())
+        rows = spark.read.parquet(f"{store._entry()['runs'][0]['folder']}/quads-g")
+        assert rows.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < 60
+        store.commit(logged(store.quads().where("s < 's3'"), "delete"))
+        assert store.quads().rdd.getNumPartitions() == 20 and n(store.quads()) == store.size() < 400
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
