@@ -275,3 +275,33 @@ def test_layouts_deal_one_graph_over_several_files(spark, tmp_path, monkeypatch)
         assert store.quads().rdd.getNumPartitions() == 20 and n(store.quads()) == store.size() < 400
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_long_objects_are_kept_once_and_found_by_every_slot(spark, tmp_path):
+    texts = [f"{'long text ' * 400}{i}" for i in range(30)]
+    q = make(spark, *[(f"s{i}", "text", literal(t), f"g{i % 3}") for i, t in enumerate(texts)], *[(f"s{i}", "short", literal(f"x{i % 4}"), "g0") for i in range(30)])
+    store = Store(spark, f"file://{tmp_path}")
+    store.commit(logged(q, "add"), whole=True)
+    store.commit(logged(q.where("s = 's4'"), "delete"), whole=True)
+    state = q.where("s <> 's4'")
+    for pattern in (Pattern(s=node("s7")), Pattern(s=node("s4")), Pattern(p=node("text")), Pattern(o=literal(texts[9])), Pattern(o=literal(texts[4])), Pattern(o=literal(texts[9] + "0")), Pattern(o=literal(texts[9][:256])), Pattern(o=literal("x1")), Pattern(g=node("g0")), Pattern(node("s3"), node("text"))):
+        want = sorted(map(str, state.where(pattern.column()).collect()))
+        assert sorted(map(str, store.match(pattern).collect())) == want, pattern
+    folder = store._entry()["runs"][0]["folder"]
+    longest = lambda kind, c: spark.read.parquet(f"{folder}/{kind}").agg(F.coalesce(F.max(F.length(c)), F.lit(0))).first()[0]
+    assert longest("quads", "o") > 4000 and longest("chunks", "fts_value") == 0
+    assert all(longest(f"quads-{slot}", "o") == 256 for slot in snapshot.LAYOUTS)
+    assert {r.fts_value for r in store.chunks().collect()} == {t for i, t in enumerate(texts) if i != 4} | {"x0", "x1", "x2", "x3"}
+    assert store.postings(["long"]).agg(F.sum("tf")).first()[0] == 29 * 400
+
+
+def test_queries_of_many_terms_leave_the_index_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "MOST_INLINE", 3)
+    store = Store(spark, f"file://{tmp_path}")
+    store.commit(logged(many(spark, 300), "add"), whole=True)
+    store.commit(logged(many(spark, 40), "delete"), whole=True)
+    asked = spark.createDataFrame(list(enumerate(["word7 number", "number 299", "word3 word4", "number 5"])), "query_id long, query string")
+    want = sorted(map(str, search.search_batch(store.chunks(), asked, top_k=3).collect()))
+    for path in (tmp_path / "data").iterdir():
+        spoil(path / "postings")
+    assert len(want) == 4 and sorted(map(str, search.search_stored(store, asked, top_k=3).collect())) == want
