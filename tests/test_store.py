@@ -295,6 +295,66 @@ def test_long_objects_are_kept_once_and_found_by_every_slot(spark, tmp_path):
     assert store.postings(["long"]).agg(F.sum("tf")).first()[0] == 29 * 400
 
 
+def written(folder):
+    """Bytes of the data files below a folder."""
+    return sum(p.stat().st_size for p in folder.rglob("part-*.parquet"))
+
+
+def test_layouts_leave_out_ids_that_follow_from_the_row(spark, tmp_path):
+    q = many(spark, 5000).union(make(spark, ("long", "p", literal("x" * 300), "g0")))
+    odd = make(spark, ("odd", "p", "o")).withColumn("quad_id", F.lit("f" * 64))
+    store = Store(spark, f"file://{tmp_path}")
+    store.publish(q.union(odd))
+    folder = store._entry()["runs"][0]["folder"]
+    for slot in snapshot.LAYOUTS:
+        rows = spark.read.parquet(f"{folder}/quads-{slot}")
+        assert {r.s for r in rows.where("quad_id is not null").collect()} == {"long", "odd"} and n(rows) == 5002
+    by_id, layouts = written(tmp_path / "data" / folder.rsplit("/", 1)[-1] / "quads"), [written(p) for p in (tmp_path / "data").rglob("quads-*")]
+    assert len(layouts) == 4 and max(layouts) < by_id / 2  # as large as the quads by id before
+    for pattern in (Pattern(s=node("s7")), Pattern(s=node("odd")), Pattern(s=node("long")), Pattern(o=literal("x" * 300)), Pattern(g=node("g1"))):
+        want = sorted(map(str, q.union(odd).where(pattern.column()).collect()))
+        assert sorted(map(str, store.match(pattern).collect())) == want, pattern
+    store.commit(logged(odd.union(q.where("s in ('s7', 'long')")), "delete"))
+    assert n(store.match(Pattern(s=node("odd")))) == n(store.match(Pattern(s=node("s7")))) == n(store.match(Pattern(s=node("long")))) == 0
+    assert store.size() == n(store.quads()) == 4999
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_a_merge_of_a_few_changes_leaves_the_others_in_their_order(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(snapshot, "BROADCAST_REMOVED", broadcast)
+    store = Store(spark, f"file://{tmp_path}", bucket_rows=200, large_rows=100, fanout=2)
+    q = many(spark, 2000).union(make(spark, ("long", "p0", literal("y" * 300), "g0"))).cache()
+    store.publish(q)
+    shuffled, plain = [], Store._ranged
+    monkeypatch.setattr(Store, "_ranged", lambda self, rows, k, *order: (shuffled.append(rows.count()), plain(self, rows, k, *order))[1])
+    state, size = q, 2001
+    for i in range(2):
+        new, old = many(spark, 40, 3000 + 40 * i), many(spark, 30, 30 * i)
+        store.commit(logged(new, "add").union(logged(old, "delete")), "disabled")
+        state, size = state.join(old, "quad_id", "left_anti").select(*q.columns).unionByName(new), size + 10
+        shuffled.clear()
+        store.compact()
+        run = store._entry()["runs"]
+        # By id and in four layouts; before, the whole store each time. The second time it is put in order anew.
+        assert len(run) == 1 and len(shuffled) == 5 and (max(shuffled) < 500 if i < 1 else min(shuffled) == size), shuffled
+        assert run[0].get("parts", 1) == 2 - i and run[0]["quads"] == size == store.size()
+        want = {str(r) for r in state.collect()}
+        assert {str(r) for r in store.quads().collect()} == want and n(store.quads()) == size
+        for slot in snapshot.LAYOUTS:
+            assert sorted(r.quad_id for r in store._read(run, slot).collect()) == sorted(r.quad_id for r in state.collect()), slot
+        assert n(store.stored(q.unionByName(new))) == 2001 - 30 * (i + 1) + 40
+        assert n(store.match(Pattern(s=node("s5")))) == 0 and n(store.match(Pattern(s=node("s3005")))) == n(store.match(Pattern(o=literal("y" * 300)))) == 1
+    assert spark.conf.get("spark.sql.files.openCostInBytes") in ("4194304", "4194304b", "4MB")
+
+
+def test_few_ids_are_looked_for_by_a_bitmap(spark):
+    q = many(spark, 2000).cache()
+    some = q.where("s < 's2'")
+    asked = snapshot._marked(q, some.select("quad_id"), n(some)).cache()
+    assert n(asked) == 2000 and n(asked.where("_hit").join(some, "quad_id", "left_semi")) == n(some)
+    assert n(asked.where("_hit")) < n(some) + 200 and asked.drop("_hit").columns == q.columns
+
+
 def test_queries_of_many_terms_leave_the_index_alone(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(search, "MOST_INLINE", 3)
     store = Store(spark, f"file://{tmp_path}")
