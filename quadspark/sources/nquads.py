@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import pandas as pd
@@ -21,6 +22,8 @@ LINE = rf'^\s*(?:<([^>\n]*)>|_:({_LABEL}))\s*<([^>\n]*)>\s*(?:<([^>\n]*)>|_:({_L
 # Fixed value: characters that stand in an IRI as escapes only.
 _NOT_IN_IRI = r'[\x00-\x20<>"{}|^`\\]'
 _GROUPS = 12
+#: Bytes of N-Quads whose repeats a task looks for, where the session has too few shuffle partitions for that.
+TASK_BYTES = 32_000_000
 
 _ESCAPES = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
 _ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|(.))")
@@ -37,10 +40,10 @@ def _unescape(value: Column) -> Column:
     return F.when(F.contains(value, F.lit("\\")), _unescaped(F.when(F.contains(value, F.lit("\\")), value))).otherwise(value)
 
 
-def parse(lines: DataFrame, scope: str = "") -> tuple[DataFrame, DataFrame]:
+def parse(lines: DataFrame, scope: str = "", tasks: int = 0) -> tuple[DataFrame, DataFrame]:
     """Quads and rejected lines of a table of ``value``; blank lines and comments are neither.
 
-    ``scope`` is put before blank labels, so that labels of different imports stay apart.
+    ``scope`` is put before blank labels, so that labels of different imports stay apart; ``tasks`` as in ``normalise``.
     """
     said = lines.where(~F.rlike("value", F.lit(r"^\s*(?:#[^\n]*)?$")))
     # One match a line: the groups come out a line each, as no group holds a line feed. The optimiser would repeat the
@@ -63,11 +66,14 @@ def parse(lines: DataFrame, scope: str = "") -> tuple[DataFrame, DataFrame]:
         F.when(some(12), label(12)).otherwise(_unescape(g[11])).alias("g"),
         F.when(some(12), BLANK).when(some(10), NAMED).otherwise(DEFAULT).alias("g_type"),
     )
-    return normalise(raw), cut.where(~fits).drop("_g")
+    return normalise(raw, tasks), cut.where(~fits).drop("_g")
 
 
 def read(spark: SparkSession, path: str, scope: str = "") -> tuple[DataFrame, DataFrame]:
-    return parse(spark.read.text(path), scope)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    tasks = math.ceil(sum(files.getContentSummary(f.getPath()).getLength() for f in files.globStatus(at) or []) / TASK_BYTES)
+    return parse(spark.read.text(path), scope, tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else 0)
 
 
 def _escaped(value: Column) -> Column:

@@ -352,3 +352,16 @@ def test_without_training_data_operators():
     core, sql = __spark_entry__._core()
     assert {"scan_quads", "search_batch", "stream_import"} <= set(core) and set(sql) <= set(core)
     assert LITERAL and NAMED
+
+
+def test_repeats_are_looked_for_without_shipping_ids(spark, tmp_path, monkeypatch):
+    rows = [(f"s{i % 50}", NAMED, "p", f"o{i % 25}", LITERAL, terms.XSD_STRING, "" if i % 3 else None, "", "DefaultGraph") for i in range(200)]
+    found = normalise(spark.createDataFrame(rows, RAW))
+    assert n(found) == 50 == n(found.select("quad_id").distinct())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    shipped = plan[plan.index("Exchange") :]
+    assert plan.count("Exchange") == 1 and "AS quad_id" not in shipped  # before, rows were shipped with their ids
+    monkeypatch.setattr(nquads, "TASK_BYTES", 100)
+    nquads.write(found, f"file://{tmp_path}/q")
+    back = nquads.read(spark, f"file://{tmp_path}/q")[0]
+    assert back.rdd.getNumPartitions() > 8 and sorted(map(str, back.collect())) == sorted(map(str, found.collect()))
