@@ -365,3 +365,47 @@ def test_queries_of_many_terms_leave_the_index_alone(spark, tmp_path, monkeypatc
     for path in (tmp_path / "data").iterdir():
         spoil(path / "postings")
     assert len(want) == 4 and sorted(map(str, search.search_stored(store, asked, top_k=3).collect())) == want
+
+
+def test_runs_that_would_be_due_again_are_merged_in_one_go(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}", fanout=2, smallest=100)
+    merges = []
+    for i in range(4):
+        store.commit(logged(many(spark, 100, 100 * i), "add"), "disabled")
+        merges.append(store.maintain())
+    assert merges == [0, 1, 0, 1] and store.deltas() == 0  # the fourth commit led to two merges before
+    assert n(store.quads()) == store.size() == 400
+    # How much is left of runs with removals isn't known before they are merged.
+    for rows, op in ((many(spark, 100, 400), "add"), (many(spark, 100), "delete")):
+        store.commit(logged(rows, op), "disabled")
+    assert [len(r) for r in (store._due(store._entry()), store._entry()["runs"])] == [2, 3]
+    assert store.maintain() >= 1 and n(store.quads()) == store.size() == 400 and n(store.stored(many(spark, 100))) == 0
+
+
+def test_new_quads_are_shipped_once_by_id_and_for_slots_of_many_values(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshot, "TASK_ROWS", 20)
+    shuffled, plain = [], Store._ranged
+    monkeypatch.setattr(Store, "_ranged", lambda self, rows, k, *order: (shuffled.append(k), plain(self, rows, k, *order))[1])
+    store = Store(spark, f"file://{tmp_path}", bucket_rows=100)
+    q = make(spark, *[(f"s{i}", f"p{i % 3}", literal(f"o{i}"), "g") for i in range(200)]).union(make(spark, ("odd", "p0", "o")).withColumn("quad_id", F.lit("f" * 64))).cache()
+    store.commit(logged(q, "add"), "disabled")
+    assert shuffled == [201] * 3  # the log, by subject and by object; five times besides the log before
+    run, want = store._entry()["runs"][0], sorted(map(str, q.collect()))
+    sorted_files = lambda kind, *by: [[tuple(r[c] for c in by) for r in rows] for rows in by_file(spark, f"{run['folder']}/{kind}")]
+    ids = sorted(sorted_files("quads", "quad_id"))
+    assert len(ids) > 5 and sum(ids, []) == sorted(sum(ids, []))  # ranges, in order within
+    for slot, order in (("p", "pso"), ("g", "gps")):
+        files = sorted_files(f"quads-{slot}", *order)
+        assert max(map(len, files)) < 60 and all(f == sorted(f) for f in files)
+        assert sorted(str(r) for r in store._read([run], slot).select(*q.columns).collect()) == want
+    for pattern in (Pattern(p=node("p0")), Pattern(s=node("odd"))):
+        assert sorted(map(str, store.match(pattern).collect())) == sorted(map(str, q.where(pattern.column()).collect()))
+    # What is stored already is neither added nor put out of order.
+    store.commit(logged(q.union(many(spark, 20)), "add"), "disabled")
+    assert store.size() == n(store.quads()) == 221 and store._entry()["runs"][1]["quads"] == 20
+    assert spark.conf.get("spark.sql.files.openCostInBytes") in ("4194304", "4194304b", "4MB")
+
+
+def by_file(spark, path):
+    """Rows of each file of a folder, as they lie."""
+    return [spark.read.parquet(f).collect() for f in spark.read.parquet(path).inputFiles()]
