@@ -409,3 +409,15 @@ def test_new_quads_are_shipped_once_by_id_and_for_slots_of_many_values(spark, tm
 def by_file(spark, path):
     """Rows of each file of a folder, as they lie."""
     return [spark.read.parquet(f).collect() for f in spark.read.parquet(path).inputFiles()]
+
+
+def test_changes_of_one_version_are_read_as_they_were_written(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    store.commit(logged(many(spark, 30), "add"), "disabled")
+    store.commit(logged(many(spark, 5, 28), "add").union(logged(many(spark, 4), "delete")), "disabled")
+    store.compact()
+    one, all_ = store.changes(1, store.version()), store.changes(0, store.version())
+    plan = lambda rows: rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(one) and "Exchange" in plan(all_)  # both had one before
+    assert {(r.op, r.s) for r in one.collect()} == {("add", f"s{i}") for i in range(30, 33)} | {("delete", f"s{i}") for i in range(4)} and n(one) == 7
+    assert {(r.op, r.s) for r in all_.collect()} == {("add", f"s{i}") for i in range(4, 33)} and n(all_) == 29
