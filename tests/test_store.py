@@ -421,3 +421,19 @@ def test_changes_of_one_version_are_read_as_they_were_written(spark, tmp_path):
     assert "Exchange" not in plan(one) and "Exchange" in plan(all_)  # both had one before
     assert {(r.op, r.s) for r in one.collect()} == {("add", f"s{i}") for i in range(30, 33)} | {("delete", f"s{i}") for i in range(4)} and n(one) == 7
     assert {(r.op, r.s) for r in all_.collect()} == {("add", f"s{i}") for i in range(4, 33)} and n(all_) == 29
+
+
+def test_ids_are_broadcast_by_their_number_and_not_by_what_their_files_take(spark, tmp_path, monkeypatch):
+    """Files that leave ids out are tiny, so Spark alone would send any number of ids through the driver."""
+    monkeypatch.setattr(snapshot, "BROADCAST_REMOVED", 100)
+    monkeypatch.setattr(snapshot, "BROADCAST_BITS", 10)
+    plans, save = [], snapshot._save
+    monkeypatch.setattr(snapshot, "_save", lambda rows, path, *by: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), save(rows, path, *by))[1])
+    store = Store(spark, f"file://{tmp_path}", bucket_rows=100, large_rows=500)
+    store.commit(logged(many(spark, 1000), "add"), "disabled")
+    store.commit(logged(many(spark, 300), "delete").union(logged(many(spark, 300, 2000), "add")), "disabled")
+    assert not [p for p in plans if "Broadcast" in p] and [p for p in plans if "SortMergeJoin" in p]
+    assert sorted(r.s for r in store.quads().collect()) == sorted(f"s{i}" for i in [*range(300, 1000), *range(2000, 2300)])
+    plans.clear()
+    store.commit(logged(many(spark, 3, 500), "delete"), "disabled")
+    assert store.size() == 997 and [p for p in plans if "BroadcastHashJoin" in p]
