@@ -16,7 +16,7 @@ def _beside(edges: DataFrame, least: DataFrame, few: bool) -> DataFrame:
     """Edges (u, v) with the minimum ``m`` of their ``u``."""
     if few:
         return edges.join(F.broadcast(least), "u")
-    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")  # never broadcast by an estimate of its files
     return edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"]).drop("salt")
 
 

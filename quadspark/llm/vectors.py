@@ -133,7 +133,9 @@ def leaves(classes: DataFrame) -> DataFrame:
 
     A tree starts as one leaf per label and length. In each round every leaf that is still too large learns splits
     from a sample of its own rows, in a task of its own, and sends its rows down; a round makes leaves more than a
-    hundred times smaller, so few rounds do at any size. Splits are broadcast up to a checked size, else joined.
+    hundred times smaller, so few rounds do at any size. Splits are broadcast up to a checked size, else joined. Rows
+    of leaves compress to a byte or two, so Spark would take millions for a table to broadcast; joins of them are told
+    not to.
     """
     counts = classes.groupBy("label", "size").agg(F.count("*").alias("n"))
     roots = classes.join(counts, ["label", "size"]).select("cid", "label", "size", F.explode(F.sequence(F.lit(0), trees(F.col("n")) - 1)).alias("tree"))
@@ -144,14 +146,16 @@ def leaves(classes: DataFrame) -> DataFrame:
         if large.isEmpty():
             return found.select("cid", "code")
         few = large.count() <= BROADCAST_SPLITS // 100
-        joined = found.where("not done").join(F.broadcast(large) if few else large, "code")
+        large = F.broadcast(large) if few else large.hint("merge")
+        vecs = classes.select("cid", "vec").hint("merge")
+        joined = found.where("not done").join(large, "code")
         chosen = joined.where(F.pmod(F.xxhash64("cid", "code"), F.lit(1 << 30)) < F.lit(float(SAMPLE << 30)) / F.col("n"))
-        splits = chosen.join(classes.select("cid", "vec"), "cid").groupBy("code").applyInArrow(_learned, "code long, splits string")
+        splits = chosen.join(vecs, "cid").groupBy("code").applyInArrow(_learned, "code long, splits string")
         splits = scratch.write(splits, "splits")
         size = splits.agg(F.coalesce(F.sum(F.length("splits")), F.lit(0))).first()[0]
-        moved = found.where("not done").join(classes.select("cid", "vec"), "cid").join(F.broadcast(splits) if size <= BROADCAST_SPLITS else splits, "code")
+        moved = found.where("not done").join(vecs, "cid").join(F.broadcast(splits) if size <= BROADCAST_SPLITS else splits.hint("merge"), "code")
         moved = moved.select("cid", "code", "tree", "depth", "vec", "splits").mapInArrow(_placed, "cid long, code long, tree int, depth int, done boolean")
-        rest = found.join(F.broadcast(large) if few else large, "code", "left_anti")
+        rest = found.join(large, "code", "left_anti")
         after = scratch.write(rest.select("cid", "code", "tree", "depth", "done").unionByName(moved), "leaves")
         scratch.discard(found)
         found = after
@@ -230,18 +234,20 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     classes = scratch.write(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     placed = leaves(classes.select("cid", "label", "size", "vec"))
     sizes = placed.groupBy("code").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1").select("code", "blocks")
-    codes = placed.groupBy("cid").agg(F.sort_array(F.collect_list("code")).alias("codes"))
-    cells = classes.select("cid", "weight", "label", "size", "vec").join(codes, "cid").withColumn("code", F.explode("codes")).join(sizes, "code")
+    # Leaves get their blocks before the vectors join, which are then shipped to their cells only
+    own = placed.join(sizes.hint("merge"), "code").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("code", "blocks"))).alias("own"))
+    cells = classes.select("cid", "weight", "label", "size", "vec").join(own.hint("merge"), "cid").withColumn("codes", F.col("own.code")).withColumn("leaf", F.explode("own"))
+    cells = cells.select("cid", "weight", "label", "size", "vec", "codes", "leaf.code", "leaf.blocks")
     cells = cells.withColumn("block", F.pmod(F.xxhash64("cid"), "blocks").cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("code", "label", "size", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "cid", "weight", "vec", "codes")
     found = scratch.write(cells.groupBy("code", "label", "size", "low", "high").applyInArrow(_compared, "cid long, links long, other long"), "found")
     groups = components(found.select(F.col("cid").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "cid")
-    groups = groups.join(classes.select("cid", "rep"), "cid")
+    groups = groups.join(classes.select("cid", "rep").hint("merge"), "cid")
     least = groups.groupBy("component").agg(F.min("rep").alias("least"))
-    groups = groups.join(least, "component").select("cid", "least")
+    groups = groups.join(least.hint("merge"), "component").select("cid", "least")
     gained = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    named = classes.select("label", "digest", "cid", "rep", "weight").join(gained, "cid", "left").join(groups, "cid", "left")
+    named = classes.select("label", "digest", "cid", "rep", "weight").join(gained.hint("merge"), "cid", "left").join(groups.hint("merge"), "cid", "left")
     named = named.select("label", "digest", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("least", "rep").alias("component_id"))
-    joined = read.select("vec_id", "label", "digest").join(named, ["label", "digest"], "left")
+    joined = read.select("vec_id", "label", "digest").join(named.hint("merge"), ["label", "digest"], "left")
     group = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), group.alias("component_id"), F.coalesce(F.col("vec_id") == group, F.lit(True)).alias("kept"))

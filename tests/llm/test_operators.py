@@ -612,3 +612,22 @@ def test_toxicity_held_out(spark):
     assert again.columns == [c for c in clash.columns if c != "score"] + ["score", "predicted"] and again.where("_features != '_features' or _own != '_own'").count() == 0
     assert sorted((str(r.doc_id), r.score) for r in again.collect()) == sorted((str(r.doc_id), r.score) for r in out)
     assert toxicity.score(df, toxicity.fit(df, labels.limit(0))).where("predicted = 1").count() == 0
+
+
+def test_vectors_and_components_are_not_broadcast_by_what_their_files_take(spark, monkeypatch):
+    """Rows of leaves and links compress to almost nothing, so Spark alone would send millions through the driver."""
+    monkeypatch.setattr(vectors, "LEAF", 60)
+    monkeypatch.setattr(vectors, "BROADCAST_SPLITS", -1)
+    monkeypatch.setattr(components, "BROADCAST_EDGES", -1)
+    plans, write = [], vectors.scratch.write
+    monkeypatch.setattr(vectors.scratch, "write", lambda df, kind="table": (plans.append((kind, df._jdf.queryExecution().executedPlan().toString())), write(df, kind))[1])
+    x = np.random.default_rng(3).normal(size=(300, 16))
+    x[200:] = x[:100] + 0.01
+    rows = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    got = vectors.near_vectors(rows)
+    plans.append(("result", got._jdf.queryExecution().executedPlan().toString()))
+    joins = [(kind, plan) for kind, plan in plans if "Join" in plan]
+    # The counts of each label, one row here, may be
+    assert {"leaves", "splits", "found", "edges", "result"} <= {kind for kind, _ in joins}
+    assert not [plan for kind, plan in joins[1:] if "Broadcast" in plan]
+    assert {r.vec_id: r.component_id for r in got.collect() if r.n_links} == {i: i % 200 for i in [*range(100), *range(200, 300)]}
