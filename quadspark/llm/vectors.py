@@ -244,10 +244,10 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     groups = components(found.select(F.col("cid").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "cid")
     groups = groups.join(classes.select("cid", "rep").hint("merge"), "cid")
     least = groups.groupBy("component").agg(F.min("rep").alias("least"))
-    groups = groups.join(least.hint("merge"), "component").select("cid", "least")
+    groups = groups.join(least, "component").select("cid", "least")
     gained = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    named = classes.select("label", "digest", "cid", "rep", "weight").join(gained.hint("merge"), "cid", "left").join(groups.hint("merge"), "cid", "left")
+    named = classes.select("label", "digest", "cid", "rep", "weight").join(gained.hint("merge"), "cid", "left").join(groups, "cid", "left")
     named = named.select("label", "digest", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("least", "rep").alias("component_id"))
-    joined = read.select("vec_id", "label", "digest").join(named.hint("merge"), ["label", "digest"], "left")
+    joined = read.select("vec_id", "label", "digest").join(named, ["label", "digest"], "left")
     group = F.coalesce("component_id", "vec_id")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), group.alias("component_id"), F.coalesce(F.col("vec_id") == group, F.lit(True)).alias("kept"))
