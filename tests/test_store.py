@@ -437,3 +437,37 @@ def test_ids_are_broadcast_by_their_number_and_not_by_what_their_files_take(spar
     plans.clear()
     store.commit(logged(many(spark, 3, 500), "delete"), "disabled")
     assert store.size() == 997 and [p for p in plans if "BroadcastHashJoin" in p]
+
+
+def test_postings_number_chunks_and_bounds_need_no_shuffle(spark, tmp_path, monkeypatch):
+    plans, save = {}, snapshot._save
+    monkeypatch.setattr(snapshot, "_save", lambda rows, path, *by: (plans.update({path.rsplit("/", 1)[-1]: rows._jdf.queryExecution().executedPlan().toString()}), save(rows, path, *by))[1])
+    store = Store(spark, f"file://{tmp_path}")
+    q = many(spark, 600).union(make(spark, ("long", "p0", literal("word7 " * 40 + "number"))))
+    store.commit(logged(q, "add"))
+    assert "Exchange" in plans["postings"] and "Exchange" not in plans["bounds"]
+    run = store._entry()["runs"][0]
+    kept = spark.read.parquet(f"{run['folder']}/postings")
+    assert sorted(kept.columns) == ["block", "length", "no", "term", "tf"]
+    want = sorted(map(str, search.postings(store.chunks()).select("term", "chunk_id", "quad_id", "length", "tf").collect()))
+    assert sorted(map(str, store.postings().collect())) == want
+    bounds = {(r.term, r.block): r for r in store.bounds(["word7", "number"]).collect()}
+    rows = [r for r in kept.collect() if r.term in ("word7", "number")]
+    assert {(r.term, r.block) for r in rows} == set(bounds)
+    for key, found in bounds.items():
+        own = [r for r in rows if (r.term, r.block) == key]
+        assert (found.n, found.most, found.least) == (len(own), max(r.tf for r in own), min(r.length for r in own))
+
+
+def test_shuffle_files_of_a_job_go_with_it(spark, tmp_path):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    shuffled = lambda: sum(f.getName().startswith("shuffle_") for f in (files.apply(i) for i in range(files.size())))
+    files = disk.getAllFiles()
+    before, setting = shuffled(), spark.conf.get(snapshot._CLEANUP, None)
+    snapshot._save(spark.range(100_000).repartition(8, "id"), f"file://{tmp_path}/rows")
+    for _ in range(50):
+        files = disk.getAllFiles()
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and spark.conf.get(snapshot._CLEANUP, None) == setting
